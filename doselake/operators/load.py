@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import names
 from ..sources import drops
 from ..sources.tables import BRONZE_COLUMNS, MONTH_COLUMN
 
@@ -36,6 +35,9 @@ LOG_SCHEMA = T.StructType(
 )
 # ---------------------------------------------------------------------------------------
 
+# Some 20 MB of file names; a longer list is joined as its measured size allows.
+_BROADCAST_FILES = 100_000
+
 LINES = "linhas"
 RECORDS = "registros"
 
@@ -78,8 +80,8 @@ def schema_drift(spark: SparkSession, incoming: Sequence[str], target: Sequence[
     return spark.createDataFrame(rows, "coluna string, situacao string")
 
 
-def _read(spark: SparkSession, files: Sequence[Row], mes: str | None) -> DataFrame:
-    """All files as one DataFrame, read once per distinct format."""
+def _read(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
+    """All files as one DataFrame with their months, read once per distinct format."""
     by_format: dict[tuple, list[str]] = {}
     for f in files:
         kind = (tuple(f["colunas"]), f["encoding"], f["delimitador"], f["quebra_em_aspas"])
@@ -89,20 +91,24 @@ def _read(spark: SparkSession, files: Sequence[Row], mes: str | None) -> DataFra
         for (columns, encoding, delimiter, multiline), paths in by_format.items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    drop = drops.drop_name(F.col("uri"))
-    month = F.lit(mes) if mes else names.month_of(drop)
-    return rows.withColumn(MONTH_COLUMN, month).withColumnRenamed("uri", FILE_COLUMN)
+    # The month is a fact of the file: looked up, not parsed from the name per row.
+    months = spark.createDataFrame(
+        [(f["uri"], f[MONTH_COLUMN]) for f in files], f"uri string, {MONTH_COLUMN} string"
+    )
+    if len(files) <= _BROADCAST_FILES:
+        months = F.broadcast(months)
+    return rows.join(months, "uri").withColumnRenamed("uri", FILE_COLUMN)
 
 
 def replace_months(rows: DataFrame, table: str) -> None:
     """Overwrite exactly the months present in ``rows`` (K1).
 
-    Rebalancing by month keeps small months in one file and splits a month that
-    holds a large share of all rows.
+    The rows come straight from the files, and a file is one month: every input
+    split already belongs to one month (or, packed, to a few small ones), so the
+    write needs no shuffle and its files are as large as the splits.
     """
     (
-        rows.hint("rebalance", MONTH_COLUMN)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH_COLUMN)
         .parquet(table)
@@ -189,7 +195,7 @@ def load(
         incoming = list(dict.fromkeys(c for f in kept for c in f["colunas"]))
         report.drift = schema_drift(spark, incoming, target)
 
-    rows = _read(spark, kept, mes)
+    rows = _read(spark, kept)
     replace_months(rows, table)
 
     months = sorted(winner)
@@ -197,10 +203,10 @@ def load(
     loaded = rows_per_file(stored, FILE_COLUMN)
     if replaced:
         # Parsed and counted like the others, but a later drop holds their month.
-        loaded = loaded.unionByName(rows_per_file(_read(spark, replaced, mes), FILE_COLUMN))
+        loaded = loaded.unionByName(rows_per_file(_read(spark, replaced), FILE_COLUMN))
     checked = spark.createDataFrame(good, seen.schema)
     if gate == RECORDS:
-        parsed = rows_per_file(_read(spark, good, mes), FILE_COLUMN)
+        parsed = rows_per_file(_read(spark, good), FILE_COLUMN)
         expected = parsed.withColumnRenamed("linhas_carregadas", "linhas_no_csv")
     else:
         expected = checked.select("uri", "linhas_no_csv")

@@ -17,15 +17,17 @@ def as_table(
 ) -> DataFrame:
     """Full rebuild of ``base/layer/name`` as Parquet; the stored table is returned.
 
-    Output partitions are rebalanced, so a partition value that holds a third of
-    the rows is split over several tasks and files instead of going through one.
+    An unpartitioned table keeps the partitioning its last shuffle left, which AQE
+    has already sized. A table partitioned by a column is rebalanced by it first:
+    small values end up in one file, and a value that holds a third of the rows is
+    split over several tasks instead of going through one.
     """
     path = f"{base.rstrip('/')}/{layer}/{name}"
-    balanced = df.hint("rebalance", *([partition_by] if partition_by else []))
-    writer = balanced.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+        writer = df.hint("rebalance", partition_by).write.partitionBy(partition_by)
+    else:
+        writer = df.write
+    writer.mode("overwrite").parquet(path)
     # The written schema, so a partition value like "1996-02" stays text.
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

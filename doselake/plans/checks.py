@@ -134,10 +134,17 @@ def layer_totals(
 
 
 def unreconciled_keys(recomputed: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of a recomputed fact the stored one lacks, and the other way round."""
-    columns = recomputed.columns
-    missing = recomputed.exceptAll(stored.select(*columns))
-    surplus = stored.select(*columns).exceptAll(recomputed)
-    return missing.withColumn("lado", F.lit("falta")).unionByName(
-        surplus.withColumn("lado", F.lit("sobra"))
+    """Key combinations whose doses differ between the two facts, with both numbers.
+
+    Both sides go through one aggregate, so no join meets a hot or null key.
+    """
+    keys = [c for c in recomputed.columns if c != "qtd_doses"]
+    none = F.lit(0).cast("bigint")
+    left = recomputed.select(*keys, F.col("qtd_doses").alias("recalculado"), none.alias("gravado"))
+    right = stored.select(*keys, none.alias("recalculado"), F.col("qtd_doses").alias("gravado"))
+    return (
+        left.unionByName(right)
+        .groupBy(*keys)
+        .agg(F.sum("recalculado").alias("recalculado"), F.sum("gravado").alias("gravado"))
+        .filter("recalculado <> gravado")
     )

@@ -13,6 +13,8 @@ _SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A task that writes a few months keeps their files open instead of sorting.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 
 
@@ -31,6 +33,8 @@ def local_session(cores: str = "8", app: str = "doselake", **conf: str) -> Spark
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
+        # Megabyte-sized test data: let rebalanced writes still use every core.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

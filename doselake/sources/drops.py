@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import names
+from ..functions.names import clean_names, month_of
 
 # --- fixed values: candidate formats in order of preference, and reading sizes ------
 ENCODINGS = ["utf-8-sig", "utf-8", "ISO-8859-1"]
@@ -70,7 +70,7 @@ def _with_identity(files: DataFrame, mes: str | None) -> DataFrame:
         "path",
         drop_name(uri).alias("remessa"),
         file_name(uri).alias("arquivo"),
-        (F.lit(mes) if mes else names.month_of(drop_name(uri))).alias("mes_referencia"),
+        (F.lit(mes) if mes else month_of(drop_name(uri))).alias("mes_referencia"),
         "bytes",
     )
 
@@ -143,7 +143,7 @@ def _detect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for uri, path in zip(batch["uri"], batch["path"]):
             encoding, delimiter, header, problem = _format_of(path)
-            rows.append((uri, encoding, delimiter, header, names.clean_names(header), problem))
+            rows.append((uri, encoding, delimiter, header, clean_names(header), problem))
         yield pd.DataFrame(
             rows,
             columns=["uri", "encoding", "delimitador", "cabecalho", "colunas", "problema"],
