@@ -45,8 +45,8 @@ def _stand_ins(directory: DataFrame) -> tuple[DataFrame, DataFrame]:
     """What fills in for a code the directory lacks: the capital's row, and the
     region of each state."""
     capital = directory.filter(F.col("id_municipio_6d") == CAPITAL_CODE).select(
-        # The prefix is the capital's equi-key: every code "53…" meets this row.
-        F.lit(CAPITAL_PREFIX).alias("_prefix"),
+        # Every code with the capital's prefix meets this row: an equi-key.
+        place.uf_prefix(F.col("id_municipio_6d")).alias("_prefix"),
         F.col("nome_municipio").alias("_b_nome"),
         F.col("nome_regiao").alias("_b_regiao"),
         F.col("populacao").alias("_b_populacao"),

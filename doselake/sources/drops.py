@@ -34,6 +34,9 @@ _FORMAT_SCHEMA = (
     "uri string, encoding string, delimitador string, "
     "cabecalho array<string>, colunas array<string>, problema string"
 )
+_EMPTY_SCHEMA = "uri string, path string, bytes bigint, problema string"
+EMPTY = "arquivo vazio"
+UNKNOWN_FORMAT = "formato desconhecido"
 
 
 class NoDrops(Exception):
@@ -126,14 +129,14 @@ def _format_of(path: str) -> tuple[str | None, str | None, list[str], str | None
     with _open(path) as raw:
         data = raw.read(HEAD_CHARACTERS * _BYTES_PER_CHARACTER)
     if not data:
-        return None, None, [], "arquivo vazio"
+        return None, None, [], EMPTY
     texts = ((e, _decoded_head(data, e)) for e in ENCODINGS)
     encoding, text = next((pair for pair in texts if pair[1] is not None), (None, ""))
     lines = text.splitlines()
     frequency = {d: lines[0].count(d) if lines else 0 for d in DELIMITERS}
     delimiter = max(frequency, key=frequency.get)
     if not frequency[delimiter]:
-        return None, None, [], "formato desconhecido"
+        return None, None, [], UNKNOWN_FORMAT
     header = next(csv.reader(io.StringIO(text, newline=""), delimiter=delimiter))
     return encoding, delimiter, header, None
 
@@ -204,17 +207,24 @@ def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def manifest(spark: SparkSession, files: DataFrame, with_hash: bool = True) -> DataFrame:
     """Everything known about the files without loading them (K4)."""
-    # Paths only, one per file: what a scan of these files is given.
-    paths = [r["path"] for r in files.select("path").collect()]
+    # Names only, one per file: what a scan of these files is given.
+    listed = files.select("uri", "path").collect()
     table = files.join(formats(files), "uri", "left").join(
-        line_counts(spark, paths), "uri", "left"
+        line_counts(spark, [f["path"] for f in listed]), "uri", "left"
     )
     if with_hash:
         table = table.join(hashes(files), "uri", "left")
+    # The file index spells "file:///x" what a row's metadata spells "file:/x".
+    indexed = {uri.replace(":///", ":/", 1) for uri in files.inputFiles()}
+    empty = sorted(indexed - {f["uri"] for f in listed})
+    if empty:
+        # A scan yields no row for a file without bytes; the file index names it.
+        rows = spark.createDataFrame([(u, u, 0, EMPTY) for u in empty], _EMPTY_SCHEMA)
+        named = _with_identity(rows, None).join(rows.select("uri", "problema"), "uri")
+        table = table.unionByName(named, allowMissingColumns=True)
     unnamed = F.when(F.col("mes_referencia").isNull(), "mes nao identificado")
     return table.withColumns(
         {
-            # A file without a single line has no row in the text scan.
             "linhas_no_csv": F.coalesce("linhas_no_csv", F.lit(0)),
             "quebra_em_aspas": F.coalesce("quebra_em_aspas", F.lit(False)),
             "problema": F.coalesce(unnamed, F.col("problema")),
