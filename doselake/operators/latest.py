@@ -4,26 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_latest(df: DataFrame, key: str, newest: Column, ties: Sequence[str]) -> DataFrame:
-    """The newest row per key; ``ties`` makes the choice total.
+def keep_latest(df: DataFrame, key: str, newest: Column, rest: Sequence[str]) -> DataFrame:
+    """``key`` and ``rest`` of the row with the highest ``newest`` per key.
 
-    The rank filter lets Spark prune to one row per key inside every input
-    partition before the shuffle, so a key holding a third of all rows sends at
-    most one row per map task. A null key forms one group, like any other value.
+    The rows of a key compete as structs led by ``newest``, so equal (or missing,
+    which sort last) values are settled by the other columns and the choice does not
+    depend on the order of the input. Being an aggregate, it is combined map-side:
+    a key holding a third of all rows sends one row per map task, and the sort only
+    looks at the key. A null key forms one group, like any other value.
     """
-    order = [newest.desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties]]
-    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return ranked.filter("_rn = 1").drop("_rn")
-
-
-def latest_values(df: DataFrame, key: str, order: str, values: Sequence[str]) -> DataFrame:
-    """Narrow variant: values of the row with the highest ``order`` per key.
-
-    A plain aggregate, combined map-side; equal orders take the greatest values.
-    """
-    top = F.max(F.struct(order, *values)).alias("_top")
-    return df.groupBy(key).agg(top).select(key, *[f"_top.{c}" for c in (order, *values)])
+    version = F.struct(newest.alias("_newest"), *rest)
+    return (
+        df.select(key, version.alias("_version"))
+        .groupBy(key)
+        .agg(F.max("_version").alias("_version"))
+        .select(key, *[F.col("_version")[c].alias(c) for c in rest])
+    )

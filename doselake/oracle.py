@@ -28,7 +28,7 @@ def _values(rows: list[tuple], columns: str) -> str:
 
 _RAW = ", ".join(BRONZE_COLUMNS)
 _TIES = ", ".join(
-    f"{c} ASC NULLS LAST" for c in BRONZE_COLUMNS if c not in ("co_documento", "dt_deletado_rnds")
+    f"{c} DESC NULLS LAST" for c in BRONZE_COLUMNS if c not in ("co_documento", "dt_deletado_rnds")
 )
 _MONTHS = ", ".join(_literal(n) for n in MONTH_NAMES)
 _SHORT = ", ".join(_literal(a) for a in MONTH_ABBREVIATIONS)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean, place
-from ..operators.latest import keep_latest, latest_values
+from ..operators.latest import keep_latest
 from ..sources.tables import BRONZE_COLUMNS
 
 # Output names of the raw columns that change name on the way to silver.
@@ -31,7 +31,8 @@ _KEPT = [
     "no_raca_cor_paciente",
     "tp_sexo_paciente",
 ]
-_TIE_BREAK = [c for c in BRONZE_COLUMNS if c not in ("co_documento", "dt_deletado_rnds")]
+# Also the tie-break among equal entries, in this order.
+_VERSION_COLUMNS = [c for c in BRONZE_COLUMNS if c not in ("co_documento", "dt_deletado_rnds")]
 
 LAST_POPULATION_YEAR = 2025
 SIX_DIGITS = 6
@@ -44,9 +45,10 @@ def live_documents(bronze: DataFrame) -> DataFrame:
     surface. Only the raw columns cross the shuffle; every derived column is
     computed after it.
     """
-    live = bronze.select(*BRONZE_COLUMNS).filter(F.col("dt_deletado_rnds").isNull())
+    live = bronze.filter(F.col("dt_deletado_rnds").isNull())
     entered = clean.to_timestamp(F.col("dt_entrada_rnds"))
-    return keep_latest(live, "co_documento", entered, _TIE_BREAK)
+    newest = keep_latest(live, "co_documento", entered, _VERSION_COLUMNS)
+    return newest.withColumn("dt_deletado_rnds", F.lit(None).cast("string"))
 
 
 def resolve_place(doses: DataFrame, uf_ibge: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def doses_aplicadas(bronze: DataFrame, uf_ibge: DataFrame) -> DataFrame:
 def latest_population(populacao: DataFrame, last_year: int = LAST_POPULATION_YEAR) -> DataFrame:
     """Newest filled estimate per municipality, up to ``last_year``."""
     filled = populacao.filter((F.col("ano") <= last_year) & F.col("populacao").isNotNull())
-    return latest_values(filled, "id_municipio", "ano", ["populacao"])
+    return keep_latest(filled, "id_municipio", F.col("ano"), ["ano", "populacao"])
 
 
 def municipios(

@@ -20,11 +20,10 @@ def test_no_cross_join_and_no_row_python(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan, plan
 
 
-def test_dedup_prunes_before_the_shuffle(lake):
+def test_dedup_combines_before_its_only_shuffle(lake):
     plan = plan_of(silver.live_documents(lake.bronze))
-    assert plan.count("WindowGroupLimit") == 2
     below_shuffle = plan[plan.index("Exchange hashpartitioning(co_documento"):]
-    assert "WindowGroupLimit" in below_shuffle
+    assert "partial_max" in below_shuffle and "Window" not in plan
     assert plan.count("Exchange") == 1
     assert "PushedFilters: [IsNull(dt_deletado_rnds)]" in plan
 
