@@ -142,17 +142,22 @@ def rates(ctx: Context) -> DataFrame:
 
 
 def member_rates(ctx: Context) -> DataFrame:
-    """Rate of every municipality member in context, with the municipality slicers.
+    """Rate of every municipality member under the slicers of the context.
 
-    Driven by the dimension: a member without doses stays, with a blank rate.
+    With municipality slicers only, the dimension drives: a member without doses
+    stays, with a blank rate. With other slicers, only the pairs of slicer value and
+    member that have doses are listed; the blank rest is never spelled out.
     """
-    for c in ctx.by:
-        if _relation(c).table != _MUNICIPALITY:
-            raise ValueError(f"{c!r} is no municipality column")
-    keyed = doses(ctx.sliced(_MEMBER))
-    slicers = [c for c in ctx.by if c != _MEMBER]
+    places = _owned(ctx.by, _MUNICIPALITY)
+    others = [c for c in ctx.by if c not in places]
+    keyed = doses(ctx.sliced(_MEMBER, *others))
+    slicers = [c for c in places if c != _MEMBER]
     members = _members(ctx).select(_MEMBER, *slicers, F.col("populacao").alias(POPULATION))
-    return _attach(members, keyed, [_MEMBER]).withColumn(RATE, F.try_divide(DOSES, POPULATION))
+    if others:
+        listed = members.join(keyed, _MEMBER)
+    else:
+        listed = _attach(members, keyed, [_MEMBER])
+    return listed.withColumn(RATE, F.try_divide(DOSES, POPULATION))
 
 
 def _target(ctx: Context, where_meta: Mapping[str, Filter]) -> Column:
@@ -306,6 +311,8 @@ def coef_variacao(ctx: Context) -> DataFrame:
 def ranking_municipio(ctx: Context) -> DataFrame:
     """Rank 1 is the lowest rate, blank counting as zero; a filter on single
     municipalities picks rows to show but does not shrink the ranked set."""
+    if ctx.by and set(ctx.by) != {_MEMBER}:
+        raise ValueError("the ranking lists municipalities; restrict it by filters")
     ranked_set = ctx.without_columns(_MEMBER).sliced()
     scored = member_rates(ranked_set).select(
         _MEMBER, F.coalesce(F.col(RATE), F.lit(0.0)).alias("_score")
@@ -320,19 +327,25 @@ def piores_municipios(ctx: Context, n: int) -> DataFrame:
 
 def pct_abaixo_meta(ctx: Context, where_meta: Mapping[str, Filter] | None = None) -> DataFrame:
     """Members below the target over real places: the numerator takes every member
-    in context, the denominator only the two real record types."""
-    target = _target(ctx, where_meta or {})
-    below = F.coalesce(F.col(RATE), F.lit(0.0)) < F.col("_target")
-    counted = (
+    in context, the denominator only the two real record types.
+
+    Those below are the members in context less those that reach the target, so the
+    many pairs without doses, whose blank rate counts as zero, need no rows.
+    """
+    target = F.coalesce(_target(ctx, where_meta or {}), F.lit(0.0))
+    places = _owned(ctx.by, _MUNICIPALITY)
+    in_context = _members(ctx).groupBy(*places).agg(F.count_distinct(_MEMBER).alias("_members"))
+    reached = (
         member_rates(ctx)
         .withColumn("_target", target)
+        .filter(F.coalesce(F.col(RATE), F.lit(0.0)) >= F.col("_target"))
         .groupBy(*ctx.by)
-        .agg(F.nullif(F.count_distinct(F.when(below, F.col(_MEMBER))), F.lit(0)).alias("_below"))
-    )
-    both = _attach(counted, total_municipios(ctx), list(ctx.by))
-    return both.select(
-        *ctx.by, F.try_divide("_below", "total_municipios").alias("pct_abaixo_meta")
+        .agg(F.count_distinct(_MEMBER).alias("_reached"))
     )
+    both = _attach(_spread_over(ctx, in_context, places), reached, list(ctx.by))
+    both = _attach(both, total_municipios(ctx), list(ctx.by))
+    below = F.nullif(F.col("_members") - F.coalesce("_reached", F.lit(0)), F.lit(0))
+    return both.select(*ctx.by, F.try_divide(below, "total_municipios").alias("pct_abaixo_meta"))
 
 
 # --- quality and shares ------------------------------------------------------------------

@@ -185,6 +185,22 @@ def test_below_target(star):
     assert by_region == {"Sudeste": 2 / 3, "Centro-Oeste": 1.0, "ESTRANGEIRO": None}
 
 
+def test_municipality_measures_by_other_slicers(star):
+    # Vaccine "um": A 60/100, B 30/30. Vaccine "dois": A 20/100; X has no population.
+    a1, b1, a2 = 60 / 100, 30 / 30, 20 / 100
+    assert evaluate(star, "d12", ["nome_vacina"]) == pytest.approx({"um": (a1 + b1) / 2, "dois": a2})
+    assert evaluate(star, "d13", ["nome_vacina"]) == pytest.approx({"um": (b1 - a1) / 2, "dois": 0})
+    # Of six members B alone reaches the target, with "um" only; five are real places.
+    assert evaluate(star, "d16", ["nome_vacina"]) == {"um": 5 / 5, "dois": 6 / 5}
+    by_both = evaluate(star, "d16", ["nome_regiao", "nome_vacina"])
+    assert by_both["Sudeste", "um"] == 2 / 3 and by_both["Sudeste", "dois"] == 3 / 3
+
+
+def test_share_below_an_unset_target(star):
+    assert evaluate(star, "d16", where_meta={"vacina": ["nenhuma"]}) is None
+    assert evaluate(star, "d16", where_meta={"vacina": ["BCG"]}) == 1.0
+
+
 def test_doses_off_listed_places(star):
     assert evaluate(star, "d17") == pytest.approx(10 / 120)
     assert evaluate(star, "d17", ["uf"]) == {"SP": None, "ESTRANGEIRO": 1.0}
@@ -203,7 +219,7 @@ def test_unknown_column(star):
     with pytest.raises(ValueError):
         measures.measure(star, "d01", ["cor"])
     with pytest.raises(ValueError):
-        measures.measure(star, "d12", ["chave_vacina"]).collect()
+        measures.measure(star, "d15", ["chave_vacina"])
 
 
 @pytest.mark.parametrize("seed", range(4))
