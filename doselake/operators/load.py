@@ -158,6 +158,14 @@ def _last_of_month(files: Sequence[Row]) -> dict[str, str]:
     return winner
 
 
+def inspect(
+    spark: SparkSession, source: str | Sequence[str], mes: str | None = None
+) -> DataFrame:
+    """Dry run (K4): month, format, header, counts and problems per file; no write."""
+    listed, _ = drops.listing(spark, source, mes)
+    return drops.manifest(spark, listed, with_hash=False)
+
+
 def load(
     spark: SparkSession,
     source: str | Sequence[str],

@@ -58,7 +58,11 @@ FROM (
 _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "bronze": ((), derived.BRONZE_SQL),
     "diretorio": ((), derived.DIRECTORY_SQL),
-    "populacao": (("diretorio",), derived.POPULATION_SQL_ANSI),
+    "populacao": (
+        ("diretorio",),
+        "SELECT id_municipio, CAST(ano AS BIGINT) AS ano, CAST(populacao AS BIGINT) AS populacao"
+        f" FROM ({derived.POPULATION_SQL_ANSI}) p",
+    ),
     "uf_ibge": ((), _values(seeds.UF_ROWS, "co_uf, sg_uf, nome_uf")),
     "faixa_etaria": (
         (),
@@ -559,8 +563,7 @@ _OTHERS = {
     "w1_latest_document": _with(["vivos"], f"SELECT {_RAW} FROM vivos"),
     "w2_latest_population": _with(
         ["populacao_recente"],
-        """SELECT id_municipio, CAST(ano AS BIGINT) AS ano, CAST(populacao AS BIGINT) AS populacao
-           FROM populacao_recente""",
+        "SELECT id_municipio, ano, populacao FROM populacao_recente",
     ),
     "m1_silver": _with(
         ["silver"],

@@ -354,16 +354,15 @@ def pct_abaixo_meta(ctx: Context, where_meta: Mapping[str, Filter] | None = None
 def pct_nao_municipio_valido(ctx: Context) -> DataFrame:
     """Share of doses on members that are no listed municipality."""
     kind = F.coalesce(F.col("tipo_registro"), F.lit(""))
+    other = F.sum(F.when(kind != dimensions.VALID, F.col(DOSES))).alias("_other")
+    share = F.try_divide("_other", DOSES).alias("pct_nao_municipio_valido")
+    if "tipo_registro" not in (*ctx.by, *ctx.where):
+        both = _joined_facts(ctx, ["tipo_registro"]).groupBy(*ctx.by)
+        return both.agg(F.sum(DOSES).alias(DOSES), other).select(*ctx.by, share)
     # The condition replaces a choice of record type above the line, not below it.
     on = [c for c in ctx.by if c != "tipo_registro"]
-    other = (
-        _joined_facts(ctx.without_columns("tipo_registro"), ["tipo_registro"])
-        .groupBy(*on)
-        .agg(F.sum(F.when(kind != dimensions.VALID, F.col(DOSES))).alias("_other"))
-    )
-    return _attach(doses(ctx), other, on).select(
-        *ctx.by, F.try_divide("_other", DOSES).alias("pct_nao_municipio_valido")
-    )
+    above = _joined_facts(ctx.without_columns("tipo_registro"), ["tipo_registro"])
+    return _attach(doses(ctx), above.groupBy(*on).agg(other), on).select(*ctx.by, share)
 
 
 def _share(ctx: Context, table: str, key: str, name: str) -> DataFrame:
@@ -371,7 +370,12 @@ def _share(ctx: Context, table: str, key: str, name: str) -> DataFrame:
     others = [c for c in ctx.by if _relation(c).table != table]
     slicers = [*others, *(_owned(ctx.by, table) or [key])]
     parts = doses(ctx.sliced(*slicers))
-    whole = doses(ctx.without(table).sliced(*others)).withColumnRenamed(DOSES, "_whole")
+    if _owned(ctx.where, table):
+        all_parts = doses(ctx.without(table).sliced(*others))
+    else:
+        # The same aggregate summed up: its shuffle is reused, not run again.
+        all_parts = parts
+    whole = all_parts.groupBy(*others).agg(F.sum(DOSES).alias("_whole"))
     return _attach(parts, whole, others).select(
         *slicers, F.try_divide(DOSES, "_whole").alias(name)
     )

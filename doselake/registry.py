@@ -146,9 +146,7 @@ def s1_csv_load(lake: Lake) -> DataFrame:
 
 def s3_sniff(lake: Lake) -> DataFrame:
     """Dry run: format and counts per drop, nothing written."""
-    listed, _ = drops.listing(lake.spark, lake.csv_folder)
-    found = drops.manifest(lake.spark, listed, with_hash=False)
-    return found.groupBy(
+    return load.inspect(lake.spark, lake.csv_folder).groupBy(
         "remessa", "mes_referencia", "encoding", "delimitador", F.size("colunas").alias("colunas")
     ).agg(
         F.sum("linhas_no_csv").alias("linhas_no_csv"),

@@ -25,6 +25,15 @@ def open_oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
+
 def _plain(value):
     if isinstance(value, Decimal):
         value = float(value)
@@ -48,6 +57,10 @@ def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | Non
     found = _bag(spark_df.columns, spark_df.collect())
     if sorted(columns) != sorted(spark_df.columns):
         return f"columns {sorted(spark_df.columns)} != {sorted(columns)}"
+    types = {d[0]: str(d[1]) for d in cursor.description}
+    for name, spark_type in spark_df.dtypes:
+        if types[name] != TYPES[spark_type]:
+            return f"type of {name}: {spark_type} != {types[name]}"
     if found != expected:
         missing, surplus = expected - found, found - expected
         return (

@@ -157,9 +157,8 @@ def test_drift_is_a_warning(spark, place):
 
 def test_dry_run_writes_nothing(spark, place, tmp_path):
     place.put("d_2026_01.csv", "a;b\n1;x\n")
-    listed, missing = drops.listing(spark, f"file://{place.csv}")
-    (found,) = drops.manifest(spark, listed).collect()
-    assert missing == [] and found["colunas"] == ["a", "b"] and found["linhas_no_csv"] == 1
+    (found,) = load.inspect(spark, f"file://{place.csv}").collect()
+    assert found["colunas"] == ["a", "b"] and found["linhas_no_csv"] == 1
     assert sorted(p.name for p in tmp_path.iterdir()) == ["csv"]
 
 

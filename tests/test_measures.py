@@ -204,6 +204,9 @@ def test_share_below_an_unset_target(star):
 def test_doses_off_listed_places(star):
     assert evaluate(star, "d17") == pytest.approx(10 / 120)
     assert evaluate(star, "d17", ["uf"]) == {"SP": None, "ESTRANGEIRO": 1.0}
+    # Choosing a record type moves the whole, not the part.
+    assert evaluate(star, "d17", (), {"tipo_registro": [V]}) == 10 / 110
+    assert evaluate(star, "d17", ["tipo_registro"]) == {V: 10 / 110, E: 10 / 10}
 
 
 def test_shares(star):
