@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,15 +61,22 @@ def value_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def functional_dependency(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
-    """Codes, and codes carrying more than one name, per (code, name) pair."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("codigo"), F.col(c).alias("_code"), F.col(n).alias("_name"))
-            for c, n in pairs.items()
-        ]
+    """Codes, and codes carrying more than one name, per (code, name) pair.
+
+    Every pair is reduced to its distinct values where it is scanned, apart from
+    the others: a pair with few values is not held up by one with many.
+    """
+    seen = [
+        df.select(F.lit(c).alias("codigo"), F.col(c).alias("_code"), F.col(n).alias("_name"))
+        .filter("_code IS NOT NULL")
+        .distinct()
+        for c, n in pairs.items()
+    ]
+    names = (
+        reduce(DataFrame.unionByName, seen)
+        .groupBy("codigo", "_code")
+        .agg(F.count("_name").alias("_names"))
     )
-    seen = df.select(F.inline(entries)).filter("_code IS NOT NULL").distinct()
-    names = seen.groupBy("codigo", "_code").agg(F.count("_name").alias("_names"))
     return names.groupBy("codigo").agg(
         F.count("*").alias("valores"),
         F.count(F.when(F.col("_names") > 1, 1)).alias("com_varios_nomes"),

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS_PER_DOUBLING = 16
+_STEPS_PER_DOUBLING = 64
+_ABOVE_ALL_STEPS = 80_000  # 64 steps times the 1,074 doublings below one, and more
 
 
 def _magnitude(v: Column) -> Column:
     """A bucket number that never decreases as ``v`` grows.
 
-    Sixteen buckets per doubling of the absolute value, mirrored for negatives.
-    The range of a double bounds the number of buckets to some 70,000.
+    A bucket spans about one percent of the absolute value, mirrored for negatives.
+    The range of a double bounds the number of buckets to some 270,000.
     """
-    steps = F.floor(F.log2(F.abs(v)) * _STEPS_PER_DOUBLING) + 20_000
+    steps = F.floor(F.log2(F.abs(v)) * _STEPS_PER_DOUBLING) + _ABOVE_ALL_STEPS
     return F.when(v > 0, steps).when(v < 0, -steps).otherwise(F.lit(0)).cast("int")
 
 

@@ -7,6 +7,7 @@ by the queries of the layers above. A query of a layer computes that layer.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import cached_property
 
@@ -127,6 +128,8 @@ class Lake:
 
 
 _lakes: dict[tuple[str, str], Lake] = {}
+# Queries asked for by several threads store each table once.
+_building = threading.RLock()
 
 
 def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
@@ -533,7 +536,11 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def _registered(run: Callable[[Lake], DataFrame]) -> Query:
-    return lambda spark, sf_dir: comparable(run(lake_of(spark, sf_dir)))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with _building:
+            return comparable(run(lake_of(spark, sf_dir)))
+
+    return query
 
 
 def queries() -> dict[str, Query]:

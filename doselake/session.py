@@ -13,8 +13,9 @@ _SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A task that writes a few months keeps their files open instead of sorting.
-    "spark.sql.maxConcurrentOutputFileWriters": "32",
+    # A task that writes a few months keeps their files open instead of sorting;
+    # few enough that their row groups fit in memory, beyond that it sorts.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
