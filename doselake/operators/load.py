@@ -38,6 +38,9 @@ LOG_SCHEMA = T.StructType(
 # Some 20 MB of file names; a longer list is joined as its measured size allows.
 _BROADCAST_FILES = 100_000
 
+NEW_COLUMN = "falta na tabela"
+MISSING_COLUMN = "falta no csv"
+
 LINES = "linhas"
 RECORDS = "registros"
 
@@ -73,11 +76,31 @@ def target_columns(spark: SparkSession, table: str) -> list[str] | None:
     return [c for c in stored if c not in (FILE_COLUMN, MONTH_COLUMN)]
 
 
-def schema_drift(spark: SparkSession, incoming: Sequence[str], target: Sequence[str]) -> DataFrame:
-    """Columns only in the files or only in the table (K5, T3); a warning, never a stop."""
-    rows = [(c, "falta na tabela") for c in sorted(set(incoming) - set(target))]
-    rows += [(c, "falta no csv") for c in sorted(set(target) - set(incoming))]
-    return spark.createDataFrame(rows, "coluna string, situacao string")
+def schema_drift(headers: DataFrame, target: Sequence[str]) -> DataFrame:
+    """Columns the table lacks or the drops lack, and in how many drops.
+
+    ``headers`` holds the clean column names (``colunas``) of each ``remessa``. A
+    warning, never a stop.
+    """
+    spark = headers.sparkSession
+    held = (
+        headers.select("remessa", F.explode("colunas").alias("coluna"))
+        .groupBy("coluna")
+        .agg(F.count_distinct("remessa").alias("_with"))
+    )
+    known = spark.createDataFrame([(c,) for c in target], "_known string")
+    total = headers.agg(F.count_distinct("remessa").alias("n"))
+    without = total.scalar() - F.coalesce("_with", F.lit(0))
+    new = F.col("_known").isNull()
+    return (
+        held.join(known, F.col("coluna") == F.col("_known"), "full_outer")
+        .select(
+            F.coalesce("coluna", "_known").alias("coluna"),
+            F.when(new, NEW_COLUMN).otherwise(MISSING_COLUMN).alias("situacao"),
+            F.when(new, F.col("_with")).otherwise(without).alias("remessas"),
+        )
+        .filter("remessas > 0")
+    )
 
 
 def _read(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
@@ -200,8 +223,8 @@ def load(
 
     target = target_columns(spark, table)
     if target is not None:
-        incoming = list(dict.fromkeys(c for f in kept for c in f["colunas"]))
-        report.drift = schema_drift(spark, incoming, target)
+        headers = spark.createDataFrame(kept, seen.schema).select("remessa", "colunas")
+        report.drift = schema_drift(headers, target)
 
     rows = _read(spark, kept)
     replace_months(rows, table)

@@ -530,8 +530,12 @@ _OTHERS = {
         f"""SELECT {_DROP} AS remessa, linhas AS linhas_no_csv, linhas AS linhas_carregadas,
               1 AS reconciliado FROM nomes_arquivo""",
     ),
-    "k5_schema_drift": _values(
-        [("no_estrategia", "falta na tabela"), ("st_documento", "falta no csv")], "coluna, situacao"
+    "k5_schema_drift": _with(
+        ["nomes_arquivo"],
+        """SELECT coluna, situacao, count(*) AS remessas FROM nomes_arquivo,
+             (VALUES ('no_estrategia', 'falta na tabela'), ('st_documento', 'falta no csv'))
+               AS v(coluna, situacao)
+           GROUP BY ALL""",
     ),
     "p2_safe_cast_profile": _with(
         ["bronze"],

@@ -249,12 +249,12 @@ def k3_reconcile(lake: Lake) -> DataFrame:
 
 
 def k5_schema_drift(lake: Lake) -> DataFrame:
-    """Headers of the CSV drops against the columns silver needs plus one it lacks."""
+    """Headers of the CSV drops against the columns silver reads, less one they have
+    and plus one they lack."""
     listed, _ = drops.listing(lake.spark, lake.csv_folder)
-    header = drops.column_mapping(drops.formats(listed))
-    incoming = [r["coluna"] for r in header.select("coluna").collect()]
+    headers = listed.join(drops.formats(listed), "uri").select("remessa", "colunas")
     target = [c for c in BRONZE_COLUMNS if c != "no_estrategia"] + ["st_documento"]
-    return load.schema_drift(lake.spark, incoming, target)
+    return load.schema_drift(headers, target)
 
 
 def k8_publication(lake: Lake) -> DataFrame:

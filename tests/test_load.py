@@ -149,12 +149,24 @@ def test_drift_is_a_warning(spark, place):
     report = place.load(spark)
     assert report.problems == []
     assert sorted(tuple(r) for r in report.drift.collect()) == [
-        ("b", "falta no csv"),
-        ("c", "falta na tabela"),
+        ("b", "falta no csv", 1),
+        ("c", "falta na tabela", 1),
     ]
     assert place.rows(spark, "a", "b", "c") == [("2026-01", "1", None, "y")]
 
 
+def test_drift_counts_drops(spark):
+    headers = spark.createDataFrame(
+        [("x", ["a", "b"]), ("x", ["a", "b"]), ("y", ["a", "c"]), ("z", ["a"])],
+        "remessa string, colunas array<string>",
+    )
+    assert sorted(tuple(r) for r in load.schema_drift(headers, ["a", "b", "d"]).collect()) == [
+        ("b", "falta no csv", 2),
+        ("c", "falta na tabela", 1),
+        ("d", "falta no csv", 3),
+    ]
+
+
 def test_dry_run_writes_nothing(spark, place, tmp_path):
     place.put("d_2026_01.csv", "a;b\n1;x\n")
     (found,) = load.inspect(spark, f"file://{place.csv}").collect()
