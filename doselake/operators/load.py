@@ -38,6 +38,10 @@ LOG_SCHEMA = T.StructType(
 # Some 20 MB of file names; a longer list is joined as its measured size allows.
 _BROADCAST_FILES = 100_000
 
+# Up to this size a file whose records span lines is left to one task; a larger one
+# is read in blocks, which costs a shuffle.
+_ONE_TASK_BYTES = 256 * 1024 * 1024
+
 NEW_COLUMN = "falta na tabela"
 MISSING_COLUMN = "falta no csv"
 
@@ -103,15 +107,21 @@ def schema_drift(headers: DataFrame, target: Sequence[str]) -> DataFrame:
     )
 
 
+def _reading(file: Row) -> str:
+    if not file["quebra_em_aspas"]:
+        return drops.BY_LINE
+    return drops.BY_FILE if file["bytes"] <= _ONE_TASK_BYTES else drops.SPANNING
+
+
 def _read(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
     """All files as one DataFrame with their months, read once per distinct format."""
     by_format: dict[tuple, list[str]] = {}
     for f in files:
-        kind = (tuple(f["colunas"]), f["encoding"], f["delimitador"], f["quebra_em_aspas"])
+        kind = (tuple(f["colunas"]), f["encoding"], f["delimitador"], _reading(f))
         by_format.setdefault(kind, []).append(f["path"])
     parts = [
-        drops.read_rows(spark, paths, columns, encoding, delimiter, multiline)
-        for (columns, encoding, delimiter, multiline), paths in by_format.items()
+        drops.read_rows(spark, paths, columns, encoding, delimiter, reading)
+        for (columns, encoding, delimiter, reading), paths in by_format.items()
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     # The month is a fact of the file: looked up, not parsed from the name per row.

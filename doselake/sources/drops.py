@@ -18,9 +18,9 @@ import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.names import clean_names, month_of
+from .spanning import odd_quotes, read_spanning_rows
 
 # --- fixed values: candidate formats in order of preference, and reading sizes ------
 ENCODINGS = ["utf-8-sig", "utf-8", "ISO-8859-1"]
@@ -29,6 +29,11 @@ HEAD_CHARACTERS = 65_536
 HASH_BLOCK = 1024 * 1024
 # --------------------------------------------------------------------------------------
 
+# How records relate to lines, see read_rows.
+BY_LINE = "linha"
+BY_FILE = "arquivo"
+SPANNING = "blocos"
+
 _BYTES_PER_CHARACTER = 4  # at most, in UTF-8
 _FORMAT_SCHEMA = (
     "uri string, encoding string, delimitador string, "
@@ -192,12 +197,13 @@ def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     tasks. A line with an odd number of quotes opens or closes a quoted field that
     spans lines; without one, every line is a whole record.
     """
-    value = F.col("value")
-    quotes = F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(list(paths))
-        .select(F.col("_metadata.file_path").alias("uri"), (quotes % 2 == 1).alias("_odd"))
+        .select(
+            F.col("_metadata.file_path").alias("uri"),
+            (odd_quotes(F.col("value")) == 1).alias("_odd"),
+        )
     )
     return lines.groupBy("uri").agg(
         F.greatest(F.count("*") - 1, F.lit(0)).alias("linhas_no_csv"),
@@ -241,25 +247,32 @@ def read_rows(
     columns: Sequence[str],
     encoding: str,
     delimiter: str,
-    multiline: bool,
+    reading: str = BY_LINE,
 ) -> DataFrame:
     """Rows of files of one format, every column text, no bad row tolerated.
 
-    An unquoted empty field is null, a quoted one an empty text. Files without
-    line breaks inside quotes are split over many tasks.
+    An unquoted empty field is null, a quoted one an empty text. ``reading`` says how
+    records relate to lines: one line each, spanning lines in files small enough for one
+    task each, or spanning lines in files of any size.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    charset = "ISO-8859-1" if encoding == "ISO-8859-1" else "UTF-8"
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    options = {
+        "header": "true",
+        "sep": delimiter,
+        "encoding": charset,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": str(reading != BY_LINE).lower(),
+        "mode": "FAILFAST",
+        "nullValue": "\\N",
+        "columnPruning": "false",
+    }
+    if reading == SPANNING:
+        return read_spanning_rows(spark, paths, schema, charset, options)
     rows = (
         spark.read.schema(schema)
-        .option("header", "true")
-        .option("sep", delimiter)
-        .option("encoding", "ISO-8859-1" if encoding == "ISO-8859-1" else "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", str(multiline).lower())
-        .option("mode", "FAILFAST")
-        .option("nullValue", "\\N")
-        .option("columnPruning", "false")
+        .options(**options)
         .option("recursiveFileLookup", "true")
         .csv(list(paths))
     )

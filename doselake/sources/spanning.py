@@ -1,0 +1,128 @@
+"""Records that span lines, read by many tasks per file.
+
+Spark's multi-line CSV scan gives a whole file to one task. Here the file is read as
+lines, which split; whether a line starts a record follows from the number of quotes
+before it, and that number is a prefix sum: inside the blocks of the file first, then
+over the blocks (one short row each).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+
+def odd_quotes(line: Column) -> Column:
+    """1 where the line opens or closes a quoted field that spans lines, else 0.
+
+    Counted in bytes, so it holds in every encoding that extends ASCII.
+    """
+    without = F.replace(line, F.lit('"'), F.lit(""))
+    return (F.octet_length(line) - F.octet_length(without)) % 2
+
+
+def _numbered_lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
+    """Lines with their block of the file and their order inside it."""
+    value = F.col("value")
+    if encoding != "UTF-8":
+        # The text scan passes bytes through; decode them before any text function.
+        value = F.decode(value.cast("binary"), encoding)
+    return (
+        spark.read.option("lineSep", "\n")
+        .option("recursiveFileLookup", "true")
+        .text(list(paths))
+        .select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_line"),
+            odd_quotes(value).alias("_odd"),
+            value.alias("value"),
+        )
+    )
+
+
+def _within_blocks(lines: DataFrame) -> DataFrame:
+    """As if every block began outside quotes: ``_inside`` tells whether a line then
+    continues a record, ``_starts`` how many records have begun up to it."""
+    order = Window.partitionBy("uri", "_block").orderBy("_line")
+    before = F.sum("_odd").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = lines.withColumn("_inside", F.coalesce(before, F.lit(0)) % 2)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return placed.withColumns(
+        {
+            "_position": F.row_number().over(order),
+            "_starts": F.sum(1 - F.col("_inside")).over(so_far),
+            "_next_inside": F.lead("_inside").over(order),
+        }
+    )
+
+
+def _block_offsets(lines: DataFrame) -> DataFrame:
+    """Per block: whether it really begins inside quotes, and the records begun before.
+
+    A block that does has its starts and continuations swapped throughout.
+    """
+    earlier = (
+        Window.partitionBy("uri").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    blocks = lines.groupBy("uri", "_block").agg(
+        F.max("_position").alias("_lines"), F.max("_starts").alias("_if_outside"),
+        F.sum("_odd").alias("_quotes"),
+    )
+    flipped = F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2
+    starts = F.when(F.col("_flipped") == 0, F.col("_if_outside")).otherwise(
+        F.col("_lines") - F.col("_if_outside")
+    )
+    return (
+        blocks.withColumn("_flipped", flipped)
+        .withColumn("_begun", F.coalesce(F.sum(starts).over(earlier), F.lit(0)))
+        .select("uri", "_block", "_flipped", "_begun")
+    )
+
+
+def record_texts(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
+    """``uri``, ``record`` (1 is the header) and ``text`` of every record."""
+    lines = _within_blocks(_numbered_lines(spark, paths, encoding))
+    placed = lines.join(_block_offsets(lines), ["uri", "_block"])
+    flipped = F.col("_flipped")
+    begun_here = F.when(flipped == 0, F.col("_starts")).otherwise(
+        F.col("_position") - F.col("_starts")
+    )
+    placed = placed.withColumn("record", F.col("_begun") + begun_here)
+
+    starts = (F.col("_inside") + flipped) % 2 == 0
+    next_starts = (F.col("_next_inside") + flipped) % 2 == 0
+    # The last line of a block may go on in the next one: it is put together too.
+    alone = F.coalesce(starts & next_starts, F.lit(False))
+    whole = placed.filter(alone).select("uri", "record", F.col("value").alias("text"))
+    pieces = F.array_sort(F.collect_list(F.struct("_block", "_position", "value")))
+    joined = (
+        placed.filter(~alone)
+        .groupBy("uri", "record")
+        .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("text"))
+    )
+    return whole.unionByName(joined)
+
+
+def read_spanning_rows(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: str,
+    encoding: str,
+    options: dict[str, str],
+) -> DataFrame:
+    """Rows of the files parsed record by record, headers left out, with their file.
+
+    As in Spark's own scan, a line break inside quotes becomes a plain newline.
+    """
+    raw = F.regexp_replace(F.replace(F.col("text"), F.lit("\r\n"), F.lit("\n")), "\r$", "")
+    return (
+        record_texts(spark, paths, encoding)
+        .filter("record > 1")
+        .select("uri", raw.alias("_text"))
+        .filter("_text <> ''")
+        .select(F.from_csv("_text", schema, options).alias("_row"), "uri")
+        .select("_row.*", "uri")
+    )

@@ -242,3 +242,65 @@ def test_head_cut_inside_a_character(spark, place):
     listed, _ = drops.listing(spark, f"file://{place.csv}")
     (found,) = drops.formats(listed).collect()
     assert found["encoding"] == "utf-8-sig" and found["colunas"] == ["e", "b"]
+
+
+# --- records that span lines, read in blocks ---------------------------------------------------
+
+
+def spanning_text(rng, rows, newline):
+    def cell():
+        kind = rng.randrange(7)
+        if kind == 0:
+            return ""
+        if kind == 1:
+            return '""'
+        if kind == 2:
+            return '"a' + newline * rng.randrange(1, 4) + 'b"'
+        if kind == 3:
+            return '"x""' + newline + '""y;z"'
+        if kind == 4:
+            return '"' + ("é" * rng.randrange(40) + newline) * rng.randrange(6) + '"'
+        return rng.choice(["1", "ção", "plain text", " padded "])
+
+    body = [";".join([str(i), cell(), cell()]) for i in range(rows)]
+    return newline.join(['"i";"p"";""q";r', *body]) + rng.choice(["", newline])
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("encoding", ["utf-8", "ISO-8859-1", "utf-8-sig"])
+@pytest.mark.parametrize("block", [37, 400, 10**6])
+def test_blocks_give_the_rows_of_one_task(spark, place, newline, encoding, block):
+    import random
+
+    rng = random.Random(f"{newline}{encoding}{block}")
+    paths = [place.put(f"d{k}.csv", spanning_text(rng, 60, newline), encoding) for k in range(2)]
+    columns = ["i", "p", "r"]
+    whole = drops.read_rows(spark, paths, columns, encoding, ";", drops.BY_FILE)
+    expected = sorted((tuple(r) for r in whole.collect()), key=str)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        found = drops.read_rows(spark, paths, columns, encoding, ";", drops.SPANNING)
+        assert sorted((tuple(r) for r in found.collect()), key=str) == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(expected) == 120
+
+
+def test_large_spanning_file_loads_in_blocks(spark, place, monkeypatch):
+    monkeypatch.setattr(load, "_ONE_TASK_BYTES", 10)
+    place.put("d_2026_01.csv", 'a;b\n1;"x\ny"\n2;z\n')
+    place.put("d_2026_02.csv", "a;b\n3;w\n")
+    place.load(spark, gate=load.RECORDS).raise_for_problems()
+    assert place.rows(spark, "a", "b") == [
+        ("2026-01", "1", "x\ny"), ("2026-01", "2", "z"), ("2026-02", "3", "w"),
+    ]
+
+
+@pytest.mark.parametrize("bad", ["1\n", "1;2;3\n"])
+def test_wrong_width_in_blocks_stops_the_run(spark, place, monkeypatch, bad):
+    monkeypatch.setattr(load, "_ONE_TASK_BYTES", 10)
+    place.put("d_2026_01.csv", 'a;b\n0;"p\nq"\n' + bad)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        place.load(spark)
