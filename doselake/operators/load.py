@@ -40,7 +40,7 @@ _BROADCAST_FILES = 100_000
 
 # Up to this size a file whose records span lines is left to one task; a larger one
 # is read in blocks, which costs a shuffle.
-_ONE_TASK_BYTES = 256 * 1024 * 1024
+ONE_TASK_BYTES = 256 * 1024 * 1024
 
 NEW_COLUMN = "falta na tabela"
 MISSING_COLUMN = "falta no csv"
@@ -107,17 +107,19 @@ def schema_drift(headers: DataFrame, target: Sequence[str]) -> DataFrame:
     )
 
 
-def _reading(file: Row) -> str:
+def _reading(file: Row, one_task_bytes: int) -> str:
     if not file["quebra_em_aspas"]:
         return drops.BY_LINE
-    return drops.BY_FILE if file["bytes"] <= _ONE_TASK_BYTES else drops.SPANNING
+    return drops.BY_FILE if file["bytes"] <= one_task_bytes else drops.SPANNING
 
 
-def _read(spark: SparkSession, files: Sequence[Row]) -> DataFrame:
+def _read(
+    spark: SparkSession, files: Sequence[Row], one_task_bytes: int = ONE_TASK_BYTES
+) -> DataFrame:
     """All files as one DataFrame with their months, read once per distinct format."""
     by_format: dict[tuple, list[str]] = {}
     for f in files:
-        kind = (tuple(f["colunas"]), f["encoding"], f["delimitador"], _reading(f))
+        kind = (tuple(f["colunas"]), f["encoding"], f["delimitador"], _reading(f, one_task_bytes))
         by_format.setdefault(kind, []).append(f["path"])
     parts = [
         drops.read_rows(spark, paths, columns, encoding, delimiter, reading)
@@ -206,6 +208,7 @@ def load(
     log_table: str,
     mes: str | None = None,
     gate: str = LINES,
+    one_task_bytes: int = ONE_TASK_BYTES,
 ) -> LoadReport:
     """Load a folder or a list of files into ``table``, month by month.
 
@@ -236,7 +239,7 @@ def load(
         headers = spark.createDataFrame(kept, seen.schema).select("remessa", "colunas")
         report.drift = schema_drift(headers, target)
 
-    rows = _read(spark, kept)
+    rows = _read(spark, kept, one_task_bytes)
     replace_months(rows, table)
 
     months = sorted(winner)
@@ -244,10 +247,10 @@ def load(
     loaded = rows_per_file(stored, FILE_COLUMN)
     if replaced:
         # Parsed and counted like the others, but a later drop holds their month.
-        loaded = loaded.unionByName(rows_per_file(_read(spark, replaced), FILE_COLUMN))
+        loaded = loaded.unionByName(rows_per_file(_read(spark, replaced, one_task_bytes), FILE_COLUMN))
     checked = spark.createDataFrame(good, seen.schema)
     if gate == RECORDS:
-        parsed = rows_per_file(_read(spark, good), FILE_COLUMN)
+        parsed = rows_per_file(_read(spark, good, one_task_bytes), FILE_COLUMN)
         expected = parsed.withColumnRenamed("linhas_carregadas", "linhas_no_csv")
     else:
         expected = checked.select("uri", "linhas_no_csv")

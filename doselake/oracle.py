@@ -480,6 +480,11 @@ _OTHERS = {
     "s1_csv_load": _with(
         ["bronze"], f"SELECT {_RAW}, {_SHIFTED} AS mes_referencia FROM bronze"
     ),
+    "s1_quoted_newlines": _with(
+        ["bronze"],
+        f"""SELECT {_RAW}, {_SHIFTED} AS mes_referencia
+            FROM (SELECT * REPLACE (replace(ds_nome, ' ', chr(10) || '"') AS ds_nome) FROM bronze) b""",
+    ),
     "s3_sniff": _with(
         ["nomes_arquivo"],
         f"""SELECT {_DROP} AS remessa, ano || '-' || mm AS mes_referencia,

@@ -147,6 +147,17 @@ def s1_csv_load(lake: Lake) -> DataFrame:
     return load.bronze_table(lake.spark, table).drop(load.FILE_COLUMN)
 
 
+def s1_quoted_newlines(lake: Lake) -> DataFrame:
+    """The drops with a line break and a quote inside every vaccine name, read in
+    blocks as a large file would be."""
+    base = shared_folder(lake.spark)
+    name = F.replace(F.col("ds_nome"), F.lit(" "), F.lit('\n"'))
+    derived.write_drops(lake.bronze.withColumn("ds_nome", name), f"{base}/remessas")
+    table = f"{base}/doses_aplicadas_pni"
+    load.load(lake.spark, f"{base}/remessas", table, f"{base}/_carga_log", one_task_bytes=0)
+    return load.bronze_table(lake.spark, table).drop(load.FILE_COLUMN)
+
+
 def s3_sniff(lake: Lake) -> DataFrame:
     """Dry run: format and counts per drop, nothing written."""
     return load.inspect(lake.spark, lake.csv_folder).groupBy(
@@ -471,6 +482,7 @@ _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
         f.__name__: f
         for f in (
             s1_csv_load,
+            s1_quoted_newlines,
             s3_sniff,
             s5_month_from_name,
             s7_hash,

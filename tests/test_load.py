@@ -288,19 +288,17 @@ def test_blocks_give_the_rows_of_one_task(spark, place, newline, encoding, block
     assert len(expected) == 120
 
 
-def test_large_spanning_file_loads_in_blocks(spark, place, monkeypatch):
-    monkeypatch.setattr(load, "_ONE_TASK_BYTES", 10)
+def test_large_spanning_file_loads_in_blocks(spark, place):
     place.put("d_2026_01.csv", 'a;b\n1;"x\ny"\n2;z\n')
     place.put("d_2026_02.csv", "a;b\n3;w\n")
-    place.load(spark, gate=load.RECORDS).raise_for_problems()
+    place.load(spark, gate=load.RECORDS, one_task_bytes=10).raise_for_problems()
     assert place.rows(spark, "a", "b") == [
         ("2026-01", "1", "x\ny"), ("2026-01", "2", "z"), ("2026-02", "3", "w"),
     ]
 
 
 @pytest.mark.parametrize("bad", ["1\n", "1;2;3\n"])
-def test_wrong_width_in_blocks_stops_the_run(spark, place, monkeypatch, bad):
-    monkeypatch.setattr(load, "_ONE_TASK_BYTES", 10)
+def test_wrong_width_in_blocks_stops_the_run(spark, place, bad):
     place.put("d_2026_01.csv", 'a;b\n0;"p\nq"\n' + bad)
     with pytest.raises(Exception, match="(?i)malformed"):
-        place.load(spark)
+        place.load(spark, one_task_bytes=10)
