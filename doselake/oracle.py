@@ -10,7 +10,7 @@ from __future__ import annotations
 from .functions.calendar import MONTH_ABBREVIATIONS, MONTH_NAMES
 from .plans import checks
 from .plans.facts import RELATIONS
-from .registry import RATE_DIGITS
+from .registry import RATE_DIGITS, WHOLE_OR_NULL
 from .sources import derived, seeds
 from .sources.tables import BRONZE_COLUMNS
 
@@ -691,9 +691,17 @@ _QUALITY = {
 }
 
 
+def _as_doubles(sql: str, columns: tuple[str, ...]) -> str:
+    if not columns:
+        return sql
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) q"
+
+
 def statements() -> dict[str, str]:
-    return {
+    plain = {
         **_OTHERS,
         **_MEASURES,
         **{name: _checks(kind) for name, kind in _QUALITY.items()},
     }
+    return {name: _as_doubles(sql, WHOLE_OR_NULL.get(name, ())) for name, sql in plain.items()}

@@ -533,8 +533,28 @@ _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
 
 RATE_DIGITS = 9
 
+# Whole numbers that may be null. For the comparison they are doubles on both sides:
+# data frames of the two engines disagree on how to hold a missing integer.
+_PLACE = ("populacao", "ano_populacao")
+_BANDS = ("idade_min", "idade_max")
+WHOLE_OR_NULL: dict[str, tuple[str, ...]] = {
+    "s9_seed_bands": (*_BANDS, "doses"),
+    "s9_seed_uf": ("doses",),
+    "m1_silver": ("idade_paciente",),
+    "m2_municipalities": _PLACE,
+    "m3_dim_municipality": _PLACE,
+    "m5_calendar": ("doses",),
+    "j6_age_band_counts": ("idade_paciente", "faixa"),
+    "m7_mart": (*_PLACE, *_BANDS),
+    "m8_mart_summary": (*_PLACE, *_BANDS),
+    "d02": ("populacao_coberta",),
+    "d02_dedup": ("populacao_coberta",),
+    "d09": ("doses_mes_anterior",),
+    "d11": ("doses_ytd",),
+}
+
 
-def comparable(df: DataFrame) -> DataFrame:
+def comparable(df: DataFrame, doubles: tuple[str, ...] = ()) -> DataFrame:
     """Dates and instants as ISO text and ratios rounded, for value comparison."""
     columns = []
     for f in df.schema.fields:
@@ -543,17 +563,19 @@ def comparable(df: DataFrame) -> DataFrame:
             c = c.cast("string")
         elif isinstance(f.dataType, T.DoubleType):
             c = F.round(c, RATE_DIGITS)
+        elif f.name in doubles:
+            c = c.cast("double")
         columns.append(c.alias(f.name))
     return df.select(*columns)
 
 
-def _registered(run: Callable[[Lake], DataFrame]) -> Query:
+def _registered(name: str, run: Callable[[Lake], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         with _building:
-            return comparable(run(lake_of(spark, sf_dir)))
+            return comparable(run(lake_of(spark, sf_dir)), WHOLE_OR_NULL.get(name, ()))
 
     return query
 
 
 def queries() -> dict[str, Query]:
-    return {name: _registered(run) for name, run in _LAKE_QUERIES.items()}
+    return {name: _registered(name, run) for name, run in _LAKE_QUERIES.items()}

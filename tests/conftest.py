@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         "doselake-tests",
         **{
             "spark.checkpoint.dir": f"file://{folder}",
+            "spark.sql.shuffle.partitions": "2",
             "spark.sql.warehouse.dir": f"file://{folder}/warehouse",
         },
     )
