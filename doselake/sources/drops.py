@@ -95,18 +95,25 @@ def listing(
             return _with_identity(_files(spark, f"{source.rstrip('/')}/*.csv"), mes), []
         except AnalysisException as problem:
             raise NoDrops(f"no .csv in {source}") from problem
-    present, missing = [], []
-    for path in source:
-        try:
-            _files(spark, path)
-            present.append(path)
-        except AnalysisException:
-            missing.append(path)
+    try:
+        return _with_identity(_files(spark, list(source)), mes), []
+    except AnalysisException:
+        # Some file is not there: find out which, one listing each.
+        missing = [path for path in source if not _exists(spark, path)]
+    present = [path for path in source if path not in missing]
     if not present:
         raise NoDrops(f"none of {len(missing)} files exists")
     return _with_identity(_files(spark, present), mes), missing
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        _files(spark, path)
+    except AnalysisException:
+        return False
+    return True
+
+
 # --- per-file facts that need the bytes ---------------------------------------------------
 
 
