@@ -150,6 +150,13 @@ def replace_months(rows: DataFrame, table: str) -> None:
     )
 
 
+def clear_month(rows: DataFrame, table: str, month: str) -> None:
+    """Replace a month by nothing: a dynamic overwrite leaves a month without rows as
+    it was, but a drop without rows must empty its month too."""
+    nothing = rows.drop(MONTH_COLUMN).limit(0)
+    nothing.write.mode("overwrite").parquet(f"{table.rstrip('/')}/{MONTH_COLUMN}={month}")
+
+
 def reconcile(expected: DataFrame, loaded: DataFrame) -> DataFrame:
     """Source and loaded rows per file, a file on either side alone included."""
     both = expected.join(loaded, "uri", "full_outer")
@@ -244,6 +251,12 @@ def load(
 
     months = sorted(winner)
     stored = bronze_table(spark, table, []).filter(F.col(MONTH_COLUMN).isin(months))
+    present = {r["uri"] for r in rows_per_file(stored, FILE_COLUMN).collect()}
+    filled = {f[MONTH_COLUMN] for f in kept if f["uri"] in present}
+    for month in months:
+        if month not in filled:
+            clear_month(rows, table, month)
+            stored = stored.filter(F.col(MONTH_COLUMN) != month)
     loaded = rows_per_file(stored, FILE_COLUMN)
     if replaced:
         # Parsed and counted like the others, but a later drop holds their month.

@@ -142,6 +142,22 @@ def test_header_only_file(spark, place):
     assert (entry["linhas_no_csv"], entry["linhas_carregadas"]) == (0, 0)
 
 
+def test_drop_without_rows_empties_its_month(spark, place):
+    place.put("d_2026_01.csv", "a;b\n1;x\n")
+    place.put("d_2026_02.csv", "a;b\n2;x\n")
+    place.load(spark).raise_for_problems()
+    place.put("e_2026_01.csv", "a;b\n")
+    place.load(spark).raise_for_problems()
+    assert place.rows(spark, "a") == [("2026-02", "2")]
+    # Blank lines are no records: the month is emptied, the difference reported.
+    place.put("e_2026_02.csv", "a;b\n\n\n")
+    report = place.load(spark)
+    assert len(report.problems) == 1 and place.rows(spark, "a") == []
+    later = place.put("f_2026_02.csv", "a;b\n5;x\n")
+    place.load(spark, [later]).raise_for_problems()
+    assert place.rows(spark, "a") == [("2026-02", "5")]
+
+
 def test_drift_is_a_warning(spark, place):
     place.put("d_2026_01.csv", "a;b\n1;x\n")
     assert place.load(spark).drift is None
