@@ -13,10 +13,12 @@ need only be kept for those prefixes, and a long list is divided by the next mat
 The work stays linear where many documents are alike:
 
 * equal sets are one node;
-* every node is first compared with the smallest node of the list it meets most often,
-  and what that confirms is contracted; afterwards only pairs across components count
-  (skip merging), so lists inside one component vanish;
-* remaining lists of over `LONG_LIST` nodes are divided by further coordinates, never cut.
+* in a few rounds every node is compared with one leader, the best connected node of the
+  list it meets most often, and what that confirms is contracted. Afterwards only pairs
+  across components count (skip merging): lists inside one component vanish, and in the
+  others only nodes outside the commonest component are paired with the rest;
+* lists where over `FEW_STRANGERS` nodes lie outside it are divided by the next match,
+  never cut, as long as that makes them a quarter as long.
 """
 
 from __future__ import annotations
@@ -34,8 +36,10 @@ from .components import components
 
 COORDINATES = 20
 MATCHES = 7
-LONG_LIST = 64
-MEMBERS_PER_SEED = 256  # texts compared with one copy of a seed's set
+ROUNDS = 2
+FEW_STRANGERS = 64
+FILTER_WORDS = 1 << 20  # of 64 bits, 8 MB at most
+BLOCK_SHINGLES = 1 << 18  # in the sets of one side that a task holds, or one set
 _SHINGLES_AT_ONCE = 4096
 
 _RNG = np.random.default_rng(77)
@@ -120,76 +124,95 @@ def _match(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
     return pairs.where(close).select("a", "b")
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose full shingle sets are similar enough.
+def _having(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` less most rows whose id is not in ``ids`` (column ``node``).
 
-    Texts are joined to the pairs once. The members of a seed ``a`` are dealt in parts of
-    about `MEMBERS_PER_SEED`, each with a copy of the seed; a task holds one seed's set.
+    A bit table of at most `FILTER_WORDS` words is broadcast, so texts that no pair needs
+    are dropped before the shuffle; beyond millions of ids it lets more and more through.
     """
-    sizes = pairs.groupBy("a").agg(
-        F.expr(f"cast(ceil(count(*) / {MEMBERS_PER_SEED}) as int)").alias("parts")
+    words = 1 << min(FILTER_WORDS.bit_length() - 1, max(10, ids.count().bit_length()))
+    place = f"xxhash64({{}}) & {words - 1}"
+    bit = "shiftleft(1L, int(xxhash64({}, 1) & 63))"
+    filled = ids.select(
+        F.expr(place.format("node")).alias("_word"), F.expr(bit.format("node")).alias("_bit")
     )
-    dealt = pairs.distinct().join(sizes, "a").select(
-        "a", "b", F.expr("pmod(xxhash64(b), parts)").alias("part")
+    filled = filled.groupBy("_word").agg(F.expr("bit_or(_bit)").alias("_bits"))
+    there = docs.withColumn("_word", F.expr(place.format("doc_id"))).join(F.broadcast(filled), "_word")
+    return there.where(f"_bits & {bit.format('doc_id')} <> 0").drop("_word", "_bits")
+
+
+def confirm(
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: int
+) -> DataFrame:
+    """The pairs (a, b) of document ids whose full shingle sets are similar enough.
+
+    Nodes that share their smallest partner are cut into blocks of `BLOCK_SHINGLES`; a
+    pair goes to the pair of its blocks, and a text once to each block pair that needs it,
+    not once for each pair. A task holds the sets of one block pair.
+    """
+    pairs = scratch.store(pairs.distinct())
+    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"))
+    ends = ends.union(pairs.select("b", "a"))
+    labels = ends.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label"))
+    labels = labels.join(nodes.select("node", "n"), "node")
+    parts = labels.groupBy("label").agg(
+        F.expr(f"cast(ceil(sum(n) / {BLOCK_SHINGLES}) as int)").alias("parts")
     )
-    wanted = dealt.select(F.col("b").alias("node"), "a", "part", F.lit(1).alias("role")).union(
-        sizes.select(
-            F.col("a").alias("node"),
-            "a",
-            F.explode(F.expr("sequence(0L, parts - 1L)")).alias("part"),
-            F.lit(0).alias("role"),
+    blocks = scratch.store(
+        labels.join(parts, "label").select(
+            "node", F.expr("xxhash64(label, pmod(xxhash64(node), parts))").alias("block")
         )
     )
-    rows = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node")
+    dealt = pairs
+    for side in ("a", "b"):
+        own = blocks.select(F.col("node").alias(side), F.col("block").alias(f"block_{side}"))
+        dealt = dealt.join(own, side)
+    dealt = dealt.select(
+        F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("key"),
+        "a",
+        "b",
+    )
+    wanted = dealt.select("key", F.col("a").alias("node")).union(dealt.select("key", "b")).distinct()
+    texts = _having(docs, blocks).select(F.col("doc_id").alias("node"), "text")
+    rows = wanted.join(texts, "node").select(
+        "key", F.lit(0).alias("role"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text"
+    )
+    rows = rows.union(dealt.select("key", F.lit(1), "a", "b", F.lit(None).cast("string")))
 
     def run(batches: Batches) -> Batches:
-        key, seeds = None, []
+        current, held = None, {}
         for batch in text.slices(batches):
             found_a, found_b = [], []
-            columns = (batch.column(c).to_pylist() for c in ("node", "a", "part", "role"))
-            for node, a, part, role, members in zip(*columns, _sets(batch, words), strict=True):
-                if (a, part) != key:
-                    key, seeds = (a, part), []
+            columns = (batch.column(c).to_pylist() for c in ("key", "role", "a", "b"))
+            for key, role, a, b, members in zip(*columns, _sets(batch, words), strict=True):
+                if key != current:
+                    current, held = key, {}
                 if role == 0:
-                    seeds.append(members)
-                    continue
-                for seed in seeds:
-                    both = _common(seed, members)
-                    if 100 * both >= similarity * (len(seed) + len(members) - both):
-                        found_a.append(a)
-                        found_b.append(node)
+                    held.setdefault(a, []).append(members)
+                elif any(
+                    _similar(left, right, similarity) for left in held.get(a, ()) for right in held.get(b, ())
+                ):
+                    found_a.append(a)
+                    found_b.append(b)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"]
             )
 
-    sent = rows.repartition("a", "part").sortWithinPartitions("a", "part", "role")
+    sent = rows.repartition("key").sortWithinPartitions("key", "role")
     return sent.mapInArrow(run, "a long, b long")
 
 
+def _similar(left: np.ndarray, right: np.ndarray, similarity: int) -> bool:
+    both = _common(left, right)
+    return 100 * both >= similarity * (len(left) + len(right) - both)
+
+
 def _common(left: np.ndarray, right: np.ndarray) -> int:
     both = np.concatenate([left, right])
     both.sort()
     return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
-def _lists(postings: DataFrame) -> DataFrame:
-    """Key, length and whether nodes of several components meet, of each list with several."""
-    return (
-        postings.groupBy("key")
-        .agg(F.count("*").alias("length"), F.min("home").alias("low"), F.max("home").alias("high"))
-        .where("low <> high")
-        .select("key", "length")
-    )
-
-
-def _across(postings: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of nodes in one list and of similar size, but not in one component."""
-    left = postings.select("key", F.col("node").alias("a"), F.col("home").alias("ha"), F.col("n").alias("na"))
-    right = postings.select("key", F.col("node").alias("b"), F.col("home").alias("hb"), F.col("n").alias("nb"))
-    pairs = left.join(right, "key").where(F.expr("a < b and ha <> hb") & _similar_sizes("na", "nb", similarity))
-    return pairs.select("a", "b")
-
-
 def links(docs: DataFrame, found: DataFrame, words: int, similarity: int) -> DataFrame:
     """Confirmed links (a, b) that connect all similar documents; ``found`` are `signatures`.
 
@@ -203,63 +226,109 @@ def links(docs: DataFrame, found: DataFrame, words: int, similarity: int) -> Dat
         .where("node is not null")
         .select("node", "n", "sig")
     )
+    members = scratch.store(_members(nodes))
+    linked = nodes.sparkSession.createDataFrame([], "a long, b long")
+    homes = members.select("node", F.col("node").alias("home")).distinct()
+    for turn in range(ROUNDS):
+        pairs = _match(_leaders(members.join(homes, "node"), turn), nodes, similarity)
+        linked = scratch.store(linked.union(confirm(pairs, nodes, docs, words, similarity)))
+        homes = scratch.store(_homes(members, components(linked)))
+    across = _match(_across(members.join(homes, "node"), nodes, similarity), nodes, similarity)
+    return linked.union(confirm(across, nodes, docs, words, similarity))
+
+
+def _members(nodes: DataFrame) -> DataFrame:
+    """Lists with several nodes, by row: key, last coordinate, node, its size and its score.
+
+    The score, a sum of logarithms of list lengths, is high for the middle of a group of
+    similar documents and low for one that just holds a frequent passage.
+    """
     first = COORDINATES - MATCHES + 1
     posted = nodes.select("node", "n", F.posexplode(F.slice("sig", 1, first)).alias("last", "value"))
     posted = posted.select("node", "n", "last", F.xxhash64("last", "value").alias("key"))
+    lengths = posted.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
+    rows = scratch.store(posted.join(lengths, "key"))
+    scores = rows.groupBy("node").agg(F.sum(F.expr("log2(length)")).alias("score"))
+    return rows.drop("length").join(scores, "node")
+
+
+def _homes(members: DataFrame, joined: DataFrame) -> DataFrame:
+    return (
+        members.select("node")
+        .distinct()
+        .join(joined, "node", "left")
+        .select("node", F.coalesce("component", "node").alias("home"))
+    )
+
 
-    # Each node against the smallest node of the lists it meets most often.
+def _leaders(members: DataFrame, turn: int) -> DataFrame:
+    """For each node a leader (a) of another component that it shares most lists with."""
+    rank = F.col("score") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
+    first = F.struct(rank.alias("rank"), (-F.col("node")).alias("least"), F.col("home").alias("home"))
     leaders = (
-        posted.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("length")).where("length > 1")
+        members.groupBy("key")
+        .agg(F.max(first).alias("leader"), F.min("home").alias("low"), F.max("home").alias("high"))
+        .where("low <> high")
+        .select("key", "leader")
     )
-    met = posted.join(leaders.select("key", "a"), "key").where("a <> node")
-    best = (
-        met.groupBy("node", "a")
+    return (
+        members.join(leaders, "key")
+        .where("home <> leader.home")
+        .groupBy("node", "leader")
         .agg(F.count("*").alias("collisions"))
         .groupBy("node")
-        .agg(F.max(F.struct("collisions", (-F.col("a")).alias("least"))).alias("best"))
-        .select((-F.col("best.least")).alias("a"), F.col("node").alias("b"))
+        .agg(F.max(F.struct("collisions", "leader")).alias("best"))
+        .select((-F.col("best.leader.least")).alias("a"), F.col("node").alias("b"))
     )
-    near = scratch.store(confirm(_match(best, nodes, similarity), docs, words, similarity))
-    homes = components(near)
 
-    # What is left: nodes that share a list, but no component.
-    known = nodes.join(homes, "node", "left").select(
-        "node", "n", F.coalesce("component", "node").alias("home"), "sig"
-    )
-    known = scratch.store(known)
-    across = _across_lists(known, posted.select("node", "last", "key"), similarity)
-    across = _match(across, nodes, similarity)
-    return near.union(confirm(across, docs, words, similarity))
 
-
-def _across_lists(known: DataFrame, posted: DataFrame, similarity: int) -> DataFrame:
-    homes = known.select("node", "n", "home")
-    rows = posted.join(homes, "node")
-    pairs: list[DataFrame] = []
+def _across(members: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of nodes in one list and of similar size, but not in one component."""
+    rows = members.select("key", "last", "node", "n", "home", F.lit(None).cast("long").alias("parent"))
+    found = nodes.sparkSession.createDataFrame([], "a long, b long")
     for depth in range(1, MATCHES + 1):
-        rows = scratch.store(rows.join(_lists(rows), "key"))
-        short = rows if depth == MATCHES else rows.where(f"length <= {LONG_LIST}")
-        pairs.append(_across(short, similarity))
-        if depth == MATCHES:
-            break
-        long = rows.where(f"length > {LONG_LIST}")
-        if long.isEmpty():
+        rows = scratch.store(_with_commonest(rows))
+        divide = (
+            f"strangers > {FEW_STRANGERS} and (parent is null or 4 * length <= parent)"
+            if depth < MATCHES
+            else "false"
+        )
+        found = found.union(_pairs(rows.where(f"not ({divide})"), similarity))
+        long = rows.where(divide)
+        if depth == MATCHES or long.isEmpty():
             break
-        # The next match of a qualifying pair lies behind the last, within the longer prefix.
+        # The next match of a qualifying pair lies behind the last, within a longer prefix.
         until = COORDINATES - MATCHES + depth
         rows = (
-            long.drop("length")
-            .join(known.select("node", "sig"), "node")
+            long.join(nodes.select("node", "sig"), "node")
             .withColumn("next", F.explode(F.expr(f"sequence(last + 1, {until})")))
             .select(
-                "node", "n", "home", F.col("next").alias("last"),
-                F.expr("xxhash64(key, next, sig[next])").alias("key"),
+                F.expr("xxhash64(key, next, sig[next])").alias("key"), F.col("next").alias("last"),
+                "node", "n", "home", F.col("length").alias("parent"),
             )
         )
-    union = pairs[0]
-    for more in pairs[1:]:
-        union = union.union(more)
-    return scratch.store(union.distinct())
+    return scratch.store(found.distinct())
+
+
+def _with_commonest(rows: DataFrame) -> DataFrame:
+    """Rows of lists with several components, with the commonest one and how many are outside."""
+    by_home = rows.groupBy("key", "home").agg(F.count("*").alias("size"))
+    lists = (
+        by_home.groupBy("key")
+        .agg(F.sum("size").alias("length"), F.max(F.struct("size", "home")).alias("most"))
+        .where("length > most.size")
+        .select("key", "length", F.expr("length - most.size").alias("strangers"), F.col("most.home").alias("common"))
+    )
+    return rows.join(lists, "key")
+
+
+def _pairs(rows: DataFrame, similarity: int) -> DataFrame:
+    left = rows.where("home <> common").select(
+        "key", F.col("node").alias("x"), F.col("home").alias("hx"), F.col("n").alias("nx")
+    )
+    right = rows.select("key", F.col("node").alias("y"), F.col("home").alias("hy"), F.col("n").alias("ny"))
+    pairs = left.join(right, "key").where(F.expr("hx <> hy") & _similar_sizes("nx", "ny", similarity))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def near_duplicates(
