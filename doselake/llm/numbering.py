@@ -50,3 +50,30 @@ def running(
         name, F.col("_before") + F.coalesce(F.sum("_size").over(inside), F.lit(0))
     )
     return numbered_rows.drop("_bucket", "_size", "_of", "_before", *[f"_{g}" for g in group])
+
+
+def first_by(rows: DataFrame, key: str, ties: list[Column], count: int, buckets: int) -> DataFrame:
+    """``rows`` with ``first``: whether a row is among the ``count`` smallest by ``key``.
+
+    Only the bucket in which the count is reached is put in order; the others are taken or
+    left whole. ``key`` is a double; nulls come last.
+    """
+    place = F.lit(0.5) + F.atan(F.coalesce(F.col(key), F.lit(float("inf")))) / F.lit(3.141592653589793)
+    rows = rows.withColumn("_bucket", F.floor(place * buckets))
+    totals = rows.groupBy("_bucket").agg(F.count("*").alias("_total"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col("_bucket").alias("_of"),
+        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"),
+        "_total",
+    )
+    crossing = F.expr(f"_before < {count} and _before + _total > {count}")
+    spread = F.when(crossing, F.lit(-1)).otherwise(F.pmod(F.xxhash64(*ties), F.lit(4 * buckets)))
+    inside = Window.partitionBy("_bucket", "_spread").orderBy(F.col(key).asc_nulls_last(), *ties)
+    return (
+        rows.join(offsets, F.col("_bucket") == F.col("_of"))
+        .withColumn("_spread", spread)
+        .withColumn("_nth", F.row_number().over(inside))
+        .withColumn("first", F.when(crossing, F.expr(f"_before + _nth <= {count}")).otherwise(F.expr(f"_before < {count}")))
+        .drop("_bucket", "_of", "_before", "_total", "_spread", "_nth")
+    )

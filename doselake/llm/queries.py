@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import prepare
-from . import neardup, sql
+from . import decontaminate, mixing, neardup, quality, sharding, sql
 
 ROWS_PER_ARROW_BATCH = "512"  # whole texts; a batch must fit in a Python worker
 
@@ -21,14 +21,36 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_consistent_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=80)
 
 
 QUERIES = {
+    "op1_pareto_mix": op1_pareto_mix,
+    "op4_consistent_hash_shards": op4_consistent_hash_shards,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_quality_classifier": op6_quality_classifier,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_pareto_mix": sql.pareto_mix(),
     "op10_minhash_near_dedup": sql.near_duplicates(words=4, similarity=80),
 }

@@ -34,3 +34,47 @@ least_of AS (SELECT a AS node, min(b) AS component FROM reach GROUP BY a)
 SELECT doc_id, len(sets.s) AS n_shingles, coalesce(component, doc_id) AS component_id,
        doc_id = coalesce(component, doc_id) AS kept
 FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN least_of USING (node)"""
+
+
+def pareto_mix(max_copies: int = 3, cycle: int = 3, seed: str = "mix") -> str:
+    """The mix by its definition: targets by trying every set of capped sources."""
+    tokens = WORDS.format("coalesce(text, '')")
+    return f"""
+WITH
+docs AS (SELECT doc_id, source, len({tokens})::BIGINT AS size FROM documents),
+sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size, {max_copies} * sum(size)::BIGINT AS lim,
+         (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {cycle} + 1 AS weight
+  FROM docs GROUP BY source),
+ordered AS (SELECT *, row_number() OVER (ORDER BY lim::DOUBLE / weight, source NULLS LAST) AS nth FROM sizes),
+levels AS (
+  SELECT o.nth, ((SELECT sum(source_size) FROM sizes) - coalesce((SELECT sum(lim) FROM ordered p WHERE p.nth < o.nth), 0))::DOUBLE
+         / (SELECT sum(weight) FROM ordered p WHERE p.nth >= o.nth)::DOUBLE AS level,
+         o.lim::DOUBLE / o.weight AS rate
+  FROM ordered o),
+first_open AS (SELECT nth, level FROM levels WHERE level < rate ORDER BY nth LIMIT 1),
+goals AS (
+  SELECT source, source_size,
+         CASE WHEN nth < coalesce((SELECT nth FROM first_open), 1 << 60) THEN lim::DOUBLE
+              ELSE weight * (SELECT level FROM first_open) END AS target
+  FROM ordered),
+wanted AS (
+  SELECT d.*, g.source_size, g.target,
+         CASE WHEN size > 0 THEN least(target / g.source_size, {max_copies}.0) ELSE 0.0 END AS wanted,
+         (('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5)
+           / {float(1 << 52)!r} AS draw
+  FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
+ranked AS (
+  SELECT *, floor(wanted)::BIGINT AS whole, wanted - floor(wanted) AS chance,
+         CASE WHEN wanted > floor(wanted) THEN draw / (1.0 - draw)
+           / ((wanted - floor(wanted)) / (1.0 - (wanted - floor(wanted)))) END AS rank
+  FROM wanted),
+placed AS (
+  SELECT *, target - sum(size * whole) OVER (PARTITION BY source) AS rest,
+         coalesce(sum(CASE WHEN chance > 0 THEN size END) OVER (
+           PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM ranked)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN chance > 0 AND ahead < rest AND ahead + size - rest <= rest - ahead THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed"""

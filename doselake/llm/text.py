@@ -84,6 +84,11 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+def blank(data: np.ndarray) -> np.ndarray:
+    """Which bytes are blanks."""
+    return _BLANK[data]
+
+
 def word_bounds(
     data: np.ndarray, offsets: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
