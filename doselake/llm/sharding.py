@@ -26,7 +26,7 @@ CELL_BITS = 16
 CELLS = 1 << CELL_BITS
 HEAVY_PER_SHARD = 1000
 VIRTUAL_NODES = 128
-SLACK = 0.002
+SLACK = 0.0005
 
 
 class Ring:
