@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import text
+from . import scratch, text
 
 ERROR_RATE = 0.08
 BLOCK_BYTES = 4 << 20
@@ -194,5 +194,6 @@ def _block_matches(rows: DataFrame, block: list[tuple], error_rate: float) -> Da
 
 def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
     """``docs`` without those that hold a benchmark item; rows without an id stay."""
-    found = matches(docs, benchmark, error_rate).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_found"], "left_anti")
+    (name,) = scratch.unused(docs, "_found")
+    found = matches(docs, benchmark, error_rate).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, F.col("doc_id") == F.col(name), "left_anti")

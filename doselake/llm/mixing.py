@@ -194,18 +194,21 @@ def _taken(ranked: DataFrame, buckets: int) -> DataFrame:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
-    plan = mix(docs, **options)
-    once = plan.groupBy(F.col("doc_id").alias("_own"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(
-        F.count("*").alias("_rows"), F.sum("copies").alias("_sum")
+    own, origin, size, rows, copies, nth, copy = scratch.unused(
+        docs, "_own", "_origin", "_size", "_rows", "_copies", "_nth", "_copy"
     )
+    plan = mix(docs, **options)
+    once = plan.groupBy(
+        F.col("doc_id").alias(own), F.col("source").alias(origin), F.col("size").alias(size)
+    ).agg(F.count("*").alias(rows), F.sum("copies").alias(copies))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_own"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (words(F.col("text")) == F.col("_size"))
+        F.col("doc_id").eqNullSafe(F.col(own))
+        & F.col("source").eqNullSafe(F.col(origin))
+        & (words(F.col("text")) == F.col(size))
     )
-    rows = docs.join(once.where("_sum > 0"), same)
+    taken = docs.join(once.where(f"{copies} > 0"), same)
     # Rows alike in id, source and size share their copies out among themselves.
-    alike = Window.partitionBy("_own", "_source", "_size").orderBy(*docs.columns)
-    rows = rows.withColumn("_nth", F.when(F.col("_rows") > 1, F.row_number().over(alike)).otherwise(1))
-    copies = "int(_sum div _rows) + if(_nth <= _sum % _rows, 1, 0)"
-    return rows.select(*docs.columns, F.explode(F.expr(f"array_repeat(0, {copies})")).alias("_copy")).drop("_copy")
+    alike = Window.partitionBy(own, origin, size).orderBy(*docs.columns)
+    taken = taken.withColumn(nth, F.when(F.col(rows) > 1, F.row_number().over(alike)).otherwise(1))
+    each = F.expr(f"array_repeat(0, int({copies} div {rows}) + if({nth} <= {copies} % {rows}, 1, 0))")
+    return taken.select(*docs.columns, F.explode(each).alias(copy)).drop(copy)

@@ -367,9 +367,10 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame
     Of several rows of that id one stays, the smallest by its columns. Rows without an id
     all stay.
     """
-    own = near_duplicates(docs, words, similarity).where("kept and doc_id is not null")
-    own = own.select(F.col("doc_id").alias("_own")).distinct()
-    kept = docs.join(own, docs["doc_id"] == own["_own"], "left").where("_own is not null or doc_id is null")
+    own, nth = scratch.unused(docs, "_own", "_nth")
+    marked = near_duplicates(docs, words, similarity).where("kept and doc_id is not null")
+    marked = marked.select(F.col("doc_id").alias(own)).distinct()
+    kept = docs.join(marked, F.col("doc_id") == F.col(own), "left").where(f"{own} is not null or doc_id is null")
     unknown = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     rank = Window.partitionBy("doc_id", unknown).orderBy(*[c for c in docs.columns if c != "doc_id"])
-    return kept.withColumn("_nth", F.row_number().over(rank)).where("_nth = 1").select(docs.columns)
+    return kept.withColumn(nth, F.row_number().over(rank)).where(f"{nth} = 1").select(docs.columns)

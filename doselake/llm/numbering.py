@@ -58,8 +58,8 @@ def first_by(rows: DataFrame, key: str, ties: list[Column], count: int, buckets:
     Only the bucket in which the count is reached is put in order; the others are taken or
     left whole. ``key`` is a double; nulls come last.
     """
-    place = F.lit(0.5) + F.atan(F.coalesce(F.col(key), F.lit(float("inf")))) / F.lit(3.141592653589793)
-    rows = rows.withColumn("_bucket", F.floor(place * buckets))
+    # Grows like the key near zero and like its logarithm far from it.
+    rows = rows.withColumn("_bucket", F.floor(F.asinh(F.coalesce(F.col(key), F.lit(1e300))) * buckets))
     totals = rows.groupBy("_bucket").agg(F.count("*").alias("_total"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -186,5 +186,6 @@ def classify(
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` less what the classifier rejects; rows without an id stay."""
-    rejected = classify(docs, labels, **options).where("not kept").select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"] == rejected["_rejected"], "left_anti")
+    (name,) = scratch.unused(docs, "_rejected")
+    rejected = classify(docs, labels, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(rejected, F.col("doc_id") == F.col(name), "left_anti")

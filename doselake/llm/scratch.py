@@ -25,6 +25,18 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def drop() -> None:
     """Delete every intermediate table made so far; frames over them stop working."""
     while _MADE:

@@ -78,3 +78,22 @@ placed AS (
 SELECT doc_id, size, source_size, target,
        (size * (whole + CASE WHEN chance > 0 AND ahead < rest AND ahead + size - rest <= rest - ahead THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM placed"""
+
+
+def chat_formatting(control: str) -> str:
+    """Digests of the conversations themselves, and the length of their formatted text."""
+    escapes = r"'\\|###|</turn>'"
+    return f"""
+WITH
+rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{control}'
+  UNION ALL SELECT -7, 1, 'assistant', '{control}'),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY nth), '')) AS loss_sha256,
+       sum(length('### ' || role || ':' || chr(10) || text || '</turn>' || chr(10))
+           + len(regexp_extract_all(text, {escapes})) + len(regexp_extract_all(role, '\\|###|</turn>|:')))::BIGINT AS formatted_chars
+FROM ordered GROUP BY conv_id"""
