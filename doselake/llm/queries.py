@@ -17,6 +17,7 @@ from . import (
     scratch,
     sharding,
     sql,
+    toxicity,
     training_order,
 )
 
@@ -90,6 +91,11 @@ def edits_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.inline(F.array(*changes)))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=80)
 
@@ -103,6 +109,7 @@ QUERIES = {
     "op6_quality_classifier": op6_quality_classifier,
     "op7_improbable_features": op7_improbable_features,
     "op8_edit_aware_counts": op8_edit_aware_counts,
+    "op9_toxicity": op9_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
