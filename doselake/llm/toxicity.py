@@ -30,10 +30,10 @@ GRAM_SIZES = (4, 6)
 INPUT = 12
 HIDDEN = 8
 ATTENTION = 8
-TOXIC_ROWS = 800
-OTHER_ROWS = 1600
+TOXIC_ROWS = 1000
+OTHER_ROWS = 2000
 FIT_BYTES = 4000
-EPOCHS = 5
+EPOCHS = 8
 TEXTS_PER_STEP = 64
 RATE = 0.01
 THRESHOLD = 0.3
