@@ -1,4 +1,4 @@
-"""Chat folding and rendering by hand, and what the toxicity network learns."""
+"""Chat folding and rendering by hand, and the toxicity network's gradients."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import hashlib
 import random
 
 import numpy as np
-import pyarrow as pa
 
 from doselake.llm import chat, queries, toxicity
 
@@ -51,23 +50,6 @@ def test_digests_read_back(ready):
     assert (got[3].n_turns, got[3].loss_chars) == (3, 0)
 
 
-def test_network_learns_words_and_their_parts():
-    draw = random.Random(3)
-    syllables = ["ka", "lo", "mi", "tu", "re", "so"]
-    word = lambda: "".join(draw.choices(syllables, k=3))
-    texts, toxic = [], []
-    for i in range(500):
-        words = [word() for _ in range(draw.randint(0, 60))]
-        if i % 2:
-            words.insert(draw.randint(0, len(words)), f"vexq{word()}")
-        texts.append(" ".join(words))
-        toxic.append(i % 2)
-    params = toxicity.train(texts[:400], toxic[:400], epochs=12)
-    found = toxicity.scores(params, pa.array(texts[400:])) >= 0.5
-    assert (found == np.array(toxic[400:], bool)).mean() > 0.9
-    assert toxicity.scores(params, pa.array(["", None, " \n"])).tolist() == [0, 0, 0]
-
-
 def test_gradients_are_slopes():
     params = toxicity.fresh(3, 3, seed=1)
     draw = np.random.default_rng(0)
