@@ -6,19 +6,20 @@ documents are linked if ``100 * intersection >= similarity * union``.
 
 A signature has `COORDINATES` minima. Documents are posted under (coordinate, value), and
 a pair qualifies with at least `MATCHES` equal coordinates, which at a similarity of 0.8
-fails once in half a million pairs. Such a pair has its first match among the first
-``COORDINATES - MATCHES + 1`` coordinates, its second among one more, and so on: lists
-need only be kept for those prefixes, and a long list is divided by the next match.
+fails once in 800,000 pairs. Every document leaves out its ``MATCHES - 1`` postings with
+the longest lists (prefix filtering by one order of all postings): a qualifying pair still
+meets in a list, while a passage that many documents share no longer makes one.
 
 The work stays linear where many documents are alike:
 
 * equal sets are one node;
-* in a few rounds every node is compared with one leader, the best connected node of the
-  list it meets most often, and what that confirms is contracted. Afterwards only pairs
-  across components count (skip merging): lists inside one component vanish, and in the
-  others only nodes outside the commonest component are paired with the rest;
-* lists where over `FEW_STRANGERS` nodes lie outside it are divided by the next match,
-  never cut, as long as that makes them a quarter as long.
+* every node is compared with one leader, the best connected node of the list it meets
+  most often, and what that confirms is contracted. Afterwards only pairs across components
+  count (skip merging): lists inside one component vanish, and in the others only nodes
+  outside the commonest component (strangers) are compared with the rest;
+* these comparisons are no rows: a list is cut into cells of at most `CELL` nodes a side,
+  a task counts the equal coordinates of a cell, and the node pairs that qualify leave it
+  as one array a node. A pair is taken from the first list in which it meets.
 """
 
 from __future__ import annotations
@@ -34,13 +35,13 @@ from pyspark.sql import functions as F
 from . import scratch, text
 from .components import components
 
-COORDINATES = 20
-MATCHES = 7
-ROUNDS = 2
-FEW_STRANGERS = 64
+COORDINATES = 32
+MATCHES = 14
+CELL = 4096  # nodes of a list that are compared with as many at once
 FILTER_WORDS = 1 << 20  # of 64 bits, 8 MB at most
 BLOCK_SHINGLES = 1 << 18  # in the sets of one side that a task holds, or one set
 _SHINGLES_AT_ONCE = 4096
+_NODES_AT_ONCE = 256
 
 _RNG = np.random.default_rng(77)
 _FLIP = _RNG.integers(0, 1 << 63, (COORDINATES, 1), dtype=np.uint64)
@@ -71,7 +72,7 @@ def _signature(members: np.ndarray) -> np.ndarray:
     for first in range(0, len(members), _SHINGLES_AT_ONCE):
         part = members[None, first : first + _SHINGLES_AT_ONCE]
         np.minimum(least, ((part ^ _FLIP) * _TIMES).min(axis=1), out=least)
-    return least.view(np.int64)
+    return least.astype(np.uint32).view(np.int32)
 
 
 def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", column: str = "text") -> DataFrame:
@@ -92,14 +93,14 @@ def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", column: str
                     batch.column("doc_id"),
                     pa.array(count, pa.int64()),
                     pa.array(digest, pa.binary()),
-                    pa.array(sig, pa.list_(pa.int64())),
+                    pa.array(sig, pa.list_(pa.int32())),
                 ],
                 names=["doc_id", "n_shingles", "class", "sig"],
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(column).alias("text"))
     return rows.mapInArrow(
-        run, "doc_id long, n_shingles long, class binary, sig array<long>"
+        run, "doc_id long, n_shingles long, class binary, sig array<int>"
     )
 
 
@@ -141,59 +142,47 @@ def _having(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return there.where(f"_bits & {bit.format('doc_id')} <> 0").drop("_word", "_bits")
 
 
-def confirm(
-    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: int
-) -> DataFrame:
-    """The pairs (a, b) of document ids whose full shingle sets are similar enough.
-
-    Nodes that share their smallest partner are cut into blocks of `BLOCK_SHINGLES`; a
-    pair goes to the pair of its blocks, and a text once to each block pair that needs it,
-    not once for each pair. A task holds the sets of one block pair.
-    """
-    pairs = scratch.store(pairs.distinct())
-    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other"))
-    ends = ends.union(pairs.select("b", "a"))
-    labels = ends.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label"))
-    labels = labels.join(nodes.select("node", "n"), "node")
+def _blocks(labels: DataFrame) -> DataFrame:
+    """(node, block) of rows (node, label, n): a label's nodes in parts of `BLOCK_SHINGLES`."""
     parts = labels.groupBy("label").agg(
         F.expr(f"cast(ceil(sum(n) / {BLOCK_SHINGLES}) as int)").alias("parts")
     )
-    blocks = scratch.store(
-        labels.join(parts, "label").select(
-            "node", F.expr("xxhash64(label, pmod(xxhash64(node), parts))").alias("block")
-        )
-    )
-    dealt = pairs
-    for side in ("a", "b"):
-        own = blocks.select(F.col("node").alias(side), F.col("block").alias(f"block_{side}"))
-        dealt = dealt.join(own, side)
-    dealt = dealt.select(
-        F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b")).alias("key"),
-        "a",
-        "b",
-    )
-    wanted = dealt.select("key", F.col("a").alias("node")).union(dealt.select("key", "b")).distinct()
-    texts = _having(docs, blocks).select(F.col("doc_id").alias("node"), "text")
+    part = "xxhash64(label, pmod(xxhash64(node), parts))"
+    return labels.join(parts, "label").select("node", F.expr(part).alias("block"))
+
+
+def confirm(dealt: DataFrame, wanted: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """Links (a, b) among ``dealt`` (key, a, partners): sets that are similar enough.
+
+    ``wanted`` are the distinct (key, node) whose texts the pairs of a key need; a task
+    holds the sets of one key. Pairs that other links of a key already join are skipped.
+    """
+    texts = _having(docs, wanted.select("node").distinct()).select(F.col("doc_id").alias("node"), "text")
+    none = F.lit(None).cast("array<long>")
     rows = wanted.join(texts, "node").select(
-        "key", F.lit(0).alias("role"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text"
+        "key", F.lit(0).alias("role"), F.col("node").alias("a"), none.alias("partners"), "text"
     )
-    rows = rows.union(dealt.select("key", F.lit(1), "a", "b", F.lit(None).cast("string")))
+    rows = rows.union(dealt.select("key", F.lit(1), "a", "partners", F.lit(None).cast("string")))
 
     def run(batches: Batches) -> Batches:
-        current, held = None, {}
+        current, held, joined = None, {}, {}
         for batch in text.slices(batches):
             found_a, found_b = [], []
-            columns = (batch.column(c).to_pylist() for c in ("key", "role", "a", "b"))
-            for key, role, a, b, members in zip(*columns, _sets(batch, words), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("key", "role", "a", "partners"))
+            for key, role, a, partners, members in zip(*columns, _sets(batch, words), strict=True):
                 if key != current:
-                    current, held = key, {}
+                    current, held, joined = key, {}, {}
                 if role == 0:
-                    held.setdefault(a, []).append(members)
-                elif any(
-                    _similar(left, right, similarity) for left in held.get(a, ()) for right in held.get(b, ())
-                ):
-                    found_a.append(a)
-                    found_b.append(b)
+                    if len(members):
+                        held.setdefault(a, []).append(members)
+                    continue
+                apart = [b for b in partners if b in held and _root(joined, a) != _root(joined, b)]
+                for b in _linked(held.get(a, ()), apart, held, similarity):
+                    mine, other = _root(joined, a), _root(joined, b)
+                    if mine != other:
+                        joined[mine] = other
+                        found_a.append(a)
+                        found_b.append(b)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"]
             )
@@ -202,15 +191,29 @@ def confirm(
     return sent.mapInArrow(run, "a long, b long")
 
 
-def _similar(left: np.ndarray, right: np.ndarray, similarity: int) -> bool:
-    both = _common(left, right)
-    return 100 * both >= similarity * (len(left) + len(right) - both)
+def _root(joined: dict[int, int], node: int) -> int:
+    while node in joined:
+        joined[node] = joined.get(joined[node], joined[node])
+        node = joined[node]
+    return node
 
 
-def _common(left: np.ndarray, right: np.ndarray) -> int:
-    both = np.concatenate([left, right])
-    both.sort()
-    return int(np.count_nonzero(both[1:] == both[:-1]))
+def _linked(
+    lefts: list[np.ndarray], partners: list[int], held: dict[int, list[np.ndarray]], similarity: int
+) -> list[int]:
+    """The partners of which a set is similar enough to one of ``lefts`` (sorted and distinct)."""
+    owners = [b for b in partners for _ in held[b]]
+    if not owners or not lefts:
+        return []
+    rights = [members for b in partners for members in held[b]]
+    sizes = np.array([len(r) for r in rights])
+    everything = np.concatenate(rights)
+    found = np.zeros(len(rights), bool)
+    for left in lefts:
+        at = np.minimum(np.searchsorted(left, everything), len(left) - 1)
+        both = np.add.reduceat(left[at] == everything, np.cumsum(sizes) - sizes, dtype=np.int64)
+        found |= 100 * both >= similarity * (len(left) + sizes - both)
+    return list(dict.fromkeys(b for b, yes in zip(owners, found, strict=True) if yes))
 
 
 def links(docs: DataFrame, found: DataFrame, words: int, similarity: int) -> DataFrame:
@@ -227,29 +230,40 @@ def links(docs: DataFrame, found: DataFrame, words: int, similarity: int) -> Dat
         .select("node", "n", "sig")
     )
     members = scratch.store(_members(nodes))
-    linked = nodes.sparkSession.createDataFrame([], "a long, b long")
-    homes = members.select("node", F.col("node").alias("home")).distinct()
-    for turn in range(ROUNDS):
-        pairs = _match(_leaders(members.join(homes, "node"), turn), nodes, similarity)
-        linked = scratch.store(linked.union(confirm(pairs, nodes, docs, words, similarity)))
-        homes = scratch.store(_homes(members, components(linked)))
-    across = _match(_across(members.join(homes, "node"), nodes, similarity), nodes, similarity)
-    return linked.union(confirm(across, nodes, docs, words, similarity))
+    pairs = scratch.store(_match(_leaders(members), nodes, similarity))
+    labels = scratch.store(
+        members.select("node", "n").distinct().join(pairs.select(F.col("b").alias("node"), "a"), "node", "left")
+        .select("node", "n", F.coalesce("a", "node").alias("label"))
+    )
+    blocks = scratch.store(_blocks(labels))
+    own = blocks.select(F.col("node").alias("b"), F.col("block").alias("key"))
+    dealt = scratch.store(pairs.join(own, "b").select("key", "a", F.array("b").alias("partners")))
+    wanted = dealt.select("key", F.col("a").alias("node")).union(dealt.select("key", F.col("partners")[0]))
+    linked = scratch.store(confirm(dealt, wanted.distinct(), docs, words, similarity))
+    homes = _homes(members, components(linked))
+    across = scratch.store(_across(members, nodes, homes, blocks, similarity))
+    wanted = across.where("partners is null").select("key", F.col("a").alias("node")).distinct()
+    dealt = across.where("partners is not null")
+    return linked.union(confirm(dealt, wanted, docs, words, similarity))
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """Lists with several nodes, by row: key, last coordinate, node, its size and its score.
+    """Postings in lists of several nodes, without each node's longest: key, coordinate, node, n, score.
 
     The score, a sum of logarithms of list lengths, is high for the middle of a group of
     similar documents and low for one that just holds a frequent passage.
     """
-    first = COORDINATES - MATCHES + 1
-    posted = nodes.select("node", "n", F.posexplode(F.slice("sig", 1, first)).alias("last", "value"))
-    posted = posted.select("node", "n", "last", F.xxhash64("last", "value").alias("key"))
+    posted = nodes.select("node", "n", F.posexplode("sig").alias("coordinate", "value"))
+    posted = posted.select("node", "n", "coordinate", F.xxhash64("coordinate", "value").alias("key"))
     lengths = posted.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
-    rows = scratch.store(posted.join(lengths, "key"))
-    scores = rows.groupBy("node").agg(F.sum(F.expr("log2(length)")).alias("score"))
-    return rows.drop("length").join(scores, "node")
+    own = Window.partitionBy("node")
+    return (
+        posted.join(lengths, "key")
+        .withColumn("nth", F.row_number().over(own.orderBy(F.desc("length"), F.desc("key"))))
+        .withColumn("score", F.sum(F.log2("length")).over(own))
+        .where(f"nth >= {MATCHES}")
+        .select("key", "coordinate", "node", "n", "score")
+    )
 
 
 def _homes(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -261,19 +275,18 @@ def _homes(members: DataFrame, joined: DataFrame) -> DataFrame:
     )
 
 
-def _leaders(members: DataFrame, turn: int) -> DataFrame:
-    """For each node a leader (a) of another component that it shares most lists with."""
-    rank = F.col("score") if turn == 0 else F.xxhash64("node", F.lit(turn)).cast("double")
-    first = F.struct(rank.alias("rank"), (-F.col("node")).alias("least"), F.col("home").alias("home"))
+def _leaders(members: DataFrame) -> DataFrame:
+    """For each node (b) the leader (a) that it shares most lists with."""
+    first = F.struct("score", (-F.col("node")).alias("least"))
     leaders = (
         members.groupBy("key")
-        .agg(F.max(first).alias("leader"), F.min("home").alias("low"), F.max("home").alias("high"))
-        .where("low <> high")
+        .agg(F.max(first).alias("leader"), F.count("*").alias("length"))
+        .where("length > 1")
         .select("key", "leader")
     )
     return (
         members.join(leaders, "key")
-        .where("home <> leader.home")
+        .where("node <> -leader.least")
         .groupBy("node", "leader")
         .agg(F.count("*").alias("collisions"))
         .groupBy("node")
@@ -282,53 +295,111 @@ def _leaders(members: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) of nodes in one list and of similar size, but not in one component."""
-    rows = members.select("key", "last", "node", "n", "home", F.lit(None).cast("long").alias("parent"))
-    found = nodes.sparkSession.createDataFrame([], "a long, b long")
-    for depth in range(1, MATCHES + 1):
-        rows = scratch.store(_with_commonest(rows))
-        divide = (
-            f"strangers > {FEW_STRANGERS} and (parent is null or 4 * length <= parent)"
-            if depth < MATCHES
-            else "false"
-        )
-        found = found.union(_pairs(rows.where(f"not ({divide})"), similarity))
-        long = rows.where(divide)
-        if depth == MATCHES or long.isEmpty():
-            break
-        # The next match of a qualifying pair lies behind the last, within a longer prefix.
-        until = COORDINATES - MATCHES + depth
-        rows = (
-            long.join(nodes.select("node", "sig"), "node")
-            .withColumn("next", F.explode(F.expr(f"sequence(last + 1, {until})")))
-            .select(
-                F.expr("xxhash64(key, next, sig[next])").alias("key"), F.col("next").alias("last"),
-                "node", "n", "home", F.col("length").alias("parent"),
+def _across(
+    members: DataFrame, nodes: DataFrame, homes: DataFrame, blocks: DataFrame, similarity: int
+) -> DataFrame:
+    """Qualifying pairs of different components, as (key, a, partners) for `confirm`.
+
+    Rows without partners name the nodes that a key needs.
+    """
+    posted = members.groupBy("node").agg(F.expr("bit_or(shiftleft(1L, coordinate))").alias("posted"))
+    known = nodes.select("node", "sig").join(blocks, "node").join(posted, "node")
+    rows = _with_commonest(members.select("key", "coordinate", "node", "n").join(homes, "node"))
+    parts = F.expr(f"cast(ceil(length / {CELL}) as int)")
+    rows = rows.withColumn("stranger", F.expr("home <> common")).withColumn("parts", parts)
+    rows = rows.withColumn("part", F.expr("cast(pmod(xxhash64(node), parts) as int)"))
+    side = "transform(sequence(0, parts - 1), i -> struct(xxhash64(key, {}) as cell, {} as searching))"
+    left, right = side.format("part, i", "true"), side.format("i, part", "false")
+    sent = rows.select(
+        "coordinate", "node", "n", "home", "stranger",
+        F.expr(f"inline(concat(if(stranger, {left}, array()), {right}))"),
+    )
+
+    def run(batches: Batches) -> Batches:
+        for cell in _runs(batches, "cell"):
+            out = list(_qualified(cell, similarity))
+            keys, node, partners = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(node, pa.int64()), pa.array(partners, pa.list_(pa.int64()))],
+                names=["key", "a", "partners"],
             )
-        )
-    return scratch.store(found.distinct())
+
+    dealt = sent.join(known, "node").repartition("cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(run, "key long, a long, partners array<long>")
 
 
 def _with_commonest(rows: DataFrame) -> DataFrame:
-    """Rows of lists with several components, with the commonest one and how many are outside."""
+    """Rows of lists with several components, with the commonest one and the list's length."""
     by_home = rows.groupBy("key", "home").agg(F.count("*").alias("size"))
     lists = (
         by_home.groupBy("key")
         .agg(F.sum("size").alias("length"), F.max(F.struct("size", "home")).alias("most"))
         .where("length > most.size")
-        .select("key", "length", F.expr("length - most.size").alias("strangers"), F.col("most.home").alias("common"))
+        .select("key", "length", F.col("most.home").alias("common"))
     )
     return rows.join(lists, "key")
 
 
-def _pairs(rows: DataFrame, similarity: int) -> DataFrame:
-    left = rows.where("home <> common").select(
-        "key", F.col("node").alias("x"), F.col("home").alias("hx"), F.col("n").alias("nx")
+def _runs(batches: Batches, column: str) -> Iterator[pa.Table]:
+    """Rows of sorted batches, a table for each value of ``column``."""
+    pending: list[pa.RecordBatch] = []
+    for batch in batches:
+        values = batch.column(column).to_numpy()
+        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+            if last > first:
+                if pending and pending[-1].column(column)[-1].as_py() != values[first]:
+                    yield pa.Table.from_batches(pending)
+                    pending = []
+                pending.append(batch.slice(first, last - first))
+    if pending:
+        yield pa.Table.from_batches(pending)
+
+
+def _qualified(cell: pa.Table, similarity: int) -> Iterator[tuple[int, int, list[int] | None]]:
+    """(key, a, partners) of a cell, and (key, node, None) for every node these need."""
+    searching = cell.column("searching").to_numpy()
+    if not searching.any() or searching.all():
+        return
+    cell = cell.combine_chunks()
+    node, n, home, block, stranger, posted = (
+        cell.column(c).to_numpy() for c in ("node", "n", "home", "block", "stranger", "posted")
     )
-    right = rows.select("key", F.col("node").alias("y"), F.col("home").alias("hy"), F.col("n").alias("ny"))
-    pairs = left.join(right, "key").where(F.expr("hx <> hy") & _similar_sizes("nx", "ny", similarity))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    sig = pa.concat_arrays(cell.column("sig").chunks).flatten().to_numpy().reshape(-1, COORDINATES)
+    here = cell.column("coordinate")[0].as_py()
+    right = np.flatnonzero(~searching)
+    needed = set()
+    lefts = np.flatnonzero(searching)
+    for at in range(0, len(lefts), _NODES_AT_ONCE):
+        left = lefts[at : at + _NODES_AT_ONCE]
+        smaller, larger = np.minimum.outer(n[left], n[right]), np.maximum.outer(n[left], n[right])
+        fits = (100 * smaller >= similarity * larger) & (home[left][:, None] != home[right])
+        fits &= ~stranger[right] | (node[left][:, None] < node[right])
+        if not fits.any():
+            continue
+        count = np.zeros(fits.shape, np.int8)
+        met = posted[left][:, None] & posted[right]
+        for coordinate in range(COORDINATES):
+            same = sig[left, coordinate][:, None] == sig[right, coordinate]
+            count += same
+            if coordinate < here:  # taken from that list
+                fits &= ~(same & (met >> coordinate & 1).astype(bool))
+        fits &= count >= MATCHES
+        for row in np.flatnonzero(fits.any(axis=1)):
+            i, others = left[row], right[fits[row]]
+            for other in np.unique(block[others]):
+                key = _pair_key(block[i], other)
+                partners = node[others[block[others] == other]].tolist()
+                yield key, int(node[i]), partners
+                needed.update((key, b) for b in partners)
+                needed.add((key, int(node[i])))
+    for key, b in needed:
+        yield key, b, None
+
+
+def _pair_key(x: np.int64, y: np.int64) -> int:
+    both = np.array(sorted((int(x), int(y))), np.int64).view(np.uint64)
+    return int(text.mix(text.mix(both[:1]) + both[1:]).view(np.int64)[0])
 
 
 def near_duplicates(

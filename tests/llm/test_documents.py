@@ -71,9 +71,9 @@ def chains(ready):
     return ready.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
 
 
-@pytest.mark.parametrize(("size", "few"), [(4, 2)])
-def test_near_duplicates(chains, size, few, monkeypatch):
-    monkeypatch.setattr(neardup, "FEW_STRANGERS", few)
+@pytest.mark.parametrize(("size", "cell"), [(4, 3)])
+def test_near_duplicates(chains, size, cell, monkeypatch):
+    monkeypatch.setattr(neardup, "CELL", cell)
     want, sizes = _components(chains.collect(), size)
     got = neardup.near_duplicates(chains, words=size).collect()
     assert {r.doc_id: r.component_id for r in got} == want
