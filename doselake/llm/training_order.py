@@ -104,32 +104,31 @@ def _sequences(ids: bytes, length: int) -> list[bytes]:
     return [ids[at : at + 2 * length] for at in range(0, len(ids), 2 * length)]
 
 
-def _counted(rows: DataFrame, length: int, vocabulary: str) -> DataFrame:
+def _encoded(rows: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Batches) -> Batches:
         encoder = tokens.Encoder(vocabulary)
         for batch in text.slices(batches):
-            counts = [encoder.count(t) for t in batch.column("text").to_pylist()]
-            sequences = [-(-(n + 1) // length) if n else 0 for n in counts]
+            ids = [encoder.encode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(sequences, pa.int64())],
-                names=["doc_id", "key", "sequences"],
+                [batch.column("doc_id"), batch.column("key"), pa.array(ids, pa.binary())],
+                names=["doc_id", "key", "ids"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, key long, sequences long")
+    return rows.mapInArrow(run, "doc_id long, key long, ids binary")
 
 
 _RECORD = "slot long, shard long, doc_id long, seq_no int, n_tokens int, record binary"
 _WRITTEN = "doc_id long, seq_no int, slot long, shard long, byte_offset long, n_tokens int, record_crc32 long"
 
 
-def _records(rows: DataFrame, count: int, length: int, key: int, per_shard: int, vocabulary: str) -> DataFrame:
+def _records(rows: DataFrame, count: int, length: int, key: int, per_shard: int) -> DataFrame:
     def run(batches: Batches) -> Batches:
-        encoder, permutation, size = tokens.Encoder(vocabulary), Permutation(count, key), stride(length)
-        for batch in text.slices(batches, limit=1 << 20):
+        permutation, size = Permutation(count, key), stride(length)
+        for batch in text.slices(batches, "ids", limit=1 << 19):
             docs, numbers, used, records, base = [], [], [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "first", "text"))
-            for doc, first, value in zip(*columns, strict=True):
-                for number, ids in enumerate(_sequences(encoder.encode(value), length)):
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "first", "ids"))
+            for doc, first, encoded in zip(*columns, strict=True):
+                for number, ids in enumerate(_sequences(encoded, length)):
                     head = _head(doc, number, len(ids) // 2)
                     docs.append(doc)
                     numbers.append(number)
@@ -202,7 +201,10 @@ def materialise(
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.where("text <> ''").withColumn("key", F.xxhash64("text"))
-    counted = scratch.store(_counted(rows, length, vocabulary))
+    encoded = scratch.store(_encoded(rows, vocabulary).where("length(ids) > 0"))
+    # Two bytes an id, and the end.
+    sequences = F.expr(f"cast(ceil((length(ids) div 2 + 1) / {length}) as long)")
+    counted = encoded.select("doc_id", "key", sequences.alias("sequences"))
     numbers = counted.groupBy("doc_id", "key").agg(
         F.max("sequences").alias("each"), F.sum("sequences").alias("in_all")
     )
@@ -216,8 +218,8 @@ def materialise(
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     copies = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_key")) - 1
     first = (F.col("first") + copies * F.col("each")).alias("first")
-    placed = rows.join(numbers, same).select("doc_id", first, "text")
-    records = _records(placed, max(total, 1), length, key, per_shard, vocabulary)
+    placed = encoded.join(numbers, same).select("doc_id", first, "ids")
+    records = _records(placed, max(total, 1), length, key, per_shard)
     in_order = records.repartition("shard").sortWithinPartitions("shard", "slot")
 
     files, root = _filesystem(folder)
