@@ -182,6 +182,30 @@ def _written(records: DataFrame, folder: str, length: int, per_shard: int) -> Da
     return records.mapInArrow(run, _WRITTEN)
 
 
+def _first_numbers(counted: DataFrame, buckets: int) -> DataFrame:
+    """(row, first): the number of each row's first sequence.
+
+    Repeated rows follow one another; they are counted by the parts of the table first, so
+    no task holds more of them than a part does.
+    """
+    parts = counted.groupBy("doc_id", "key", "part").agg(F.max("each").alias("each"), F.count("*").alias("copies"))
+    texts = parts.groupBy("doc_id", "key").agg(F.expr("max(each) * sum(copies)").alias("in_all"))
+    place = F.pmod(F.xxhash64("doc_id", "key"), F.lit(buckets))
+    texts = running(texts, [], place, [F.col("doc_id"), F.col("key")], F.col("in_all"), "start")
+    texts = texts.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "start")
+    earlier = Window.partitionBy("doc_id", "key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("copies").over(earlier), F.lit(0))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    parts = parts.withColumn("earlier", earlier).join(texts, same)
+    parts = parts.select("_id", "_key", F.col("part").alias("_part"), F.expr("start + earlier * each").alias("start"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "key", "part").orderBy("row")) - 1
+    return (
+        counted.withColumn("nth", nth)
+        .join(parts, same & (F.col("part") == F.col("_part")))
+        .select("row", F.expr("start + nth * each").alias("first"))
+    )
+
+
 def materialise(
     docs: DataFrame,
     folder: str,
@@ -201,24 +225,15 @@ def materialise(
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.where("text <> ''").withColumn("key", F.xxhash64("text"))
-    encoded = scratch.store(_encoded(rows, vocabulary).where("length(ids) > 0"))
+    encoded = _encoded(rows, vocabulary).where("length(ids) > 0")
+    encoded = scratch.store(encoded.withColumn("row", F.monotonically_increasing_id()))
     # Two bytes an id, and the end.
     sequences = F.expr(f"cast(ceil((length(ids) div 2 + 1) / {length}) as long)")
-    counted = encoded.select("doc_id", "key", sequences.alias("sequences"))
-    numbers = counted.groupBy("doc_id", "key").agg(
-        F.max("sequences").alias("each"), F.sum("sequences").alias("in_all")
-    )
-    total, documents = counted.agg(F.sum("sequences"), F.count("*")).first()
+    counted = encoded.select("doc_id", "key", "row", F.expr("shiftright(row, 33)").alias("part"), sequences.alias("each"))
+    total, documents = counted.agg(F.sum("each"), F.count("*")).first()
     total = total or 0
-    buckets = bucket_count(documents)
-    place = F.pmod(F.xxhash64("doc_id", "key"), F.lit(buckets))
-    numbers = running(numbers, [], place, [F.col("doc_id"), F.col("key")], F.col("in_all"), "first")
-    numbers = scratch.store(numbers.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "each", "first"))
-
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    copies = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_key")) - 1
-    first = (F.col("first") + copies * F.col("each")).alias("first")
-    placed = encoded.join(numbers, same).select("doc_id", first, "ids")
+    numbers = scratch.store(_first_numbers(counted, bucket_count(documents)))
+    placed = encoded.join(numbers, "row").select("doc_id", "first", "ids")
     records = _records(placed, max(total, 1), length, key, per_shard)
     in_order = records.repartition("shard").sortWithinPartitions("shard", "slot")
 
