@@ -24,6 +24,16 @@ def _drops_of(batch: DataFrame) -> list[str]:
     return sorted(r[0] for r in batch.select(drop).distinct().collect())
 
 
+def _problems_folder(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}_problemas"
+
+
+def problems(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(lote, problema) of a stream's batches so far; raises as Spark does where none was stored."""
+    stored = spark.read.schema("problema string, lote long").parquet(_problems_folder(checkpoint))
+    return stored.select("lote", "problema")
+
+
 def follow(
     spark: SparkSession,
     folder: str,
@@ -35,7 +45,9 @@ def follow(
     """Load every drop below ``folder`` not loaded yet, then stop.
 
     ``options`` are those of :func:`doselake.operators.load.load`. A file with
-    problems fails the batch after the others are loaded and logged.
+    problems does not stop the stream: the others are loaded and logged, the problems
+    are stored, and :func:`problems` lists them. Only a row that does not fit its header
+    fails the batch.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -46,10 +58,15 @@ def follow(
         .select("path")
     )
 
-    def load_batch(batch: DataFrame, _: int) -> None:
+    def load_batch(batch: DataFrame, number: int) -> None:
         found = _drops_of(batch)
-        if found:
-            load.load(spark, found, table, log_table, **options).raise_for_problems()
+        if not found:
+            return
+        report = load.load(spark, found, table, log_table, **options)
+        if report.problems:
+            told = spark.createDataFrame([(p,) for p in report.problems], "problema string")
+            # One folder a batch: a batch that is repeated replaces its own problems.
+            told.write.mode("overwrite").parquet(f"{_problems_folder(checkpoint)}/lote={number}")
 
     return (
         arrivals.writeStream.foreachBatch(load_batch)

@@ -1,10 +1,9 @@
 """Drops loaded as they arrive."""
 
 import pytest
-from pyspark.errors import StreamingQueryException
 
 from doselake.operators import load
-from doselake.streaming.arrivals import follow
+from doselake.streaming.arrivals import follow, problems
 
 
 @pytest.fixture
@@ -46,9 +45,14 @@ def test_late_part_keeps_its_drop_whole(run):
     assert once() == [("2026-01", "1"), ("2026-01", "2")]
 
 
-def test_problem_fails_the_batch(run):
+def test_stream_moves_past_a_problem(spark, run, tmp_path):
     folder, once = run
     (folder / "d_2026_01.csv").write_text("a;b\n1;x\n")
     (folder / "sem_mes.csv").write_text("a;b\n1;x\n")
-    with pytest.raises(StreamingQueryException, match="mes nao identificado"):
-        once()
+    assert once() == [("2026-01", "1")]
+    (folder / "d_2026_02.csv").write_text("a;b\n2;x\n")
+    assert once() == [("2026-01", "1"), ("2026-02", "2")]
+    told = problems(spark, f"file://{tmp_path}/offsets").collect()
+    assert len(told) == 1 and told[0].lote == 0
+    assert "sem_mes.csv" in told[0].problema and "mes nao identificado" in told[0].problema
+    assert spark.read.parquet(f"file://{tmp_path}/log").count() == 2
