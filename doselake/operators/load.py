@@ -191,12 +191,18 @@ def _log_rows(files: DataFrame, result: DataFrame, stamp: datetime) -> DataFrame
     )
 
 
+def _drop(file: Row) -> str:
+    """Where a file's drop lies: two drops of one name in different folders are two."""
+    folder, _, _ = file["uri"].rpartition("/")
+    return folder if folder.endswith(".csv") else file["uri"]
+
+
 def _last_of_month(files: Sequence[Row]) -> dict[str, str]:
-    """The drop that stays per month: a later one replaces an earlier one."""
+    """The drop that stays per month: the last by path replaces the others."""
     winner: dict[str, str] = {}
     for f in files:
         month = f[MONTH_COLUMN]
-        winner[month] = max(winner.get(month, ""), f["remessa"])
+        winner[month] = max(winner.get(month, ""), _drop(f))
     return winner
 
 
@@ -238,8 +244,8 @@ def load(
     if not good:
         return report
     winner = _last_of_month(good)
-    kept = [f for f in good if f["remessa"] == winner[f[MONTH_COLUMN]]]
-    replaced = [f for f in good if f["remessa"] != winner[f[MONTH_COLUMN]]]
+    kept = [f for f in good if _drop(f) == winner[f[MONTH_COLUMN]]]
+    replaced = [f for f in good if _drop(f) != winner[f[MONTH_COLUMN]]]
 
     target = target_columns(spark, table)
     if target is not None:

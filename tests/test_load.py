@@ -318,3 +318,14 @@ def test_wrong_width_in_blocks_stops_the_run(spark, place, bad):
     place.put("d_2026_01.csv", 'a;b\n0;"p\nq"\n' + bad)
     with pytest.raises(Exception, match="(?i)malformed"):
         place.load(spark, one_task_bytes=10)
+
+
+def test_equal_names_in_two_folders_are_two_drops(spark, place, tmp_path):
+    for folder, row in (("a", "1;x"), ("b", "2;y")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "d_2026_01.csv").write_text(f"a;b\n{row}\n")
+    found = [f"file://{tmp_path}/{folder}/d_2026_01.csv" for folder in ("b", "a")]
+    report = place.load(spark, found)
+    assert report.problems == []
+    assert place.rows(spark, "a") == [("2026-01", "2")]
+    assert report.log.count() == 2
