@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,33 +21,53 @@ def _magnitude(v: Column) -> Column:
     return F.when(v > 0, steps).when(v < 0, -steps).otherwise(F.lit(0)).cast("int")
 
 
-def competition_rank(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Add ``name``: 1 + number of rows with a smaller ``value``; ties share a rank.
+def competition_rank(
+    df: DataFrame, value: str, name: str, groups: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``name``: 1 + number of rows of the group with a smaller ``value``; ties share
+    a rank.
 
     Equal values are counted first, so a value shared by a third of the rows is
     one row afterwards. The distinct values are ranked inside magnitude buckets,
-    and the bucket offsets (a bounded table) shift the local ranks.
+    and the bucket offsets (a bounded table per group) shift the local ranks.
     """
+    keys = [f"_g{i}" for i in range(len(groups))]
     counts = (
-        df.groupBy(F.col(value).alias("_v"))
+        df.groupBy(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.col(value).alias("_v"))
         .agg(F.count("*").alias("_n"))
         .withColumn("_bucket", _magnitude(F.col("_v")))
     )
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        Window.partitionBy(*keys)
+        .orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     offsets = (
-        counts.groupBy("_bucket")
+        counts.groupBy(*keys, "_bucket")
         .agg(F.sum("_n").alias("_in_bucket"))
-        .select("_bucket", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)).alias("_offset"))
+        .select(
+            *[F.col(k).alias(f"{k}_of") for k in keys],
+            F.col("_bucket").alias("_bucket_of"),
+            F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)).alias("_offset"),
+        )
     )
     inside = (
-        Window.partitionBy("_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_bucket")
+        .orderBy("_v")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    same_bucket = F.col("_bucket") == F.col("_bucket_of")
+    for k in keys:
+        same_bucket &= F.col(k).eqNullSafe(F.col(f"{k}_of"))
     ranks = (
         counts.withColumn("_below", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(offsets, "_bucket")
-        .select("_v", (F.col("_offset") + F.col("_below") + 1).alias(name))
+        .join(offsets, same_bucket)
+        .select(*keys, "_v", (F.col("_offset") + F.col("_below") + 1).alias(name))
     )
-    return df.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
+    same_value = F.col(value).eqNullSafe(F.col("_v"))
+    for g, k in zip(groups, keys):
+        same_value &= F.col(g).eqNullSafe(F.col(k))
+    return df.join(ranks, same_value).drop(*keys, "_v")
 
 
 def worst(df: DataFrame, rank: str, key: str, n: int) -> DataFrame:

@@ -185,15 +185,46 @@ def populacao_coberta(ctx: Context, dedup: bool = False) -> DataFrame:
     return _spread_over(ctx, population, places)
 
 
+def _dimension(ctx: Context, relation: Relation) -> DataFrame:
+    """A dimension under its own filters, its key also by the fact's name for it."""
+    side = getattr(ctx.star, relation.table)
+    if relation.fact_key != relation.key:
+        side = side.withColumn(relation.fact_key, F.col(relation.key))
+    return _apply(side, ctx.where, _owned(ctx.where, relation.table))
+
+
+def _combinations(ctx: Context) -> DataFrame:
+    """Every combination of slicer values, with doses or without.
+
+    Columns of one dimension combine as its members do, dimensions with one another
+    freely; keys that no dimension lists come from the doses. The place dimension is
+    unrolled over the value lists of the others, which are short, so no cross join is
+    needed and no rows arise but those of the answer.
+    """
+    used = [r for r in RELATIONS if _owned(ctx.by, r.table)]
+    used.sort(key=lambda r: r.table != _MUNICIPALITY)
+    grid = None
+    for r in used:
+        own = _owned(ctx.by, r.table)
+        values = _dimension(ctx, r).select(*own).distinct()
+        if grid is None:
+            grid = values
+            continue
+        listed = values.agg(F.collect_list(F.struct(*own)))
+        grid = grid.withColumn("_values", listed.scalar()).select(
+            *grid.columns, F.inline("_values")
+        )
+    grid = grid.select(*ctx.by)
+    if [r.table for r in used] == [_MUNICIPALITY]:
+        return grid
+    return grid.unionByName(doses(ctx).select(*ctx.by)).distinct()
+
+
 def _spread_over(ctx: Context, value: DataFrame, on: Sequence[str]) -> DataFrame:
     """A dimension-side value under every slicer; constant over those not in ``on``."""
     if list(ctx.by) == list(on):
         return value
-    if _owned(ctx.by, _MUNICIPALITY) == list(ctx.by):
-        combinations = _members(ctx).select(*ctx.by).distinct()
-    else:
-        combinations = doses(ctx).select(*ctx.by)
-    return _attach(combinations, value, on)
+    return _attach(_combinations(ctx), value, on)
 
 
 def total_municipios(ctx: Context) -> DataFrame:
@@ -210,7 +241,7 @@ def total_municipios(ctx: Context) -> DataFrame:
 
 def total_vacinas(ctx: Context) -> DataFrame:
     on = _owned(ctx.by, "vacina")
-    members = _apply(ctx.star.vacina, ctx.where, _owned(ctx.where, "vacina"))
+    members = _dimension(ctx, _relation("chave_vacina"))
     counted = members.groupBy(*on).agg(F.count_distinct("chave_vacina").alias("total_vacinas"))
     return _spread_over(ctx, counted, on)
 
@@ -238,9 +269,13 @@ def meta_oficial(ctx: Context, where_meta: Mapping[str, Filter] | None = None) -
 
 
 def gap_meta(ctx: Context, where_meta: Mapping[str, Filter] | None = None) -> DataFrame:
-    """Percentage points above the target; a blank rate subtracts as zero."""
+    """Percentage points above the target; a blank rate subtracts as zero, also that
+    of a slicer value without doses."""
+    rated = rates(ctx).select(*ctx.by, RATE)
+    if ctx.by:
+        rated = _attach(_combinations(ctx), rated, list(ctx.by))
     gap = (F.coalesce(F.col(RATE), F.lit(0.0)) - _target(ctx, where_meta or {})) * 100
-    return rates(ctx).select(*ctx.by, gap.alias("gap_meta_pp"))
+    return rated.select(*ctx.by, gap.alias("gap_meta_pp"))
 
 
 # --- time -----------------------------------------------------------------------------
@@ -255,33 +290,40 @@ def _series(ctx: Context) -> tuple[DataFrame, list[str]]:
 
 
 def _in_time_context(series: DataFrame, ctx: Context) -> DataFrame:
-    rules = _owned(ctx.where, "tempo")
-    attributes = [c for c in rules if c in _relation("mes").attributes]
+    """The months that the time filters leave, with the time slicers as columns."""
+    wanted = _owned(dict.fromkeys((*ctx.by, *ctx.where)), "tempo")
+    attributes = [c for c in wanted if c in _relation("mes").attributes]
     if attributes:
         series = series.join(ctx.star.tempo.select("mes", *attributes), "mes")
-    if "mes_vacina" in rules:
+    if "mes_vacina" in wanted:
         series = series.withColumn("mes_vacina", F.col("mes"))
-    return _apply(series, ctx.where, rules)
+    return _apply(series, ctx.where, _owned(ctx.where, "tempo"))
 
 
 def doses_mes_anterior(ctx: Context) -> DataFrame:
+    """Doses of the months in context, each moved back by one."""
     series, groups = _series(ctx)
-    shifted = periods.previous_month(series, "mes", groups, DOSES, "doses_mes_anterior")
-    return _in_time_context(shifted, ctx).select(*groups, "mes", "doses_mes_anterior")
+    shifted = periods.previous_month(series, "mes", groups, DOSES, "_before")
+    return _in_time_context(shifted, ctx).groupBy(*ctx.by).agg(
+        F.sum("_before").alias("doses_mes_anterior")
+    )
 
 
 def variacao_mom(ctx: Context) -> DataFrame:
     """Relative change; a month without doses after one with doses is -1."""
-    series, groups = _series(ctx)
-    shifted = periods.previous_month(series, "mes", groups, DOSES, "_prev")
-    change = F.try_divide(F.coalesce(DOSES, F.lit(0)) - F.col("_prev"), F.col("_prev"))
-    return _in_time_context(shifted, ctx).select(*groups, "mes", change.alias("variacao_mom"))
+    both = _attach(doses_mes_anterior(ctx), doses(ctx), list(ctx.by))
+    before = F.col("doses_mes_anterior")
+    change = F.try_divide(F.coalesce(DOSES, F.lit(0)) - before, before)
+    return both.select(*ctx.by, change.alias("variacao_mom"))
 
 
 def doses_ytd(ctx: Context) -> DataFrame:
+    """Doses of the year up to the last month in context."""
     series, groups = _series(ctx)
-    running = periods.year_to_date(series, "mes", groups, DOSES, "doses_ytd")
-    return _in_time_context(running, ctx).select(*groups, "mes", "doses_ytd")
+    running = periods.year_to_date(series, "mes", groups, DOSES, "_running")
+    return _in_time_context(running, ctx).groupBy(*ctx.by).agg(
+        F.max_by("_running", "mes").alias("doses_ytd")
+    )
 
 
 # --- inequality between municipalities -------------------------------------------------
@@ -310,14 +352,16 @@ def coef_variacao(ctx: Context) -> DataFrame:
 
 def ranking_municipio(ctx: Context) -> DataFrame:
     """Rank 1 is the lowest rate, blank counting as zero; a filter on single
-    municipalities picks rows to show but does not shrink the ranked set."""
-    if ctx.by and set(ctx.by) != {_MEMBER}:
-        raise ValueError("the ranking lists municipalities; restrict it by filters")
-    ranked_set = ctx.without_columns(_MEMBER).sliced()
-    scored = member_rates(ranked_set).select(
-        _MEMBER, F.coalesce(F.col(RATE), F.lit(0.0)).alias("_score")
-    )
-    ranked = ranking.competition_rank(scored, "_score", "ranking").drop("_score")
+    municipalities picks rows to show but does not shrink the ranked set. Other slicers
+    give a ranking each."""
+    groups = [c for c in ctx.by if c != _MEMBER]
+    ranked_set = ctx.without_columns(_MEMBER).sliced(*groups)
+    rated = member_rates(ranked_set).select(_MEMBER, *groups, RATE)
+    if _owned(groups, _MUNICIPALITY) != groups:
+        listed = _combinations(ranked_set.sliced(_MEMBER, *groups))
+        rated = _attach(listed, rated, [_MEMBER, *groups])
+    scored = rated.select(_MEMBER, *groups, F.coalesce(F.col(RATE), F.lit(0.0)).alias("_score"))
+    ranked = ranking.competition_rank(scored, "_score", "ranking", groups).drop("_score")
     return _apply(ranked, ctx.where, [c for c in ctx.where if c == _MEMBER])
 
 

@@ -221,8 +221,45 @@ def test_shares(star):
 def test_unknown_column(star):
     with pytest.raises(ValueError):
         measures.measure(star, "d01", ["cor"])
-    with pytest.raises(ValueError):
-        measures.measure(star, "d15", ["chave_vacina"])
+
+
+def test_time_measures_under_any_slicer(star):
+    # January 80 and March 30 doses lie in the calendar, ten doses outside it.
+    assert evaluate(star, "d09", ["trimestre"]) == {1: 80, 2: 30, 3: None, 4: None}
+    assert evaluate(star, "d09", ["ano"]) == {2026: 110}
+    assert evaluate(star, "d09") == 110
+    assert evaluate(star, "d10") == pytest.approx((120 - 110) / 110)
+    assert evaluate(star, "d10", ["trimestre"]) == {1: 30 / 80, 2: -1.0, 3: None, 4: None}
+    assert evaluate(star, "d11", ["ano"]) == {2026: 110}
+    assert evaluate(star, "d11") == 110
+    assert evaluate(star, "d11", (), {"mes_numero": [1, 2]}) == 80
+    assert evaluate(star, "d11", ["uf", "trimestre"])["ESTRANGEIRO", 1] == 10
+    assert evaluate(star, "d09", ["mes_vacina"])[dt.date(2026, 2, 1)] == 80
+
+
+def test_members_without_doses(star):
+    by_month = evaluate(star, "d02", ["mes"])
+    # Twelve months, one outside the calendar, and the doses without a month.
+    assert len(by_month) == 14 and set(by_month.values()) == {1130}
+    bands = [r[0] for r in seeds.faixa_etaria(star.fato.sparkSession).select("ordem").collect()]
+    assert evaluate(star, "d03", ["chave_faixa_etaria"]) == dict.fromkeys({*bands, 0}, 5)
+    assert evaluate(star, "d04", ["uf", "nome_estrategia"])["DF", "Rotina"] == 2
+    assert evaluate(star, "d07", ["nome_sexo"]) == pytest.approx({"Feminino": TARGET, "Masculino": TARGET})
+    gap = evaluate(star, "d08", ["uf"], {"nome_vacina": ["dois"]})
+    assert set(gap) == {"SP", "DF", "ESTRANGEIRO"} and gap["DF"] == pytest.approx(-TARGET * 100)
+    below = evaluate(star, "d16", ["nome_regiao", "mes"])
+    assert below["Sudeste", dt.date(2026, 2, 1)] == 3 / 3
+    assert below["Sudeste", dt.date(2026, 1, 1)] == 2 / 3
+
+
+def test_ranking_under_other_slicers(star):
+    rows = measures.measure(star, "d15", ["nome_vacina"]).collect()
+    found = {(r["nome_vacina"], r["chave_municipio"]): r["ranking"] for r in rows}
+    assert len(found) == 12
+    assert found["um", "B"] == 6 and found["um", "A"] == 5
+    assert found["dois", "A"] == 6 and found["dois", "B"] == 1
+    rows = measures.measure(star, "d15", ["uf"]).collect()
+    assert {r["chave_municipio"]: r["ranking"] for r in rows if r["uf"] == "SP"} == {"N": 1, "A": 2, "B": 3}
 
 
 @pytest.mark.parametrize("seed", range(4))
