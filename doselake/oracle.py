@@ -10,7 +10,7 @@ from __future__ import annotations
 from .functions.calendar import MONTH_ABBREVIATIONS, MONTH_NAMES
 from .plans import checks
 from .plans.facts import RELATIONS
-from .registry import RATE_DIGITS, WHOLE_OR_NULL
+from .registry import D08_MONTH, RATE_DIGITS, WHOLE_OR_NULL
 from .sources import derived, seeds
 from .sources.tables import BRONZE_COLUMNS
 
@@ -396,6 +396,94 @@ _MEASURES = {
             " / sum(qtd_doses)"
         )} AS pct_nao_municipio_valido FROM fato_local""",
     ),
+    # The same measures under other slicers.
+    "d02_mes": _with(
+        ["fato", "dim_tempo", "dim_municipio"],
+        f"""SELECT {_text('mes')} AS mes,
+              (SELECT CAST(sum(populacao) AS BIGINT) FROM dim_municipio) AS populacao_coberta
+            FROM (SELECT mes FROM dim_tempo UNION SELECT mes_vacina FROM fato) x""",
+    ),
+    "d03_faixa": _with(
+        ["fato", "faixa_etaria", "dim_municipio"],
+        f"""SELECT chave_faixa_etaria,
+              (SELECT count(DISTINCT chave_municipio) FROM dim_municipio
+               WHERE tipo_registro IN {_REAL}) AS total_municipios
+            FROM (SELECT ordem AS chave_faixa_etaria FROM faixa_etaria
+                  UNION SELECT chave_faixa_etaria FROM fato) x""",
+    ),
+    "d04_dose": _with(
+        ["dim_vacina"],
+        """SELECT nome_dose, count(DISTINCT chave_vacina) AS total_vacinas
+           FROM dim_vacina GROUP BY nome_dose""",
+    ),
+    "d08_uf_vacina": _with(
+        ["fato_local", "dim_municipio", "meta_vacinal"],
+        f"""SELECT p.uf, {_rate('(coalesce(d.doses / nullif(p.populacao, 0), 0) - m.meta) * 100')} AS gap_meta_pp
+            FROM (SELECT uf, sum(populacao) AS populacao FROM dim_municipio GROUP BY uf) p
+            LEFT JOIN (SELECT uf, CAST(sum(qtd_doses) AS DOUBLE) AS doses FROM fato_local
+                       WHERE mes_vacina = DATE '{D08_MONTH}' AND chave_faixa_etaria = 1
+                       GROUP BY uf) d ON d.uf IS NOT DISTINCT FROM p.uf,
+              (SELECT avg(meta_cobertura) AS meta FROM meta_vacinal WHERE vacina = 'BCG') m""",
+    ),
+    "d09_trimestre": _with(
+        ["serie"],
+        f"""SELECT CAST(quarter(mes) AS BIGINT) AS trimestre,
+              CAST(sum(antes) AS BIGINT) AS doses_mes_anterior
+            FROM ({_SERIES_BEFORE}) s GROUP BY 1""",
+    ),
+    "d10_ano": _with(
+        ["serie"],
+        f"""SELECT ano, {_rate(
+            'CAST(coalesce(sum(doses), 0) - sum(antes) AS DOUBLE) / nullif(sum(antes), 0)'
+        )} AS variacao_mom FROM ({_SERIES_BEFORE}) s GROUP BY ano""",
+    ),
+    "d11_ano": _with(
+        ["serie"],
+        "SELECT ano, CAST(sum(doses) AS BIGINT) AS doses_ytd FROM serie GROUP BY ano",
+    ),
+    "d11_total": _with(
+        ["serie"],
+        """SELECT CAST(sum(doses) AS BIGINT) AS doses_ytd FROM serie
+           WHERE ano = (SELECT max(ano) FROM serie)""",
+    ),
+    "d15_uf_ano": _with(
+        ["fato", "dim_tempo", "dim_municipio"],
+        """SELECT g.chave_municipio, g.uf, g.ano, rank() OVER (PARTITION BY g.uf, g.ano
+               ORDER BY coalesce(d.doses / nullif(g.populacao, 0), 0)) AS ranking
+           FROM (SELECT m.chave_municipio, m.uf, m.populacao, a.ano
+                 FROM dim_municipio m, (SELECT DISTINCT ano FROM dim_tempo) a
+                 UNION
+                 SELECT m.chave_municipio, m.uf, m.populacao, t.ano FROM fato f
+                 LEFT JOIN dim_tempo t ON t.mes = f.mes_vacina
+                 LEFT JOIN dim_municipio m ON m.chave_municipio = f.chave_municipio) g
+           LEFT JOIN (SELECT f.chave_municipio, t.ano, CAST(sum(qtd_doses) AS DOUBLE) AS doses
+                      FROM fato f LEFT JOIN dim_tempo t ON t.mes = f.mes_vacina GROUP BY 1, 2) d
+             ON d.chave_municipio = g.chave_municipio AND d.ano IS NOT DISTINCT FROM g.ano""",
+    ),
+    "d16_region_mes": _with(
+        ["fato_local", "dim_tempo", "dim_municipio", "meta"],
+        f"""SELECT g.nome_regiao, {_text('g.mes')} AS mes, {_rate(
+            "CAST(nullif(count(DISTINCT CASE WHEN coalesce(d.doses / nullif(m.populacao, 0), 0) < meta"
+            " THEN m.chave_municipio END), 0) AS DOUBLE)"
+            f" / nullif(count(DISTINCT CASE WHEN m.tipo_registro IN {_REAL} THEN m.chave_municipio END), 0)"
+        )} AS pct_abaixo_meta
+            FROM (SELECT r.nome_regiao, t.mes
+                  FROM (SELECT DISTINCT nome_regiao FROM dim_municipio) r, dim_tempo t
+                  UNION SELECT nome_regiao, mes_vacina FROM fato_local) g
+            JOIN dim_municipio m ON m.nome_regiao IS NOT DISTINCT FROM g.nome_regiao
+            LEFT JOIN (SELECT chave_municipio, mes_vacina, CAST(sum(qtd_doses) AS DOUBLE) AS doses
+                       FROM fato GROUP BY 1, 2) d
+              ON d.chave_municipio = m.chave_municipio AND d.mes_vacina IS NOT DISTINCT FROM g.mes,
+              meta
+            GROUP BY 1, 2""",
+    ),
+    "d17_uf": _with(
+        ["fato_local"],
+        f"""SELECT uf, {_rate(
+            "CAST(sum(CASE WHEN coalesce(tipo_registro, '') <> 'Município válido' THEN qtd_doses END) AS DOUBLE)"
+            " / sum(qtd_doses)"
+        )} AS pct_nao_municipio_valido FROM fato_local GROUP BY uf""",
+    ),
     "d18": _share("chave_faixa_etaria", "pct_faixa_etaria"),
     "d19": _share("chave_estrategia", "pct_estrategia"),
     "d20": _share("chave_perfil", "pct_perfil"),
@@ -503,6 +591,21 @@ _OTHERS = {
                         linhas FROM nomes_arquivo) x
            GROUP BY 1, 2""",
     ),
+    "s7_hash": _with(
+        ["nomes_arquivo"],
+        f"""SELECT {_DROP} AS remessa, CAST(1 AS INTEGER) AS iguais, CAST(0 AS BIGINT) AS diferentes
+            FROM nomes_arquivo""",
+    ),
+    "k8_publication": _with(
+        ["fato"],
+        f"""SELECT count(*) AS linhas, CAST({len(RELATIONS) + sum(len(r.attributes) for r in RELATIONS) + 1}
+              AS BIGINT) AS colunas, CAST(1 AS INTEGER) AS publicado FROM fato""",
+    ),
+    "q9_altered_fact": _with(
+        ["fato"],
+        f"""SELECT count(*) AS diferencas FROM fato
+            WHERE chave_faixa_etaria = 1 OR mes_vacina >= DATE '{D08_MONTH}'""",
+    ),
     "s9_seed_bands": _with(
         ["faixa_etaria", "chaves"],
         """SELECT f.ordem, f.idade_min, f.idade_max, f.nome_faixa_etaria, d.doses

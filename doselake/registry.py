@@ -193,9 +193,18 @@ def s5_month_from_name(lake: Lake) -> DataFrame:
 
 
 def s7_hash(lake: Lake) -> DataFrame:
+    """The streamed digests against those of the whole contents, per drop."""
     listed, _ = drops.listing(lake.spark, lake.csv_folder)
-    return listed.join(drops.hashes(listed), "uri").select(
-        "remessa", "arquivo", "bytes", "arquivo_sha256"
+    whole = (
+        lake.spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(lake.csv_folder)
+        .select(F.col("_metadata.file_path").alias("uri"), F.sha2("content", 256).alias("_whole"))
+    )
+    same = F.col("arquivo_sha256").eqNullSafe(F.col("_whole"))
+    both = listed.join(drops.hashes(listed), "uri", "left").join(whole, "uri", "left")
+    return both.groupBy("remessa").agg(
+        F.min(same.cast("int")).alias("iguais"), F.count_if(~same).alias("diferentes")
     )
 
 
@@ -269,8 +278,14 @@ def k5_schema_drift(lake: Lake) -> DataFrame:
 
 
 def k8_publication(lake: Lake) -> DataFrame:
-    lake.mart.schema  # stored on first use
-    return staging.publication_size(lake.spark, f"{lake.base}/gold/{checks.MART}")
+    """Rows and columns of the published mart; its bytes depend on the writer."""
+    columns = len(lake.mart.columns)  # stored on first use
+    size = staging.publication_size(lake.spark, f"{lake.base}/gold/{checks.MART}")
+    return size.select(
+        "linhas",
+        F.lit(columns).cast("long").alias("colunas"),
+        F.expr("arquivos > 0 and bytes > 0").cast("int").alias("publicado"),
+    )
 
 
 # --- silver --------------------------------------------------------------------------------------
@@ -393,10 +408,38 @@ MEASURE_SLICERS: dict[str, tuple[str, ...]] = {
 }
 
 
+D08_MONTH = "1998-06-01"
+
+
 def _measure(name: str) -> Callable[[Lake], DataFrame]:
     return lambda lake: measures.measure(lake.star, name, MEASURE_SLICERS[name])
 
 
+_SLICED: dict[str, tuple[str, tuple[str, ...]]] = {
+    "d02_mes": ("d02", ("mes",)),
+    "d03_faixa": ("d03", ("chave_faixa_etaria",)),
+    "d04_dose": ("d04", ("nome_dose",)),
+    "d09_trimestre": ("d09", ("trimestre",)),
+    "d10_ano": ("d10", ("ano",)),
+    "d11_ano": ("d11", ("ano",)),
+    "d11_total": ("d11", ()),
+    "d15_uf_ano": ("d15", ("uf", "ano")),
+    "d16_region_mes": ("d16", ("nome_regiao", "mes")),
+    "d17_uf": ("d17", ("uf",)),
+}
+
+
+def _sliced(measure: str, by: tuple[str, ...]) -> Callable[[Lake], DataFrame]:
+    return lambda lake: measures.measure(lake.star, measure, by)
+
+
+def d08_uf_vacina(lake: Lake) -> DataFrame:
+    """The gap of one month and age band to one vaccine's target: states without such doses
+    are as far below it as can be."""
+    where = {"mes": lambda c: c == F.lit(D08_MONTH).cast("date"), "chave_faixa_etaria": [1]}
+    return measures.measure(lake.star, "d08", ("uf",), where, where_meta={"vacina": ["BCG"]})
+
+
 def d02_dedup(lake: Lake) -> DataFrame:
     return measures.measure(lake.star, "d02", ("uf",), dedup=True)
 
@@ -477,6 +520,17 @@ def a19_source_lag(lake: Lake) -> DataFrame:
     return profiling.source_lag(lake.silver)
 
 
+def q9_altered_fact(lake: Lake) -> DataFrame:
+    """What the comparison finds in a fact that lacks one age band and has a dose too
+    many in every row from one month on."""
+    fact = lake.star.fato
+    late = F.col("mes_vacina") >= F.lit(D08_MONTH).cast("date")
+    altered = fact.filter("chave_faixa_etaria <> 1").withColumn(
+        "qtd_doses", F.col("qtd_doses") + F.coalesce(late, F.lit(False)).cast("int")
+    )
+    return checks.unreconciled_keys(fact, altered).agg(F.count("*").alias("diferencas"))
+
+
 _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     **{
         f.__name__: f
@@ -513,7 +567,9 @@ _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
         )
     },
     **{name: _measure(name) for name in MEASURE_SLICERS},
+    **{name: _sliced(*of) for name, of in _SLICED.items()},
     "d02_dedup": d02_dedup,
+    "d08_uf_vacina": d08_uf_vacina,
     "d05_uf_month": d05_uf_month,
     "d10_region_2000": d10_region_2000,
     "d15_worst": d15_worst,
@@ -523,6 +579,7 @@ _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "q4_relationships": _checks(quality.RELATED),
     "q9_layer_reconciliation": q9_layer_reconciliation,
     "q9_unreconciled_keys": q9_unreconciled_keys,
+    "q9_altered_fact": q9_altered_fact,
     "q10_missing_information": q10_missing_information,
     "a16_functional_dependency": a16_functional_dependency,
     "a17_profile": a17_profile,
@@ -551,6 +608,8 @@ WHOLE_OR_NULL: dict[str, tuple[str, ...]] = {
     "d02_dedup": ("populacao_coberta",),
     "d09": ("doses_mes_anterior",),
     "d11": ("doses_ytd",),
+    "d11_ano": ("doses_ytd",),
+    "d11_total": ("doses_ytd",),
 }
 
 
