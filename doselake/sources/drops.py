@@ -12,6 +12,7 @@ import csv
 import hashlib
 import io
 from collections.abc import Iterable, Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -25,7 +26,6 @@ from .spanning import odd_quotes, read_spanning_rows
 # --- fixed values: candidate formats in order of preference, and reading sizes ------
 ENCODINGS = ["utf-8-sig", "utf-8", "ISO-8859-1"]
 DELIMITERS = [";", ",", "\t"]
-HEAD_CHARACTERS = 65_536
 HASH_BLOCK = 1024 * 1024
 # --------------------------------------------------------------------------------------
 
@@ -34,7 +34,8 @@ BY_LINE = "linha"
 BY_FILE = "arquivo"
 SPANNING = "blocos"
 
-_BYTES_PER_CHARACTER = 4  # at most, in UTF-8
+HEAD_BYTES = 256 * 1024  # read first; doubled until the header has ended
+HEADER_LIMIT = 64 * 1024 * 1024  # a longer header is reported, never cut
 _FORMAT_SCHEMA = (
     "uri string, encoding string, delimitador string, "
     "cabecalho array<string>, colunas array<string>, problema string"
@@ -72,13 +73,14 @@ def file_name(uri: Column) -> Column:
 
 
 def _with_identity(files: DataFrame, mes: str | None) -> DataFrame:
-    uri = F.col("uri")
+    # Names are taken from the path: the URI spells a blank "%20".
+    path = F.col("path")
     return files.select(
         "uri",
         "path",
-        drop_name(uri).alias("remessa"),
-        file_name(uri).alias("arquivo"),
-        (F.lit(mes) if mes else month_of(drop_name(uri))).alias("mes_referencia"),
+        drop_name(path).alias("remessa"),
+        file_name(path).alias("arquivo"),
+        (F.lit(mes) if mes else month_of(drop_name(path))).alias("mes_referencia"),
         "bytes",
     )
 
@@ -117,42 +119,70 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # --- per-file facts that need the bytes ---------------------------------------------------
 
 
+def _located(path: str) -> str:
+    """Object stores go by pyarrow's names for them; dbfs is mounted."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "dbfs":
+        return "file:/dbfs/" + rest.lstrip("/")
+    return f"s3:{rest}" if scheme in ("s3a", "s3n") else path
+
+
 def _open(path: str):
+    path = _located(path)
     if path.startswith("file:"):
         return pafs.LocalFileSystem().open_input_stream(
             "/" + path[len("file:"):].lstrip("/"), compression=None
         )
-    filesystem, inner = pafs.FileSystem.from_uri(path)
+    filesystem, inner = pafs.FileSystem.from_uri(quote(path, safe="/:@?=&"))
     return filesystem.open_input_stream(inner, compression=None)
 
 
-def _decoded_head(data: bytes, encoding: str) -> str | None:
-    """The examined characters, or null text where they are not in this encoding."""
-    decoder = codecs.getincrementaldecoder(encoding)()
+def _decoded(data: bytes, encoding: str, whole: bool) -> str | None:
     try:
-        return decoder.decode(data)[:HEAD_CHARACTERS]
-    except UnicodeDecodeError as problem:
-        sound = data[: problem.start].decode(encoding)
-        return sound[:HEAD_CHARACTERS] if len(sound) >= HEAD_CHARACTERS else None
+        return codecs.getincrementaldecoder(encoding)().decode(data, whole)
+    except UnicodeDecodeError:
+        return None
 
 
-def _format_of(path: str) -> tuple[str | None, str | None, list[str], str | None]:
-    """(encoding, delimiter, header, problem), judged from one read of the head."""
-    with _open(path) as raw:
-        data = raw.read(HEAD_CHARACTERS * _BYTES_PER_CHARACTER)
-    if not data:
-        return None, None, [], EMPTY
-    texts = ((e, _decoded_head(data, e)) for e in ENCODINGS)
-    encoding, text = next((pair for pair in texts if pair[1] is not None), (None, ""))
-    lines = text.splitlines()
+Format = tuple[str | None, str | None, list[str], str | None]
+
+
+def _judged(data: bytes, whole: bool) -> Format | None:
+    """(encoding, delimiter, header, problem); None where the header goes on."""
+    texts = ((e, _decoded(data, e, whole)) for e in ENCODINGS)
+    encoding, text = next(pair for pair in texts if pair[1] is not None)
+    lines = list(io.StringIO(text, newline=""))
+    if len(lines) < 2 and not whole:
+        return None
     frequency = {d: lines[0].count(d) if lines else 0 for d in DELIMITERS}
     delimiter = max(frequency, key=frequency.get)
     if not frequency[delimiter]:
         return None, None, [], UNKNOWN_FORMAT
-    header = next(csv.reader(io.StringIO(text, newline=""), delimiter=delimiter))
+    reader = csv.reader(lines, delimiter=delimiter)
+    try:
+        header = next(reader)
+    except csv.Error:  # a field that does not end
+        return None, None, [], UNKNOWN_FORMAT
+    if reader.line_num == len(lines) and not whole:
+        return None
     return encoding, delimiter, header, None
 
 
+def _format_of(path: str) -> Format:
+    with _open(path) as raw:
+        data = b""
+        while len(data) < HEADER_LIMIT:
+            wanted = len(data) or HEAD_BYTES
+            block = raw.read(wanted)
+            data += block
+            if not data:
+                return None, None, [], EMPTY
+            found = _judged(data, whole=len(block) < wanted)
+            if found is not None:
+                return found
+    return None, None, [], UNKNOWN_FORMAT
+
+
 def _detect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -166,7 +196,10 @@ def _detect(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def formats(files: DataFrame) -> DataFrame:
-    """Encoding, delimiter and header of every file, from its head only."""
+    """Encoding, delimiter and header of every file, read up to the header's end.
+
+    The encoding is that of the head; `manifest` judges it by the whole file.
+    """
     return files.select("uri", "path").mapInPandas(_detect, _FORMAT_SCHEMA)
 
 
@@ -197,8 +230,8 @@ def hashes(files: DataFrame) -> DataFrame:
 
 
 def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Physical lines without the header, per file (S6), and whether some line ends
-    inside quotes.
+    """Physical lines without the header, per file (S6), whether some line ends inside
+    quotes, and whether all are UTF-8.
 
     The scan is split and combined map-side, so a huge file is counted by many
     tasks. A line with an odd number of quotes opens or closes a quoted field that
@@ -210,11 +243,13 @@ def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .select(
             F.col("_metadata.file_path").alias("uri"),
             (odd_quotes(F.col("value")) == 1).alias("_odd"),
+            F.is_valid_utf8("value").alias("_utf8"),
         )
     )
     return lines.groupBy("uri").agg(
         F.greatest(F.count("*") - 1, F.lit(0)).alias("linhas_no_csv"),
         F.max("_odd").alias("quebra_em_aspas"),
+        F.min("_utf8").alias("utf8"),
     )
 
 
@@ -225,6 +260,10 @@ def manifest(spark: SparkSession, files: DataFrame, with_hash: bool = True) -> D
     table = files.join(formats(files), "uri", "left").join(
         line_counts(spark, [f["path"] for f in listed]), "uri", "left"
     )
+    # A byte that is no UTF-8 anywhere in the file rules UTF-8 out.
+    other = F.col("encoding").startswith("utf-8") & ~F.col("utf8")
+    encoding = F.when(other, ENCODINGS[-1]).otherwise(F.col("encoding"))
+    table = table.withColumn("encoding", encoding).drop("utf8")
     if with_hash:
         table = table.join(hashes(files), "uri", "left")
     # The file index spells "file:///x" what a row's metadata spells "file:/x".
@@ -233,6 +272,9 @@ def manifest(spark: SparkSession, files: DataFrame, with_hash: bool = True) -> D
     if empty:
         # A scan yields no row for a file without bytes; the file index names it.
         rows = spark.createDataFrame([(u, u, 0, EMPTY) for u in empty], _EMPTY_SCHEMA)
+        # The index spells names as URIs do, in which a plus sign is no blank.
+        decoded = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+        rows = rows.withColumn("path", decoded)
         named = _with_identity(rows, None).join(rows.select("uri", "problema"), "uri")
         table = table.unionByName(named, allowMissingColumns=True)
     unnamed = F.when(F.col("mes_referencia").isNull(), "mes nao identificado")

@@ -260,6 +260,50 @@ def test_head_cut_inside_a_character(spark, place):
     assert found["encoding"] == "utf-8-sig" and found["colunas"] == ["e", "b"]
 
 
+def test_late_accent_decides_the_encoding(spark, place):
+    text = "a;b\n" + "1;x\n" * 100_000 + "2;São\n"
+    place.put("d_2026_01.csv", text, "ISO-8859-1")
+    place.put("d_2026_02.csv", text, "utf-8")
+    place.load(spark).raise_for_problems()
+    stored = [r for r in place.rows(spark, "a", "b") if r[1] == "2"]
+    assert stored == [("2026-01", "2", "São"), ("2026-02", "2", "São")]
+    log = {r["arquivo"]: r["encoding"] for r in spark.read.parquet(place.log).collect()}
+    assert log == {"d_2026_01.csv": "ISO-8859-1", "d_2026_02.csv": "utf-8-sig"}
+
+
+@pytest.mark.parametrize("size", [9_000, 90_000])
+def test_long_header_is_read_to_its_end(spark, place, size):
+    names = [letter * size for letter in "abcdefghij"]
+    place.put("d_2026_01.csv", ";".join(names) + "\n" + ";".join("0123456789") + "\n")
+    listed, _ = drops.listing(spark, f"file://{place.csv}")
+    (found,) = drops.formats(listed).collect()
+    assert found["cabecalho"] == names
+
+
+def test_header_that_never_ends_is_reported(spark, place):
+    place.put("d_2026_01.csv", 'a;"b\n' + "1;x\n" * 200_000)
+    assert place.load(spark).problems == [f"d_2026_01.csv: {drops.UNKNOWN_FORMAT}"]
+
+
+def test_names_are_those_of_the_files(spark, place):
+    place.put("lote 2608.csv", "a;b\n1;x\n")
+    place.put("vacinação 2026_08.csv", "a;b\n2;y\n")
+    place.put("a+b 2026_09.csv", "")
+    report = place.load(spark)
+    assert sorted(report.problems) == [
+        f"a+b 2026_09.csv: {drops.EMPTY}", "lote 2608.csv: mes nao identificado",
+    ]
+    assert place.rows(spark, "a") == [("2026-08", "2")]
+    (entry,) = report.log.collect()
+    assert entry["arquivo"] == "vacinação 2026_08.csv"
+
+
+def test_stores_go_by_other_names():
+    assert drops._located("s3a://lake/x.csv") == "s3://lake/x.csv"
+    assert drops._located("dbfs:/lake/x.csv") == "file:/dbfs/lake/x.csv"
+    assert drops._located("hdfs://n/x.csv") == "hdfs://n/x.csv"
+
+
 # --- records that span lines, read in blocks ---------------------------------------------------
 
 
