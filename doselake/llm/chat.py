@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -34,6 +35,9 @@ _ROLE_CONTROL = re.compile(r"\\|###|</turn>|:")
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(r"### ((?:[^\\:]|\\.)*):\n((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
 
+_TURN_EVENTS = Decimal(1 << 42)  # more than any turn has
+_NULL_TURN = Decimal(-(1 << 63) - 1)  # before all turns
+
 Batches = Iterator[pa.RecordBatch]
 
 _MESSAGE = (
@@ -73,7 +77,9 @@ def log_of(conversations: DataFrame) -> DataFrame:
     """An event log whose fold gives the rows of ``conversations`` back.
 
     Messages arrive in deltas; some are drafts that an edit replaces, some are regenerated.
-    Rows of one turn are told apart by ``nth``, in order of role and text.
+    Rows of one turn are told apart by ``nth``, in order of role and text. Turns have disjoint
+    ranges of ``seq``, in the order in which `messages` folds them; being decimal, these hold
+    any turn.
     """
     same = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     rows = conversations.select(
@@ -92,10 +98,11 @@ def log_of(conversations: DataFrame) -> DataFrame:
         f"array({event(0, 'delta', second)}, {event(1, 'regenerate', first)}, {event(2, 'delta', second)})"
     )
     kind = "pmod(xxhash64(conv_id, turn, nth), 3)"
+    turn = F.coalesce(F.col("turn").cast("decimal(20,0)"), F.lit(_NULL_TURN))
     events = F.explode(F.expr(f"case {kind} when 0 then {streamed} when 1 then {edited} else {again} end"))
     return rows.withColumn("e", events).select(
         "conv_id", "turn", "nth",
-        (F.coalesce("turn", F.lit(-1)) * 1024 + F.col("nth") * 4 + F.col("e.at")).alias("seq"),
+        (turn * F.lit(_TURN_EVENTS) + F.col("nth") * 4 + F.col("e.at")).alias("seq"),
         F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text"),
     )
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 
+import duckdb
 import numpy as np
+import pytest
 
 from doselake.llm import chat, queries, toxicity
 
@@ -50,6 +52,18 @@ def test_digests_read_back(ready):
     assert (got[3].n_turns, got[3].loss_chars) == (3, 0)
 
 
+@pytest.mark.parametrize("turns", [[1] * 1000 + [2] * 9, [None, -5, -1, 0] * 5, [None, -(1 << 63), (1 << 63) - 1] * 300])
+def test_turns_of_any_length_and_number(ready, turns):
+    rows = [(conv, turn, ("user", "assistant")[k % 2], f"text {k}") for conv in (1, None) for k, turn in enumerate(turns)]
+    frame = ready.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    own = ready.createDataFrame([(-7, k, r, queries.CONTROL_TEXT) for k, r in enumerate(("user", "assistant"))], frame.schema)
+    got = chat.digests(chat.messages(chat.log_of(frame.union(own)))).collect()
+    with duckdb.connect() as db:
+        db.register("conversations", frame.toArrow())
+        wanted = db.execute(queries.ORACLE_SQL["op3_chat_formatting"]).fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(wanted, key=str)
+
+
 def test_gradients_are_slopes():
     params = toxicity.fresh(3, 3, seed=1)
     draw = np.random.default_rng(0)
