@@ -4,7 +4,8 @@ A word's input is its own embedding plus the mean embedding of its character n-g
 (both hashed; only what at least `LEAST_TEXTS` fitted texts have is embedded), so words
 never seen are read by their characters. A gated recurrent network reads each window of
 `WINDOW` words both ways, attention pools its states, and a text's score is that of its
-most toxic window. Windows overlap by a quarter and cover all of a text.
+most toxic window. Windows overlap by half and cover all of a text, so
+`WINDOW` - `STRIDE` + 1 words running lie whole in one of them wherever they stand.
 
 The model is fitted on the driver, on at most `TOXIC_ROWS` and `OTHER_ROWS` labelled texts
 of at most `FIT_BYTES` bytes, and sent to the tasks (about 6 MB, whatever the input).
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from . import scratch, text
 
 WINDOW = 32
-STRIDE = 24
+STRIDE = 16
 WORDS = 1 << 18  # buckets; only those that enough fitted texts have get an embedding
 GRAMS = 1 << 20
 LEAST_TEXTS = 3

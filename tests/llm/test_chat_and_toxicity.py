@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from doselake.llm import chat, queries, toxicity
 
@@ -97,3 +100,26 @@ def test_odd_scores(ready, odd, empty):
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
     assert all(r.score == 0 and r.predicted == 0 for r in rows if r.doc_id in (3, 4, 5))
     assert toxicity.score(empty, params).count() == 0
+
+
+def test_half_a_window_lies_whole_in_one():
+    words = toxicity.Words(pa.array([" ".join(f"w{k}" for k in range(size)) for size in range(1, 150)]))
+    windows, row = words.windows(toxicity.STRIDE)
+    half = toxicity.WINDOW // 2
+    for nth, (start, end) in enumerate(itertools.pairwise(words.rows)):
+        here = [bytes(w) for w in windows[row == nth]]
+        for at in range(start, max(end - half, start) + 1):
+            run = bytes(words.which[at : min(at + half, end)])
+            assert any(run in w for w in here), (end - start, at - start)
+
+
+def test_held_out_recall(ready):
+    """As it is set, on a table with enough labels to fill the sample."""
+    docs, labels = (ready.read.parquet(f"/root/testdata/check_s/{name}.parquet") for name in ("documents", "labels"))
+    params = toxicity.fit(docs, labels)
+    held = docs.join(labels.where("toxic is not null").withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"))
+    held = held.where(toxicity.held_out()).select("doc_id", "text", "toxic").toArrow()
+    toxic = held["toxic"].to_numpy() == 1
+    marked = np.concatenate([toxicity.scores(params, b.column("text")) for b in held.to_batches(256)]) >= toxicity.THRESHOLD
+    assert (marked & toxic).sum() >= 0.99 * toxic.sum() > 500
+    assert (marked & ~toxic).sum() <= 0.02 * (~toxic).sum()
