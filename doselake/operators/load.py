@@ -39,7 +39,7 @@ LOG_SCHEMA = T.StructType(
 _BROADCAST_FILES = 100_000
 
 # Up to this size a file whose records span lines is left to one task; a larger one
-# is read in blocks, which costs a shuffle.
+# is read in blocks, which costs a shuffle. Both give the same rows.
 ONE_TASK_BYTES = 256 * 1024 * 1024
 
 NEW_COLUMN = "falta na tabela"

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import clean_names, month_of
-from .spanning import odd_quotes, read_spanning_rows
+from .spanning import ends_inside, read_spanning_rows
 
 # --- fixed values: candidate formats in order of preference, and reading sizes ------
 ENCODINGS = ["utf-8-sig", "utf-8", "ISO-8859-1"]
@@ -231,24 +231,25 @@ def hashes(files: DataFrame) -> DataFrame:
 
 def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Physical lines without the header, per file (S6), whether some line ends inside
-    quotes, and whether all are UTF-8.
+    quotes (``quebras``: for each delimiter), and whether all are UTF-8.
 
     The scan is split and combined map-side, so a huge file is counted by many
-    tasks. A line with an odd number of quotes opens or closes a quoted field that
-    spans lines; without one, every line is a whole record.
+    tasks. Each line is judged as if it started a record: the first one that ends inside
+    quotes does start one, and without such a line every line is a whole record.
     """
     lines = (
         spark.read.option("recursiveFileLookup", "true")
         .text(list(paths))
         .select(
             F.col("_metadata.file_path").alias("uri"),
-            (odd_quotes(F.col("value")) == 1).alias("_odd"),
+            *(ends_inside(F.col("value"), d, False).alias(f"_open_{k}") for k, d in enumerate(DELIMITERS)),
             F.is_valid_utf8("value").alias("_utf8"),
         )
     )
+    opened = [F.max(f"_open_{k}") for k in range(len(DELIMITERS))]
     return lines.groupBy("uri").agg(
         F.greatest(F.count("*") - 1, F.lit(0)).alias("linhas_no_csv"),
-        F.max("_odd").alias("quebra_em_aspas"),
+        F.map_from_arrays(F.lit(DELIMITERS), F.array(*opened)).alias("quebras"),
         F.min("_utf8").alias("utf8"),
     )
 
@@ -264,6 +265,8 @@ def manifest(spark: SparkSession, files: DataFrame, with_hash: bool = True) -> D
     other = F.col("encoding").startswith("utf-8") & ~F.col("utf8")
     encoding = F.when(other, ENCODINGS[-1]).otherwise(F.col("encoding"))
     table = table.withColumn("encoding", encoding).drop("utf8")
+    broken = F.try_element_at("quebras", F.col("delimitador"))
+    table = table.withColumn("quebra_em_aspas", broken).drop("quebras")
     if with_hash:
         table = table.join(hashes(files), "uri", "left")
     # The file index spells "file:///x" what a row's metadata spells "file:/x".

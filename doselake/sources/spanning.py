@@ -1,9 +1,10 @@
 """Records that span lines, read by many tasks per file.
 
 Spark's multi-line CSV scan gives a whole file to one task. Here the file is read as
-lines, which split; whether a line starts a record follows from the number of quotes
-before it, and that number is a prefix sum: inside the blocks of the file first, then
-over the blocks (one short row each).
+lines, which split. A quote opens a field only where the field starts, as in that scan, so
+what a line does is a map from "begins inside quotes" to "ends inside quotes"; whether it
+starts a record follows from the maps of the lines before it, composed inside the blocks of
+the file first, then over the blocks (one short row each).
 """
 
 from __future__ import annotations
@@ -12,19 +13,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
+_END = "(end)"  # no clean column name
 
-def odd_quotes(line: Column) -> Column:
-    """1 where the line opens or closes a quoted field that spans lines, else 0.
-
-    Counted in bytes, so it holds in every encoding that extends ASCII.
-    """
-    without = F.replace(line, F.lit('"'), F.lit(""))
-    return (F.octet_length(line) - F.octet_length(without)) % 2
 
+def ends_inside(line: Column, delimiter: str, begins_inside: bool) -> Column:
+    """Whether a line ends inside a quoted field that spans lines.
 
-def _numbered_lines(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
-    """Lines with their block of the file and their order inside it."""
+    After a closing quote all is text up to the delimiter. Only ASCII counts, so it holds
+    in every encoding that extends it.
+    """
+    sep = f"\\x{{{ord(delimiter):x}}}"
+    quoted = '[^"]*+(?:""[^"]*+)*+'  # up to the closing quote
+    rest = f"[^{sep}]*+"
+    fields = f'(?:(?:"{quoted}"{rest}|[^"{sep}]{rest})?+{sep})*+'
+    opened = f'{fields}"{quoted}'
+    pattern = f'{quoted}(?:"{rest}{sep}{opened})?+' if begins_inside else opened
+    # Most lines hold no quote and need no pattern.
+    return F.when(F.contains(line, F.lit('"')), line.rlike(rf"\A{pattern}\z")).otherwise(begins_inside)
+
+
+def _numbered_lines(
+    spark: SparkSession, paths: Sequence[str], encoding: str, delimiter: str
+) -> DataFrame:
+    """Lines with their block of the file, their order inside it and their map."""
     value = F.col("value")
     if encoding != "UTF-8":
         # The text scan passes bytes through; decode them before any text function.
@@ -37,63 +50,84 @@ def _numbered_lines(spark: SparkSession, paths: Sequence[str], encoding: str) ->
             F.col("_metadata.file_path").alias("uri"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line"),
-            odd_quotes(value).alias("_odd"),
+            ends_inside(value, delimiter, False).cast("int").alias("_to_0"),
+            ends_inside(value, delimiter, True).cast("int").alias("_to_1"),
             value.alias("value"),
         )
     )
 
 
+def _composed(rows: DataFrame, order: WindowSpec) -> DataFrame:
+    """``_inside_0`` and ``_inside_1``: the state in which a row begins if the first one
+    began outside or inside quotes. ``_to_0`` and ``_to_1`` are the rows' own maps.
+
+    That is the outcome of the last earlier row that does not heed its beginning, turned
+    over by each row since that turns the state over.
+    """
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    turns = (F.col("_to_0") > F.col("_to_1")).cast("int")
+    heedless = F.when(F.col("_to_0") == F.col("_to_1"), F.col("_to_0") - F.col("_turns"))
+    counted = rows.withColumn("_turns", F.coalesce(F.sum(turns).over(before), F.lit(0)))
+    last = counted.withColumn("_last", F.last(heedless, ignorenulls=True).over(before))
+    return last.withColumns(
+        {
+            f"_inside_{k}": F.pmod(F.coalesce("_last", F.lit(k)) + F.col("_turns"), F.lit(2))
+            for k in (0, 1)
+        }
+    ).drop("_turns", "_last")
+
+
+def _by_state(state: Column, name: str) -> Column:
+    return F.when(state == 0, F.col(f"{name}_0")).otherwise(F.col(f"{name}_1"))
+
+
 def _within_blocks(lines: DataFrame) -> DataFrame:
-    """As if every block began outside quotes: ``_inside`` tells whether a line then
-    continues a record, ``_starts`` how many records have begun up to it."""
+    """For either beginning of the block: ``_inside_*`` tells whether a line then continues
+    a record, ``_starts_*`` how many records have begun up to it, ``_next_*`` whether the
+    next line continues one."""
     order = Window.partitionBy("uri", "_block").orderBy("_line")
-    before = F.sum("_odd").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    placed = lines.withColumn("_inside", F.coalesce(before, F.lit(0)) % 2)
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return placed.withColumns(
-        {
-            "_position": F.row_number().over(order),
-            "_starts": F.sum(1 - F.col("_inside")).over(so_far),
-            "_next_inside": F.lead("_inside").over(order),
-        }
-    )
+    placed = _composed(lines, order).withColumn("_position", F.row_number().over(order))
+    for k in (0, 1):
+        inside = F.col(f"_inside_{k}")
+        placed = placed.withColumns(
+            {
+                f"_starts_{k}": F.sum(1 - inside).over(so_far),
+                f"_next_{k}": F.lead(inside).over(order),
+                f"_end_{k}": _by_state(inside, "_to"),
+            }
+        )
+    return placed
 
 
 def _block_offsets(lines: DataFrame) -> DataFrame:
-    """Per block: whether it really begins inside quotes, and the records begun before.
-
-    A block that does has its starts and continuations swapped throughout.
-    """
-    earlier = (
-        Window.partitionBy("uri").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    """Per block: whether it really begins inside quotes, and the records begun before."""
+    order = Window.partitionBy("uri").orderBy("_block")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     blocks = lines.groupBy("uri", "_block").agg(
-        F.max("_position").alias("_lines"), F.max("_starts").alias("_if_outside"),
-        F.sum("_odd").alias("_quotes"),
-    )
-    flipped = F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2
-    starts = F.when(F.col("_flipped") == 0, F.col("_if_outside")).otherwise(
-        F.col("_lines") - F.col("_if_outside")
+        *(F.max_by(f"_end_{k}", "_position").alias(f"_to_{k}") for k in (0, 1)),
+        *(F.max(f"_starts_{k}").alias(f"_starts_{k}") for k in (0, 1)),
     )
+    starts = _by_state(F.col("_began"), "_starts")
     return (
-        blocks.withColumn("_flipped", flipped)
+        _composed(blocks, order)
+        .withColumn("_began", F.col("_inside_0"))
         .withColumn("_begun", F.coalesce(F.sum(starts).over(earlier), F.lit(0)))
-        .select("uri", "_block", "_flipped", "_begun")
+        .select("uri", "_block", "_began", "_begun")
     )
 
 
-def record_texts(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
+def record_texts(
+    spark: SparkSession, paths: Sequence[str], encoding: str, delimiter: str
+) -> DataFrame:
     """``uri``, ``record`` (1 is the header) and ``text`` of every record."""
-    lines = _within_blocks(_numbered_lines(spark, paths, encoding))
+    lines = _within_blocks(_numbered_lines(spark, paths, encoding, delimiter))
     placed = lines.join(_block_offsets(lines), ["uri", "_block"])
-    flipped = F.col("_flipped")
-    begun_here = F.when(flipped == 0, F.col("_starts")).otherwise(
-        F.col("_position") - F.col("_starts")
-    )
-    placed = placed.withColumn("record", F.col("_begun") + begun_here)
+    began = F.col("_began")
+    placed = placed.withColumn("record", F.col("_begun") + _by_state(began, "_starts"))
 
-    starts = (F.col("_inside") + flipped) % 2 == 0
-    next_starts = (F.col("_next_inside") + flipped) % 2 == 0
+    starts = _by_state(began, "_inside") == 0
+    next_starts = _by_state(began, "_next") == 0
     # The last line of a block may go on in the next one: it is put together too.
     alone = F.coalesce(starts & next_starts, F.lit(False))
     whole = placed.filter(alone).select("uri", "record", F.col("value").alias("text"))
@@ -119,10 +153,13 @@ def read_spanning_rows(
     """
     raw = F.regexp_replace(F.replace(F.col("text"), F.lit("\r\n"), F.lit("\n")), "\r$", "")
     return (
-        record_texts(spark, paths, encoding)
+        record_texts(spark, paths, encoding, options["sep"])
         .filter("record > 1")
         .select("uri", raw.alias("_text"))
         .filter("_text <> ''")
-        .select(F.from_csv("_text", schema, options).alias("_row"), "uri")
+        # A field with stray quotes at the very end of a text is parsed otherwise than one in
+        # a file, so a delimiter follows it, and behind that an empty column.
+        .select(F.from_csv(F.concat("_text", F.lit(options["sep"])), f"{schema}, `{_END}` string", options).alias("_row"), "uri")
         .select("_row.*", "uri")
+        .drop(_END)
     )

@@ -357,6 +357,50 @@ def test_large_spanning_file_loads_in_blocks(spark, place):
     ]
 
 
+STRAY = ['5" cano', 'a""b', 'x"', ' "y', '"a"b', '"a" "b', '"a""b" c"', '""', "", "1", '"p\nq"', '"p""\n"";q\n"', '"\n"']
+
+
+@pytest.mark.parametrize("delimiter", [";", ",", "\t"])
+@pytest.mark.parametrize("block", [23, 10**6])
+def test_stray_quotes_in_blocks_are_those_of_one_task(spark, place, delimiter, block):
+    import random
+
+    rng = random.Random(f"{delimiter}{block}")
+    cells = [c.replace(";", delimiter) for c in STRAY]
+    body = [delimiter.join([str(i), rng.choice(cells), rng.choice(cells)]) for i in range(300)]
+    path = place.put("d.csv", "\n".join([delimiter.join("ipr"), *body, ""]))
+    whole, blocks = (
+        drops.read_rows(spark, [path], list("ipr"), "utf-8", delimiter, how)
+        for how in (drops.BY_FILE, drops.SPANNING)
+    )
+    expected = sorted((tuple(r) for r in whole.collect()), key=str)
+    assert len(expected) == 300
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert sorted((tuple(r) for r in blocks.collect()), key=str) == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+@pytest.mark.parametrize("one_task_bytes", [10, load.ONE_TASK_BYTES])
+def test_stray_quotes_load_at_every_size(spark, place, one_task_bytes):
+    place.put("d_2026_01.csv", 'a;b\n1;5" cano\n2;"x\ny"\n3;z\n')
+    place.put("d_2026_02.csv", 'a;b\n4" ;"x\ny" "\n5;z\n')  # an even number of quotes in each line
+    place.load(spark, gate=load.RECORDS, one_task_bytes=one_task_bytes).raise_for_problems()
+    assert place.rows(spark, "a", "b") == [
+        ("2026-01", "1", '5" cano'), ("2026-01", "2", "x\ny"), ("2026-01", "3", "z"),
+        ("2026-02", '4" ', '"x\ny" "'), ("2026-02", "5", "z"),
+    ]
+
+
+def test_long_quoted_line_in_blocks(spark, place):
+    path = place.put("d.csv", 'a;b\n1;"' + 'x""' * 200_000 + ';\n"\n' + '"y";"z"""\n')
+    rows = drops.read_rows(spark, [path], ["a", "b"], "utf-8", ";", drops.SPANNING).collect()
+    assert sorted((r.a, r.b) for r in rows) == [("1", 'x"' * 200_000 + ";\n"), ("y", 'z"')]
+
+
 @pytest.mark.parametrize("bad", ["1\n", "1;2;3\n"])
 def test_wrong_width_in_blocks_stops_the_run(spark, place, bad):
     place.put("d_2026_01.csv", 'a;b\n0;"p\nq"\n' + bad)
