@@ -13,6 +13,8 @@ from . import (
     fingerprints,
     mixing,
     neardup,
+    packing,
+    phrases,
     quality,
     scratch,
     sharding,
@@ -100,6 +102,15 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=80)
 
 
+def op12_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.pack(table(spark, sf_dir, "documents"), packing.Capacity(tokens=2048))
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_training_order": op2_training_order,
@@ -111,10 +122,13 @@ QUERIES = {
     "op8_edit_aware_counts": op8_edit_aware_counts,
     "op9_toxicity": op9_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op12_vector_best_fit": op12_vector_best_fit,
+    "op13_son_collocations": op13_son_collocations,
 }
 
 ORACLE_SQL = {
     "op1_pareto_mix": sql.pareto_mix(),
     "op3_chat_formatting": sql.chat_formatting(CONTROL_TEXT),
     "op10_minhash_near_dedup": sql.near_duplicates(words=4, similarity=80),
+    "op13_son_collocations": sql.collocations(),
 }

@@ -97,3 +97,43 @@ SELECT conv_id, count(*) AS n_turns,
        sum(length('### ' || role || ':' || chr(10) || text || '</turn>' || chr(10))
            + len(regexp_extract_all(text, {escapes})) + len(regexp_extract_all(role, '\\|###|</turn>|:')))::BIGINT AS formatted_chars
 FROM ordered GROUP BY conv_id"""
+
+
+def collocations(support: int = 30, best: int = 2000, covered: int = 80) -> str:
+    """All phrases of 2 to 4 words counted by a plain group by."""
+    spelt = "array_to_string(w[i:i + {} - 1], ' ')"
+    return f"""
+WITH
+pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+spelt AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM spelt WHERE len(w) > 0),
+runs AS (
+  SELECT lang, m AS words, {spelt.format("m")} AS phrase
+  FROM starts, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(w)),
+totals AS (SELECT lang, count(*) AS n FROM runs WHERE words = 1 GROUP BY lang),
+counts AS (SELECT lang, words, phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= {support}),
+many AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE words > 1),
+cuts AS (SELECT *, unnest(range(1, words)) AS k FROM many),
+halves AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+         (2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+weakest AS (
+  SELECT * FROM halves QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+subs AS (
+  SELECT lang, a AS longer, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, a, w, words, unnest(range(1, words)) AS i FROM many), (SELECT unnest([2, 3]) AS m)
+  WHERE m < words AND i + m - 1 <= words),
+longest AS (SELECT lang, phrase, max(longer) AS longer FROM subs GROUP BY ALL),
+kept AS (
+  SELECT weakest.*, n FROM weakest JOIN totals USING (lang) LEFT JOIN longest USING (lang, phrase)
+  WHERE longer IS NULL OR 100::HUGEINT * longer < {covered}::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM ranked WHERE rank <= {best}"""

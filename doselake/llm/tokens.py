@@ -8,10 +8,16 @@ task remembers the ids of those it met.
 from __future__ import annotations
 
 import base64
+import os
 import re
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
 import tiktoken
+from pyspark import Broadcast
+from pyspark.sql import SparkSession
+from tokenizers import Tokenizer
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_TEXT = 50256  # free in the vocabulary
@@ -55,3 +61,75 @@ class Encoder(dict):
 
     def count(self, value: str) -> int:
         return len(self.encode(value)) // 2
+
+
+JSON_VOCABULARY = "byte_bpe_50k.json"
+_LEAD = np.zeros(256, bool)  # first bytes of characters of which some are blank
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def shared_vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
+    """The vocabulary file's text (a few MB), read on the driver only."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(JSON_VOCABULARY)
+    with open(path, encoding="utf-8") as file:
+        return spark.sparkContext.broadcast(file.read())
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where a space stands between two characters that are surely not blank."""
+    if len(data) < 3:
+        return np.empty(0, np.int64)
+    at = np.flatnonzero(data[1:-1] == 0x20) + 1
+    before, after = data[at - 1], data[at + 1]
+    sure = (before > 0x20) & (after > 0x20) & ~_LEAD[after]
+    wide = before >= 0x80
+    sure &= ~(wide & (_LEAD[data[at - 2]] | _LEAD[data[np.maximum(at - 3, 0)]]))
+    return at[sure]
+
+
+class Pieces:
+    """Ids of whole texts; each distinct piece between sure cuts is encoded once a task."""
+
+    def __init__(self, vocabulary: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids = np.empty(1 << 16, np.uint32)
+        self.ends = [0]
+
+    def _numbers(self, distinct: list[bytes]) -> np.ndarray:
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        fresh = [piece for piece in distinct if piece not in self.known]
+        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)
+        for piece, found in zip(fresh, encoded, strict=True):
+            first, last = self.ends[-1], self.ends[-1] + len(found.ids)
+            if last > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty(max(last, len(self.ids)), np.uint32)])
+            self.ids[first:last] = found.ids
+            self.known[piece] = len(self.ends) - 1
+            self.ends.append(last)
+        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of texts given as `text.flat` does, and where each text's ids start and end."""
+        bounds = np.unique(np.concatenate([cuts(data), offsets]))
+        if len(bounds) < 2:
+            return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
+        held = pa.Array.from_buffers(
+            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]
+        ).dictionary_encode()
+        numbers = self._numbers(held.dictionary.to_pylist())[held.indices.to_numpy()]
+        ends = np.array(self.ends)
+        first, size = ends[numbers], ends[numbers + 1] - ends[numbers]
+        total = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=total[1:])
+        place = np.arange(total[-1]) + np.repeat(first - total[:-1], size)
+        return self.ids[place], total[np.searchsorted(bounds, offsets)]
