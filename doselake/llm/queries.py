@@ -13,6 +13,7 @@ from . import (
     fingerprints,
     mixing,
     neardup,
+    negatives,
     packing,
     phrases,
     quality,
@@ -102,6 +103,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=80)
 
 
+def op11_hyperplane_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), relabel_every=7)
+
+
 def op12_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = packing.pack(table(spark, sf_dir, "documents"), packing.Capacity(tokens=2048))
     return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -122,6 +127,7 @@ QUERIES = {
     "op8_edit_aware_counts": op8_edit_aware_counts,
     "op9_toxicity": op9_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_hyperplane_tree": op11_hyperplane_tree,
     "op12_vector_best_fit": op12_vector_best_fit,
     "op13_son_collocations": op13_son_collocations,
 }
@@ -130,5 +136,6 @@ ORACLE_SQL = {
     "op1_pareto_mix": sql.pareto_mix(),
     "op3_chat_formatting": sql.chat_formatting(CONTROL_TEXT),
     "op10_minhash_near_dedup": sql.near_duplicates(words=4, similarity=80),
+    "op11_hyperplane_tree": sql.hard_negatives(),
     "op13_son_collocations": sql.collocations(),
 }

