@@ -115,9 +115,10 @@ class Counted:
 
 def trees(docs: DataFrame, vocabulary: str = tokens.VOCABULARY) -> DataFrame:
     """(doc_id, text, chars, tokens): the leaves of every text. Null texts are empty."""
+    shared = tokens.shared(docs.sparkSession, vocabulary)
 
     def run(batches: Batches) -> Batches:
-        encoder = tokens.Encoder(vocabulary)
+        encoder = tokens.Encoder(shared.value)
         for batch in text.slices(batches):
             values = batch.column("text").to_pylist()
             cut = [leaves(v) for v in values]
@@ -142,57 +143,53 @@ def recount(kept: DataFrame, edits: DataFrame, vocabulary: str = tokens.VOCABULA
     """Token counts of every document of `trees` before and after its edits.
 
     ``edits`` is (doc_id, seq, start, length, insert); a document's edits are made in order
-    of ``seq`` (then start, length, insert), each on what the ones before have left. Places
-    count code points and are cut to the text; nulls are 0 or empty. Edits of unknown or
-    null ids do nothing. Rows that share an id are edited alike. A task holds one document
-    (or the rows of one id) and streams through its edits.
+    of ``seq`` (then start, length, insert), each on what the ones before have left; one that
+    is there twice is made once. Places count code points and are cut to the text; nulls are
+    0 or empty. Edits of unknown or null ids do nothing. Rows that share an id are edited
+    alike: a task holds the edits of one id and one text at a time, and of equal texts only
+    the first is edited.
     """
+    none = F.lit(None).cast("array<int>")
     documents = kept.select(
-        "doc_id", F.lit(0).alias("step"), F.lit(None).cast("long").alias("seq"), F.lit(0).alias("start"),
+        "doc_id", F.lit(1).alias("step"), F.lit(None).cast("long").alias("seq"), F.lit(0).alias("start"),
         F.lit(0).alias("length"), "text", "chars", "tokens",
     )
-    none = F.lit(None).cast("array<int>")
     changes = edits.where("doc_id is not null").select(
-        F.col("doc_id").cast("long"), F.lit(1), F.col("seq").cast("long"),
+        F.col("doc_id").cast("long"), F.lit(0), F.col("seq").cast("long"),
         F.coalesce(F.col("start"), F.lit(0)).cast("int"), F.coalesce(F.col("length"), F.lit(0)).cast("int"),
         F.coalesce(F.col("insert"), F.lit("")), none, none,
     )
+    shared = tokens.shared(kept.sparkSession, vocabulary)
 
     def run(batches: Batches) -> Batches:
-        encoder = tokens.Encoder(vocabulary)
+        encoder = tokens.Encoder(shared.value)
         key: object = run
-        held: list[tuple[Counted, int]] = []
-        made = 0
-
-        def done() -> list[tuple]:
-            return [
-                (key, made, before, c.tree.total()[1], len(c.text), c.encoded) for c, before in held
-            ]
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in _RESULT.split(", ")]
-            )
-
+        made: list[tuple] = []
+        last, result = None, ()
         for batch in text.slices(batches):
             out: list[tuple] = []
             columns = (c.to_pylist() for c in batch.columns)
-            for doc, step, _, start, length, value, chars, counts in zip(*columns, strict=True):
-                if doc != key or (doc is None and step == 0):
-                    out += done()
-                    key, held, made = doc, [], 0
+            for doc, step, seq, start, length, value, chars, counts in zip(*columns, strict=True):
+                if doc != key:
+                    key, made, last = doc, [], None
                 if step == 0:
+                    if not made or made[-1] != (seq, start, length, value):
+                        made.append((seq, start, length, value))
+                    continue
+                if value != last:
                     counted = Counted(value, list(zip(chars, counts, strict=True)))
-                    held.append((counted, counted.tree.total()[1]))
-                else:
-                    made += 1
-                    for counted, _ in held:
-                        counted.edit(start, length, value, encoder)
-            yield batch_of(out)
-        yield batch_of(done())
-
-    rows = documents.union(changes)
+                    before = counted.tree.total()[1]
+                    for _, at, size, insert in made:
+                        counted.edit(at, size, insert, encoder)
+                    last = value
+                    result = (len(made), before, counted.tree.total()[1], len(counted.text), counted.encoded)
+                out.append((doc, *result))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in _RESULT.split(", ")]
+            )
+
+    rows = changes.toDF(*documents.columns).union(documents)
     # Rows without an id have no edits and need not meet.
     alone = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0))
     rows = rows.withColumn("_alone", alone).repartition("doc_id", "_alone").drop("_alone")

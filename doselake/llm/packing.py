@@ -165,29 +165,27 @@ _PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long, ids bi
 
 
 def pieces(
-    docs: DataFrame, length: int = LENGTH, vocabulary: str | None = None, with_ids: bool = False
+    docs: DataFrame, length: int = LENGTH, vocabulary: str = tokens.JSON_VOCABULARY, with_ids: bool = False
 ) -> DataFrame:
     """A stored row per piece; ``nth`` counts pieces of a length within a ``part``."""
-    shared = tokens.shared_vocabulary(docs.sparkSession, vocabulary)
+    shared = tokens.shared(docs.sparkSession, vocabulary)
 
     def run(batches: Batches) -> Batches:
-        encoder = tokens.Pieces(shared.value)
-        part, seen = TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
+        encoder = tokens.Encoder(shared.value)
+        part, seen = TaskContext.get().partitionId(), [0] * (length + 1)
         for batch in text.slices(batches):
-            ids, ends = encoder.encode(*text.flat(batch.column("text")))
             rows = []
-            for doc, first, last in zip(batch.column("doc_id").to_pylist(), ends[:-1], ends[1:], strict=True):
-                own = np.append(ids[first:last], END).astype("<u4")
+            for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                own = np.append(encoder.ids(value), END).astype("<u4")
                 cut = len(own) % length or length
                 for piece, start in enumerate([0, *range(cut, len(own), length)]):
                     some = own[start : cut + piece * length].tobytes()
                     size = len(some) // 4
-                    kept = some if with_ids else None
-                    rows.append((doc, piece, start, size, zlib.crc32(some), kept, part, int(seen[size])))
+                    rows.append((doc, piece, start, size, zlib.crc32(some), some if with_ids else None, part, seen[size]))
                     seen[size] += 1
-            columns = zip(*rows, strict=True) if rows else [[]] * 8
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
             names = [c.split()[0] for c in _PIECE.split(", ")]
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
             arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -200,7 +198,7 @@ def pack(
     capacity: Capacity = Capacity(),
     weights: tuple[float, ...] = WEIGHTS,
     rule: str = "norm",
-    vocabulary: str | None = None,
+    vocabulary: str = tokens.JSON_VOCABULARY,
     with_ids: bool = False,
 ) -> DataFrame:
     """Per piece of (doc_id, text): doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset.

@@ -1,135 +1,74 @@
 """Token ids with public byte-level vocabularies.
 
-Encoding is cut at spaces between two other characters: a pre-token never reaches over
-such a cut, so the piece from one cut to the next encodes by itself. Pieces repeat, and a
-task remembers the ids of those it met.
+A vocabulary is a file of the public tokenizers, read on the driver and broadcast as text
+(a few MB): ranks in lines, or the JSON of a byte-level BPE, whose ids are its ranks.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import os
-import re
 from functools import cache
 
 import numpy as np
-import pyarrow as pa
 import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
-from tokenizers import Tokenizer
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+FOLDER = "/opt/tokenizers"
+VOCABULARY = f"{FOLDER}/byte_bpe_50k.tiktoken"
+JSON_VOCABULARY = f"{FOLDER}/byte_bpe_50k.json"
 END_OF_TEXT = 50256  # free in the vocabulary
 #: Fixed value: the pre-token pattern that belongs to the vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 200_000  # pieces
 
-_NO_CUT = re.compile(r"\s\x20|\x20\s")
-_CUT = re.compile(r"(?<=\S)\x20(?=\S)")
 
+def read(path: str) -> str:
+    """A vocabulary's text, by its path or by its name among the public tokenizers."""
+    if not os.path.isabs(path):
+        path = os.path.join(FOLDER, path)
+    with open(path, encoding="utf-8") as file:
+        return file.read()
 
-@cache
-def encoding(vocabulary: str) -> tiktoken.Encoding:
-    with open(vocabulary, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
-class Encoder(dict):
-    """Ids of ``" " + piece`` as little-endian 16-bit numbers, remembered by piece."""
-
-    def __init__(self, vocabulary: str = VOCABULARY):
-        super().__init__()
-        self.encoding = encoding(vocabulary)
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self.plain(" " + piece)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[piece] = found
-        return found
 
-    def plain(self, value: str) -> bytes:
-        ids = self.encoding.encode_ordinary(value)
-        return b"".join(i.to_bytes(2, "little") for i in ids)
+def shared(spark: SparkSession, path: str) -> Broadcast:
+    return spark.sparkContext.broadcast(read(path))
 
-    def encode(self, value: str) -> bytes:
-        """All ids of a text, two bytes each."""
-        pieces = value.split(" ") if _NO_CUT.search(value) is None else _CUT.split(value)
-        return self.plain(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))
 
-    def count(self, value: str) -> int:
-        return len(self.encode(value)) // 2
+def _letters() -> dict[str, int]:
+    """Bytes by the letters that stand for them in JSON: visible ones for themselves."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(0x100) if b not in visible]
+    return {chr(b): b for b in visible} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-JSON_VOCABULARY = "byte_bpe_50k.json"
-_LEAD = np.zeros(256, bool)  # first bytes of characters of which some are blank
-_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+def _ranks(vocabulary: str) -> dict[bytes, int]:
+    if not vocabulary.startswith("{"):
+        lines = (line.split() for line in vocabulary.splitlines() if line)
+        return {base64.b64decode(token): int(rank) for token, rank in lines}
+    model, letters = json.loads(vocabulary)["model"], _letters()
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    # Merged in the order of their ids, or ids could not serve as ranks.
+    if any(model["vocab"][a + b] != len(letters) + i for i, (a, b) in enumerate(pairs)):
+        raise ValueError("ids do not follow the merges")
+    return {bytes(letters[c] for c in token): i for token, i in model["vocab"].items()}
 
 
-def shared_vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast:
-    """The vocabulary file's text (a few MB), read on the driver only."""
-    if path is None:
-        import public_tokenizers
-
-        path = public_tokenizers.path(JSON_VOCABULARY)
-    with open(path, encoding="utf-8") as file:
-        return spark.sparkContext.broadcast(file.read())
+@cache
+def encoding(vocabulary: str) -> tiktoken.Encoding:
+    """The encoding of a vocabulary's text; special tokens are text like other text."""
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=_ranks(vocabulary), special_tokens={})
 
 
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Where a space stands between two characters that are surely not blank."""
-    if len(data) < 3:
-        return np.empty(0, np.int64)
-    at = np.flatnonzero(data[1:-1] == 0x20) + 1
-    before, after = data[at - 1], data[at + 1]
-    sure = (before > 0x20) & (after > 0x20) & ~_LEAD[after]
-    wide = before >= 0x80
-    sure &= ~(wide & (_LEAD[data[at - 2]] | _LEAD[data[np.maximum(at - 3, 0)]]))
-    return at[sure]
+class Encoder:
+    """Ids of whole texts."""
 
+    def __init__(self, vocabulary: str):
+        self.encoding = encoding(vocabulary)
 
-class Pieces:
-    """Ids of whole texts; each distinct piece between sure cuts is encoded once a task."""
+    def ids(self, value: str | None) -> np.ndarray:
+        return np.array(self.encoding.encode_ordinary(value or ""), np.uint32)
 
-    def __init__(self, vocabulary: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids = np.empty(1 << 16, np.uint32)
-        self.ends = [0]
-
-    def _numbers(self, distinct: list[bytes]) -> np.ndarray:
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        fresh = [piece for piece in distinct if piece not in self.known]
-        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in fresh], add_special_tokens=False)
-        for piece, found in zip(fresh, encoded, strict=True):
-            first, last = self.ends[-1], self.ends[-1] + len(found.ids)
-            if last > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty(max(last, len(self.ids)), np.uint32)])
-            self.ids[first:last] = found.ids
-            self.known[piece] = len(self.ends) - 1
-            self.ends.append(last)
-        return np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of texts given as `text.flat` does, and where each text's ids start and end."""
-        bounds = np.unique(np.concatenate([cuts(data), offsets]))
-        if len(bounds) < 2:
-            return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
-        held = pa.Array.from_buffers(
-            pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]
-        ).dictionary_encode()
-        numbers = self._numbers(held.dictionary.to_pylist())[held.indices.to_numpy()]
-        ends = np.array(self.ends)
-        first, size = ends[numbers], ends[numbers + 1] - ends[numbers]
-        total = np.zeros(len(size) + 1, np.int64)
-        np.cumsum(size, out=total[1:])
-        place = np.arange(total[-1]) + np.repeat(first - total[:-1], size)
-        return self.ids[place], total[np.searchsorted(bounds, offsets)]
+    def count(self, value: str) -> int:
+        return len(self.encoding.encode_ordinary(value))
