@@ -2,8 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as
 Parquet and read again as the next stage's ``docs``. Stages but the last keep the columns
-of ``documents``. Null and empty texts pass the first three stages, and the mix takes none
-of their words, so they end there; empty tables pass all stages empty.
+of ``documents``. The first three judge every row by its own text: rows without an id, and
+rows that share one, are filtered like all others, and of rows that repeat id and text one
+stays. Null and empty texts pass these stages, and the mix takes none of their words, so they
+end there; empty tables pass all stages empty.
 """
 
 from __future__ import annotations
@@ -55,7 +57,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("sharding", shard_stage),
 ]
 
-#: The classifier and the ring are beyond SQL; tests compare the stages with brute force.
+#: The classifier and the ring are beyond SQL; tests/llm/test_pipeline.py compares every stage
+#: with brute force.
 ORACLE_SQL = None
 
 
