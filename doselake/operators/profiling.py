@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
 
+_COUNTERS = 1 << 16
+
 
 def _long(df: DataFrame, entries: list[Column]) -> DataFrame:
     """One aggregate row turned into one row per entry."""
@@ -60,26 +61,55 @@ def value_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def heavy_values(df: DataFrame, columns: Sequence[str], percent: int = 1) -> DataFrame:
+    """Values that at least ``percent`` of the rows hold, per column, with their exact counts.
+
+    Each task counts with a bounded number of counters a column, and these merge; a value
+    above the share is sure to be among those named, since `_COUNTERS` counters err by
+    less than a hundredth of a percent of the rows. The few named values are then counted
+    exactly in a second pass. No value of a column with many is shuffled.
+    """
+    most = 100 // percent
+    named = [
+        F.expr(f"approx_top_k(CAST(`{c}` AS STRING), {most}, {_COUNTERS})").alias(f"_{i}")
+        for i, c in enumerate(columns)
+    ]
+    entries = [
+        F.expr(f"transform(_{i}, x -> struct({i} AS _column, x.item AS valor))") for i in range(len(columns))
+    ]
+    candidates = df.agg(*named).select(F.inline(F.flatten(F.array(*entries)))).where("valor IS NOT NULL")
+    # At most 100 / percent values a column.
+    held = [F.struct(F.lit(i).alias("_column"), F.col(c).cast("string").alias("valor")) for i, c in enumerate(columns)]
+    counts = (
+        df.select(F.inline(F.array(*held)))
+        .join(F.broadcast(candidates), ["_column", "valor"])
+        .groupBy("_column", "valor")
+        .agg(F.count("*").alias("linhas"))
+    )
+    total = df.agg(F.count("*").alias("n")).scalar()
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_column") + 1)
+    return counts.where(F.col("linhas") * 100 >= total * percent).select(name.alias("coluna"), "valor", "linhas")
+
+
 def functional_dependency(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
     """Codes, and codes carrying more than one name, per (code, name) pair.
 
-    Every pair is reduced to its distinct values where it is scanned, apart from
-    the others: a pair with few values is not held up by one with many.
+    One scan: every row is unrolled to its pairs, and a code keeps the least and the
+    greatest of its names, which differ if there are several. Both are combined
+    map-side, so a code sends one row a task however many rows hold it.
     """
-    seen = [
-        df.select(F.lit(c).alias("codigo"), F.col(c).alias("_code"), F.col(n).alias("_name"))
-        .filter("_code IS NOT NULL")
-        .distinct()
-        for c, n in pairs.items()
-    ]
+    held = F.array(
+        *[F.struct(F.lit(c).alias("codigo"), F.col(c).alias("_code"), F.col(n).alias("_name")) for c, n in pairs.items()]
+    )
     names = (
-        reduce(DataFrame.unionByName, seen)
+        df.select(F.inline(held))
+        .filter("_code IS NOT NULL")
         .groupBy("codigo", "_code")
-        .agg(F.count("_name").alias("_names"))
+        .agg(F.min("_name").alias("_least"), F.max("_name").alias("_most"))
     )
     return names.groupBy("codigo").agg(
         F.count("*").alias("valores"),
-        F.count(F.when(F.col("_names") > 1, 1)).alias("com_varios_nomes"),
+        F.count_if(F.col("_least") != F.col("_most")).alias("com_varios_nomes"),
     )
 
 

@@ -7,61 +7,65 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEPS_PER_DOUBLING = 64
-_ABOVE_ALL_STEPS = 80_000  # 64 steps times the 1,074 doublings below one, and more
+RANGES = 256
+_ACCURACY = 10_000
 
 
-def _magnitude(v: Column) -> Column:
-    """A bucket number that never decreases as ``v`` grows.
+def _bounds(values: DataFrame, ranges: int) -> Column:
+    """Ascending values that part the distinct ``_v`` into about equal ranges; one small array."""
+    shares = F.lit([i / ranges for i in range(1, ranges)])
+    return values.agg(F.percentile_approx("_v", shares, _ACCURACY).alias("b")).scalar()
 
-    A bucket spans about one percent of the absolute value, mirrored for negatives.
-    The range of a double bounds the number of buckets to some 270,000.
-    """
-    steps = F.floor(F.log2(F.abs(v)) * _STEPS_PER_DOUBLING) + _ABOVE_ALL_STEPS
-    return F.when(v > 0, steps).when(v < 0, -steps).otherwise(F.lit(0)).cast("int")
+
+def ranged(counts: DataFrame, ranges: int) -> DataFrame:
+    """``counts`` with ``_range``, which never decreases as ``_v`` grows; -1 for nulls."""
+    value = F.col("_v").cast("double")
+    held = counts.withColumn("_bounds", _bounds(counts.select(value.alias("_v")), ranges))
+    below = F.coalesce(F.size(F.filter("_bounds", lambda b: b < value)), F.lit(0))
+    return held.withColumn("_range", F.when(F.col("_v").isNull(), -1).otherwise(below)).drop("_bounds")
 
 
 def competition_rank(
-    df: DataFrame, value: str, name: str, groups: Sequence[str] = ()
+    df: DataFrame, value: str, name: str, groups: Sequence[str] = (), ranges: int = RANGES
 ) -> DataFrame:
     """Add ``name``: 1 + number of rows of the group with a smaller ``value``; ties share
-    a rank.
+    a rank. Nulls are smaller than any value.
 
     Equal values are counted first, so a value shared by a third of the rows is
-    one row afterwards. The distinct values are ranked inside magnitude buckets,
-    and the bucket offsets (a bounded table per group) shift the local ranks.
+    one row afterwards. The distinct values are parted into ranges that hold about as
+    many of them each, wherever they lie; a range's total is known before its values
+    are ranked, and the sum of the ranges before it shifts their ranks.
     """
     keys = [f"_g{i}" for i in range(len(groups))]
-    counts = (
-        df.groupBy(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_bucket", _magnitude(F.col("_v")))
+    counts = df.groupBy(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.col(value).alias("_v")).agg(
+        F.count("*").alias("_n")
     )
+    counts = ranged(counts, ranges)
     before = (
         Window.partitionBy(*keys)
-        .orderBy("_bucket")
+        .orderBy("_range")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
-        counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_in_bucket"))
+        counts.groupBy(*keys, "_range")
+        .agg(F.sum("_n").alias("_in_range"))
         .select(
             *[F.col(k).alias(f"{k}_of") for k in keys],
-            F.col("_bucket").alias("_bucket_of"),
-            F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)).alias("_offset"),
+            F.col("_range").alias("_range_of"),
+            F.coalesce(F.sum("_in_range").over(before), F.lit(0)).alias("_offset"),
         )
     )
     inside = (
-        Window.partitionBy(*keys, "_bucket")
+        Window.partitionBy(*keys, "_range")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    same_bucket = F.col("_bucket") == F.col("_bucket_of")
+    same_range = F.col("_range") == F.col("_range_of")
     for k in keys:
-        same_bucket &= F.col(k).eqNullSafe(F.col(f"{k}_of"))
+        same_range &= F.col(k).eqNullSafe(F.col(f"{k}_of"))
     ranks = (
         counts.withColumn("_below", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-        .join(offsets, same_bucket)
+        .join(offsets, same_range)
         .select(*keys, "_v", (F.col("_offset") + F.col("_below") + 1).alias(name))
     )
     same_value = F.col(value).eqNullSafe(F.col("_v"))

@@ -11,7 +11,7 @@ from ..operators import quality, staging
 from ..operators.quality import QualityError
 from ..sources import calendar, seeds
 from ..sources.tables import Inputs
-from . import checks, dimensions, facts, silver
+from . import checks, dimensions, facts, lineage, silver
 
 SILVER = "silver"
 GOLD = "gold"
@@ -26,6 +26,13 @@ class Build:
     warnings: list[str] = field(default_factory=list)
     failures: dict[str, str] = field(default_factory=dict)
 
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(modelo, situacao, motivo): what was built, failed its checks, or was skipped and why."""
+        failed = [(name,) for name in self.failures if name in self.tables]
+        return lineage.outcomes(
+            lineage.edges(spark, dependencies(spark)), spark.createDataFrame(failed, "tabela string")
+        )
+
     def star(self) -> facts.Star:
         t = self.tables
         return facts.Star(
@@ -102,6 +109,12 @@ def _models(spark: SparkSession, source: Inputs, start: str, end: str) -> list[M
     ]
 
 
+def dependencies(spark: SparkSession) -> dict[str, tuple[str, ...]]:
+    """What each model and seed is built from."""
+    models = _models(spark, None, calendar.DEFAULT_START, calendar.DEFAULT_END)
+    return {**dict.fromkeys(SEEDS, ()), **{m.name: m.needs for m in models}}
+
+
 def _check(build: Build, name: str) -> None:
     """Run the checks of one stored table whose parents exist; record the outcome."""
     due = [c for c in checks.checks_of(name) if c.parent is None or c.parent in build.tables]

@@ -274,9 +274,24 @@ def test_competition_rank_against_brute_force(spark, seed):
     assert all(r["r"] == 1 + sum(w < r["v"] for w in values) for r in found)
 
 
-def test_rank_buckets_never_decrease(spark):
-    values = sorted({10 ** (k / 50) for k in range(-400, 400)} | {1.0, 2.0, 2.0 - 2**-52, 1.0 + 2**-52})
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = df.select("v", ranking._magnitude(F.col("v")).alias("b")).orderBy("v").collect()
-    buckets = [r["b"] for r in rows]
-    assert buckets == sorted(buckets)
+def test_rank_ranges_never_decrease(spark):
+    values = sorted({10 ** (k / 50) for k in range(-400, 400)} | {1.0, 2.0, 2.0 - 2**-52, 1.0 + 2**-52, -3.5})
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "_v double")
+    rows = ranking.ranged(df, 16).orderBy(F.col("_v").asc_nulls_first()).collect()
+    ranges = [r["_range"] for r in rows]
+    assert ranges == sorted(ranges) and ranges[0] == -1 and len(set(ranges)) > 12
+
+
+def test_close_rates_are_ranked_by_many_tasks(spark):
+    """All rates within one percent: every range is about as large as the others."""
+    df = spark.range(20_000).selectExpr("0.95 + 0.01 * (pmod(xxhash64(id), 1000000) / 1000000D) AS v", "id % 3 AS g")
+    sizes = [r["count"] for r in ranking.ranged(df.selectExpr("v AS _v"), 64).groupBy("_range").count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 3 * 20_000 / 64
+    rows = ranking.competition_rank(df, "v", "r", ["g"], ranges=64).collect()
+    by_group = {}
+    for r in rows:
+        by_group.setdefault(r["g"], []).append((r["v"], r["r"]))
+    for held in by_group.values():
+        held.sort()
+        assert all(rank == 1 + sum(w < v for w, _ in held[:i]) for i, (v, rank) in list(enumerate(held))[::97])
+    assert len(rows) == 20_000
