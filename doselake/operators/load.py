@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources import drops
 from ..sources.tables import BRONZE_COLUMNS, MONTH_COLUMN
+from . import snapshots
 
 FILE_COLUMN = "arquivo_origem"
 
@@ -35,12 +37,37 @@ LOG_SCHEMA = T.StructType(
 )
 # ---------------------------------------------------------------------------------------
 
-# Some 20 MB of file names; a longer list is joined as its measured size allows.
-_BROADCAST_FILES = 100_000
-
-# Up to this size a file whose records span lines is left to one task; a larger one
-# is read in blocks, which costs a shuffle. Both give the same rows.
-ONE_TASK_BYTES = 256 * 1024 * 1024
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("uri", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("remessa", T.StringType()),
+        T.StructField("arquivo", T.StringType()),
+        T.StructField("mes_referencia", T.StringType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("modificado", T.TimestampType()),
+        T.StructField("encoding", T.StringType()),
+        T.StructField("delimitador", T.StringType()),
+        T.StructField("cabecalho", T.ArrayType(T.StringType())),
+        T.StructField("colunas", T.ArrayType(T.StringType())),
+        T.StructField("linhas_no_csv", T.LongType()),
+        T.StructField("quebra_em_aspas", T.BooleanType()),
+        T.StructField("arquivo_sha256", T.StringType()),
+        T.StructField("problema", T.StringType()),
+    ]
+)
+# What the bytes of a file tell, and its name does not.
+FOUND = MANIFEST_SCHEMA.names[MANIFEST_SCHEMA.names.index("encoding") :]
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField(FILE_COLUMN, T.StringType()),
+        T.StructField(MONTH_COLUMN, T.StringType()),
+        T.StructField("linha", T.StringType()),
+        T.StructField("campos", T.LongType()),
+        T.StructField("colunas", T.LongType()),
+        T.StructField("motivo", T.StringType()),
+    ]
+)
 
 NEW_COLUMN = "falta na tabela"
 MISSING_COLUMN = "falta no csv"
@@ -48,6 +75,10 @@ MISSING_COLUMN = "falta no csv"
 LINES = "linhas"
 RECORDS = "registros"
 
+SHORT = "colunas a menos"
+LONG = "colunas a mais"
+MALFORMED = "registro malformado"
+
 
 class ReconciliationError(Exception):
     """Loaded rows differ from source rows, or files could not be loaded."""
@@ -66,18 +97,48 @@ class LoadReport:
             )
 
 
+# --- what readers see ----------------------------------------------------------------------
+
+
 def bronze_table(spark: SparkSession, table: str, columns: Sequence[str] = BRONZE_COLUMNS) -> DataFrame:
-    """The stored bronze with the wanted columns, all text; absent ones are null."""
-    fields = [T.StructField(c, T.StringType()) for c in (*columns, FILE_COLUMN, MONTH_COLUMN)]
-    return spark.read.schema(T.StructType(fields)).parquet(table)
+    """The newest version of the bronze with the wanted columns, all text; absent ones are null."""
+    months = snapshots.latest(spark, table).months
+    names = [*columns, FILE_COLUMN, MONTH_COLUMN]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, snapshots.LOAD_COLUMN)])
+    folders = [
+        f"{snapshots.rows_folder(table, m.carga)}/{MONTH_COLUMN}={mes}" for mes, m in months.items() if m.carga
+    ]
+    if not folders:
+        return spark.createDataFrame([], schema).select(names)
+    rows = spark.read.schema(schema).option("basePath", f"{table}/linhas").parquet(*folders)
+    return rows.select(names)
 
 
 def target_columns(spark: SparkSession, table: str) -> list[str] | None:
+    return snapshots.latest(spark, table).columns() or None
+
+
+def load_log(spark: SparkSession, table: str, log_table: str) -> DataFrame:
+    """The log rows of all loads that have a version of ``table`` (K2)."""
+    return snapshots.visible(_stored(spark, log_table, LOG_SCHEMA), table)
+
+
+def manifest_table(spark: SparkSession, table: str) -> DataFrame:
+    """Every file state a load with a version has seen, with what it found out."""
+    return snapshots.visible(_stored(spark, f"{table}/manifesto", MANIFEST_SCHEMA), table)
+
+
+def quarantine(spark: SparkSession, table: str) -> DataFrame:
+    """Rows that did not fit their header, with file and reason."""
+    return snapshots.visible(_stored(spark, f"{table}/quarentena", QUARANTINE_SCHEMA), table)
+
+
+def _stored(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    schema = T.StructType([*schema.fields, T.StructField(snapshots.LOAD_COLUMN, T.StringType())])
     try:
-        stored = spark.read.parquet(table).columns
-    except AnalysisException:
-        return None
-    return [c for c in stored if c not in (FILE_COLUMN, MONTH_COLUMN)]
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException:  # no load has written there
+        return spark.createDataFrame([], schema)
 
 
 def schema_drift(headers: DataFrame, target: Sequence[str]) -> DataFrame:
@@ -107,56 +168,38 @@ def schema_drift(headers: DataFrame, target: Sequence[str]) -> DataFrame:
     )
 
 
-def _reading(file: Row, one_task_bytes: int) -> str:
-    if not file["quebra_em_aspas"]:
-        return drops.BY_LINE
-    return drops.BY_FILE if file["bytes"] <= one_task_bytes else drops.SPANNING
+# --- loading -------------------------------------------------------------------------------
 
 
-def _read(
-    spark: SparkSession, files: Sequence[Row], one_task_bytes: int = ONE_TASK_BYTES
-) -> DataFrame:
-    """All files as one DataFrame with their months, read once per distinct format."""
-    by_format: dict[tuple, list[str]] = {}
-    for f in files:
-        kind = (tuple(f["colunas"]), f["encoding"], f["delimitador"], _reading(f, one_task_bytes))
-        by_format.setdefault(kind, []).append(f["path"])
+def _formats(files: DataFrame) -> list[Row]:
+    """One row per distinct header and format, with the names of its files."""
+    kind = ["fica", "colunas", "encoding", "delimitador", "quebra_em_aspas"]
+    return files.groupBy(kind).agg(F.collect_list("path").alias("paths")).collect()
+
+
+def _read(spark: SparkSession, formats: Sequence[Row]) -> DataFrame:
     parts = [
-        drops.read_rows(spark, paths, columns, encoding, delimiter, reading)
-        for (columns, encoding, delimiter, reading), paths in by_format.items()
+        drops.read_rows(spark, f["paths"], f["colunas"], f["encoding"], f["delimitador"], f["quebra_em_aspas"])
+        for f in formats
     ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    # The month is a fact of the file: looked up, not parsed from the name per row.
-    months = spark.createDataFrame(
-        [(f["uri"], f[MONTH_COLUMN]) for f in files], f"uri string, {MONTH_COLUMN} string"
-    )
-    if len(files) <= _BROADCAST_FILES:
-        months = F.broadcast(months)
-    return rows.join(months, "uri").withColumnRenamed("uri", FILE_COLUMN)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def replace_months(rows: DataFrame, table: str) -> None:
-    """Overwrite exactly the months present in ``rows`` (K1).
+def _counts(rows: DataFrame, column: str, *read: str) -> DataFrame:
+    """Whole rows, bad rows and line breaks inside quotes per file.
 
-    The rows come straight from the files, and a file is one month: every input
-    split already belongs to one month (or, packed, to a few small ones), so the
-    write needs no shuffle and its files are as large as the splits.
+    ``read``: columns of the file, without which its reader would not judge rows.
     """
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH_COLUMN)
-        .parquet(table)
+    bad = F.col(drops.BAD_COLUMN).isNotNull()
+    for c in read:
+        bad &= F.coalesce(F.length(c), F.lit(0)) >= 0
+    return rows.groupBy(F.col(column).alias("uri")).agg(
+        F.count_if(~bad).alias("linhas_carregadas"),
+        F.count_if(bad).alias("ruins"),
+        F.sum(drops.BREAKS_COLUMN).alias("quebras"),
     )
 
 
-def clear_month(rows: DataFrame, table: str, month: str) -> None:
-    """Replace a month by nothing: a dynamic overwrite leaves a month without rows as
-    it was, but a drop without rows must empty its month too."""
-    nothing = rows.drop(MONTH_COLUMN).limit(0)
-    nothing.write.mode("overwrite").parquet(f"{table.rstrip('/')}/{MONTH_COLUMN}={month}")
-
-
 def reconcile(expected: DataFrame, loaded: DataFrame) -> DataFrame:
     """Source and loaded rows per file, a file on either side alone included."""
     both = expected.join(loaded, "uri", "full_outer")
@@ -172,9 +215,23 @@ def rows_per_file(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(F.col(column).alias("uri")).agg(F.count("*").alias("linhas_carregadas"))
 
 
+def _expected(files: DataFrame, counts: DataFrame, gate: str) -> DataFrame:
+    """Rows each file should have: its lines, or its lines less those that begin inside quotes.
+
+    Lines are counted by the scan of lines; the breaks inside quotes by looking into the
+    rows that were stored. Records that a parse loses or glues make the two disagree.
+    """
+    if gate == LINES:
+        return files.select("uri", "linhas_no_csv")
+    in_header = F.regexp_count(F.array_join("cabecalho", ""), F.lit(drops.LINE_BREAK))
+    inside = F.coalesce("quebras", F.lit(0)) + F.coalesce(in_header, F.lit(0))
+    return files.join(counts, "uri", "left").select(
+        "uri", (F.col("linhas_no_csv") - inside).alias("linhas_no_csv")
+    )
+
+
 def _log_rows(files: DataFrame, result: DataFrame, stamp: datetime) -> DataFrame:
-    facts = files.drop("linhas_no_csv")
-    return result.join(facts, "uri", "left").select(
+    return result.join(files.drop("linhas_no_csv"), "uri").select(
         F.lit(stamp).alias("carregado_em"),
         F.to_date(F.concat(MONTH_COLUMN, F.lit("-01"))).alias("mes_referencia"),
         F.when(F.col("remessa") == F.col("arquivo"), F.col("arquivo"))
@@ -191,19 +248,41 @@ def _log_rows(files: DataFrame, result: DataFrame, stamp: datetime) -> DataFrame
     )
 
 
-def _drop(file: Row) -> str:
-    """Where a file's drop lies: two drops of one name in different folders are two."""
-    folder, _, _ = file["uri"].rpartition("/")
-    return folder if folder.endswith(".csv") else file["uri"]
+def _bad_rows(staged: DataFrame, files: DataFrame) -> DataFrame:
+    """The rows that do not fit, with how many fields they have and should have."""
+    about = files.select("uri", "delimitador", F.size("colunas").cast("long").alias("colunas"))
+    bad = staged.where(F.col(drops.BAD_COLUMN).isNotNull())
+    plain = F.regexp_replace("linha", '"(?:[^"]|"")*"', "")
+    return (
+        bad.select(F.col(FILE_COLUMN).alias("uri"), MONTH_COLUMN, F.col(drops.BAD_COLUMN).alias("linha"))
+        .join(about, "uri")
+        .withColumn("campos", (F.length(plain) - F.length(F.replace(plain, F.col("delimitador")))).cast("long") + 1)
+        .select(
+            F.col("uri").alias(FILE_COLUMN),
+            MONTH_COLUMN,
+            "linha",
+            "campos",
+            "colunas",
+            F.when(F.col("campos") < F.col("colunas"), SHORT)
+            .when(F.col("campos") > F.col("colunas"), LONG)
+            .otherwise(MALFORMED)
+            .alias("motivo"),
+        )
+    )
+
 
+def _chosen(files: DataFrame) -> DataFrame:
+    """Usable files with ``fica``: whether their drop is the month's last by path.
 
-def _last_of_month(files: Sequence[Row]) -> dict[str, str]:
-    """The drop that stays per month: the last by path replaces the others."""
-    winner: dict[str, str] = {}
-    for f in files:
-        month = f[MONTH_COLUMN]
-        winner[month] = max(winner.get(month, ""), _drop(f))
-    return winner
+    A drop lies where its file or its folder of parts lies; a part with a problem makes
+    the whole drop unusable.
+    """
+    folder = F.regexp_extract("uri", r"^(.*\.csv)/[^/]+$", 1)
+    dropped = files.withColumn("drop", F.when(folder != "", folder).otherwise(F.col("uri")))
+    broken = dropped.where("problema is not null").select("drop").distinct()
+    good = dropped.join(broken, "drop", "left_anti")
+    last = good.groupBy(MONTH_COLUMN).agg(F.max("drop").alias("_last"))
+    return good.join(last, MONTH_COLUMN).withColumn("fica", F.col("drop") == F.col("_last")).drop("drop", "_last")
 
 
 def inspect(
@@ -214,6 +293,28 @@ def inspect(
     return drops.manifest(spark, listed, with_hash=False)
 
 
+def _told(files: DataFrame) -> list[str]:
+    return [f"{f['remessa']}: {f['problema']}" for f in files.select("remessa", "problema").collect()]
+
+
+def _facts(listed: DataFrame, table: str, load: str, only_new: bool) -> DataFrame:
+    """Stores what is found out about new files; returns the files to load with all facts.
+
+    A file is known by its place, size and time. Of known files no byte is read here;
+    unless ``only_new``, they are loaded again by what the manifest says.
+    """
+    spark = listed.sparkSession
+    state = ["uri", "bytes", "modificado"]
+    known = manifest_table(spark, table).select(*state, *FOUND)
+    seen = reduce(Column.__and__, [listed[c].eqNullSafe(known[c]) for c in state])
+    folder = f"{table}/manifesto/{snapshots.LOAD_COLUMN}={load}"
+    drops.facts(spark, listed.join(known, seen, "left_anti")).select(MANIFEST_SCHEMA.names).write.parquet(folder)
+    files = spark.read.schema(MANIFEST_SCHEMA).parquet(folder)
+    if not only_new:
+        files = files.unionByName(listed.join(known, seen).select(*[listed[c] for c in listed.columns], *FOUND))
+    return drops.judged(files)
+
+
 def load(
     spark: SparkSession,
     source: str | Sequence[str],
@@ -221,68 +322,98 @@ def load(
     log_table: str,
     mes: str | None = None,
     gate: str = LINES,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    only_new: bool = False,
 ) -> LoadReport:
     """Load a folder or a list of files into ``table``, month by month.
 
-    Every file is logged, also one whose counts differ; problems are collected in
-    the report and raised by ``raise_for_problems``. ``gate`` compares loaded rows
-    with physical lines, as the log records them, or with parsed records (which
-    also accepts line breaks inside quotes). A row that does not fit the header
-    stops the run before any month is replaced.
+    Rows are staged, counted and judged before anything of them can be read. A month is
+    replaced when all files of its drop pass the gate; then one record makes the accepted
+    months, the log rows and the manifest rows visible together (`snapshots`). A file whose
+    counts differ or that has rows of the wrong width fails alone: it is logged, its bad
+    rows go to the `quarantine`, its month stays as it was, and other months are replaced.
+    Problems are collected in the report and raised by ``raise_for_problems``.
+
+    ``gate`` compares loaded rows with physical lines, as the log records them, or with
+    lines less those that begin inside quotes. ``only_new`` leaves out files the manifest
+    knows by place, size and time; else they are loaded again.
     """
     report = LoadReport()
     listed, missing = drops.listing(spark, source, mes)
     report.problems += [f"{path}: nao encontrado" for path in missing]
-
-    # The manifest has one short row per file, like the file listing Spark itself
-    # keeps on the driver; the files' rows never come here.
-    seen = drops.manifest(spark, listed)
-    facts = seen.collect()
-    report.problems += [f"{f['remessa']}: {f['problema']}" for f in facts if f["problema"]]
-    good = [f for f in facts if not f["problema"]]
-    if not good:
+    base = snapshots.latest(spark, table)
+    own = uuid.uuid4().hex
+    files = _facts(listed, table, own, only_new)
+    report.problems += _told(files.where("problema is not null"))
+    chosen = _chosen(files)
+    formats = _formats(chosen)
+    if not formats:
+        if report.problems:  # so that they are not judged again
+            snapshots.commit(spark, table, own, base, {})
         return report
-    winner = _last_of_month(good)
-    kept = [f for f in good if _drop(f) == winner[f[MONTH_COLUMN]]]
-    replaced = [f for f in good if _drop(f) != winner[f[MONTH_COLUMN]]]
-
-    target = target_columns(spark, table)
-    if target is not None:
-        headers = spark.createDataFrame(kept, seen.schema).select("remessa", "colunas")
-        report.drift = schema_drift(headers, target)
-
-    rows = _read(spark, kept, one_task_bytes)
-    replace_months(rows, table)
-
-    months = sorted(winner)
-    stored = bronze_table(spark, table, []).filter(F.col(MONTH_COLUMN).isin(months))
-    present = {r["uri"] for r in rows_per_file(stored, FILE_COLUMN).collect()}
-    filled = {f[MONTH_COLUMN] for f in kept if f["uri"] in present}
-    for month in months:
-        if month not in filled:
-            clear_month(rows, table, month)
-            stored = stored.filter(F.col(MONTH_COLUMN) != month)
-    loaded = rows_per_file(stored, FILE_COLUMN)
-    if replaced:
+    kept = chosen.where("fica")
+    if base.months:
+        report.drift = schema_drift(kept.select("remessa", "colunas"), base.columns())
+
+    staged = _staged(spark, formats, kept, table, own)
+    counts = _counts(staged, FILE_COLUMN)
+    if replaced := [f for f in formats if not f["fica"]]:
         # Parsed and counted like the others, but a later drop holds their month.
-        loaded = loaded.unionByName(rows_per_file(_read(spark, replaced, one_task_bytes), FILE_COLUMN))
-    checked = spark.createDataFrame(good, seen.schema)
-    if gate == RECORDS:
-        parsed = rows_per_file(_read(spark, good, one_task_bytes), FILE_COLUMN)
-        expected = parsed.withColumnRenamed("linhas_carregadas", "linhas_no_csv")
-    else:
-        expected = checked.select("uri", "linhas_no_csv")
-
-    # Written once and read back, so the counts are not computed a second time.
-    stamp = datetime.now(timezone.utc)
-    entries = _log_rows(checked, reconcile(expected, loaded), stamp)
-    entries.coalesce(1).write.mode("append").parquet(log_table)
-    report.log = spark.read.schema(LOG_SCHEMA).parquet(log_table).filter(
-        F.col("carregado_em") == F.lit(stamp)
-    )
-    for r in report.log.filter(~F.col("reconciliado")).collect():
-        report.problems.append(
-            f"{r['arquivo']}: {r['linhas_no_csv']} linhas, {r['linhas_carregadas']} carregadas"
+        counts = counts.unionByName(
+            reduce(DataFrame.unionByName, [_counts(_read(spark, [f]), "uri", f["colunas"][0]) for f in replaced])
         )
+    counts = _written(counts, f"{table}/contagem/{snapshots.LOAD_COLUMN}={own}")
+    result = reconcile(_expected(chosen, counts, gate), counts.drop("ruins", "quebras"))
+    clean = result.join(counts.select("uri", "ruins"), "uri", "left")
+    result = clean.withColumn("reconciliado", F.expr("reconciliado and coalesce(ruins, 0) = 0"))
+    if counts.where("ruins > 0").limit(1).count():
+        _bad_rows(staged, kept).write.parquet(f"{table}/quarentena/{snapshots.LOAD_COLUMN}={own}")
+    stamp = datetime.now(timezone.utc)
+    log = _written(_log_rows(chosen, result, stamp), f"{log_table}/{snapshots.LOAD_COLUMN}={own}")
+
+    snapshots.commit(spark, table, own, base, _accepted(kept, result, own))
+    report.log = log
+    failed = result.where("not reconciliado").join(chosen.select("uri", "remessa", "arquivo"), "uri")
+    for r in failed.collect():
+        name = r["arquivo"] if r["arquivo"] == r["remessa"] else f"{r['remessa']}/{r['arquivo']}"
+        quarantined = f", {r['ruins']} em quarentena" if r["ruins"] else ""
+        report.problems.append(f"{name}: {r['linhas_no_csv']} linhas, {r['linhas_carregadas']} carregadas{quarantined}")
     return report
+
+
+def _written(df: DataFrame, folder: str) -> DataFrame:
+    """Written once and read back, so it is not computed a second time."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _staged(spark: SparkSession, formats: list[Row], kept: DataFrame, table: str, load: str) -> DataFrame:
+    """The rows of the kept files in folders by month.
+
+    The rows come straight from the files, and a file is one month: every input split
+    already belongs to one month (or, packed, to a few small ones), so the write needs no
+    shuffle and its files are as large as the splits. The month is a fact of the file,
+    looked up in the manifest and not parsed from the name per row.
+    """
+    rows = _read(spark, [f for f in formats if f["fica"]]).join(kept.select("uri", MONTH_COLUMN), "uri")
+    rows = rows.withColumnRenamed("uri", FILE_COLUMN)
+    folder = snapshots.rows_folder(table, load)
+    rows.write.partitionBy(MONTH_COLUMN).parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def _accepted(kept: DataFrame, result: DataFrame, load: str) -> dict[str, snapshots.Month]:
+    """The months all files of whose drop are reconciled; only a drop without lines empties one."""
+    months = (
+        kept.join(result.select("uri", "linhas_carregadas", "reconciliado"), "uri", "left")
+        .groupBy(MONTH_COLUMN)
+        .agg(
+            F.min(F.coalesce("reconciliado", F.lit(False))).alias("ok"),
+            F.sum("linhas_carregadas").alias("linhas"),
+            F.array_distinct(F.flatten(F.array_sort(F.collect_set("colunas")))).alias("colunas"),
+        )
+        .where("ok")
+    )
+    return {
+        m[MONTH_COLUMN]: snapshots.Month(load if m["linhas"] else None, tuple(m["colunas"]))
+        for m in months.collect()
+    }

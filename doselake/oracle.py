@@ -8,9 +8,18 @@ needs, in dependency order. Rates are rounded and dates cast to text as in
 from __future__ import annotations
 
 from .functions.calendar import MONTH_ABBREVIATIONS, MONTH_NAMES
-from .plans import checks
+from .operators.quality import ERROR
+from .plans import checks, pipeline
 from .plans.facts import RELATIONS
-from .registry import D08_MONTH, RATE_DIGITS, WHOLE_OR_NULL
+from .registry import (
+    BROKEN_MONTH,
+    D08_MONTH,
+    RATE_DIGITS,
+    RELOADED_YEAR,
+    SECONDS_BANDS_SQL,
+    UNEVEN_MONTH,
+    WHOLE_OR_NULL,
+)
 from .sources import derived, seeds
 from .sources.tables import BRONZE_COLUMNS
 
@@ -131,28 +140,35 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
                                                DATE '{derived.CALENDAR_END}',
                                                INTERVAL 1 MONTH)) AS m) s""",
     ),
-    "dim_municipio": (
+    # Members by class: towns of the directory, districts that stand for the capital, others.
+    "membros": (
         ("silver", "municipios"),
-        """SELECT coalesce(m.codigo, m.uf) AS chave_municipio, m.codigo AS codigo_ibge, m.uf,
-             coalesce(i.nome_municipio, b.nome_municipio) AS nome_municipio,
-             coalesce(i.nome_regiao, b.nome_regiao, r.nome_regiao,
-                      CASE WHEN m.uf IN ('SEM INFORMACAO', 'ESTRANGEIRO') THEN m.uf END) AS nome_regiao,
-             coalesce(i.populacao, b.populacao) AS populacao,
-             coalesce(i.ano_populacao, b.ano_populacao) AS ano_populacao,
-             CASE WHEN m.uf = 'SEM INFORMACAO' THEN 'Sem informação'
-                  WHEN m.uf = 'ESTRANGEIRO' THEN 'Estrangeiro'
-                  WHEN i.nome_municipio IS NOT NULL THEN 'Município válido'
-                  WHEN b.nome_municipio IS NOT NULL AND starts_with(m.codigo, '53')
-                    THEN 'Região administrativa do DF (aprox. Brasília)'
-                  WHEN r.nome_regiao IS NOT NULL AND m.codigo LIKE '%0000'
-                    THEN 'UF sem município específico'
-                  ELSE 'Município válido' END AS tipo_registro
-           FROM (SELECT DISTINCT municipio_cobertura AS codigo, uf_cobertura AS uf FROM silver) m
-           LEFT JOIN municipios i ON i.id_municipio_6d = m.codigo
-           LEFT JOIN (SELECT * FROM municipios WHERE id_municipio_6d = '530010') b
-             ON i.nome_municipio IS NULL AND starts_with(m.codigo, '53')
-           LEFT JOIN (SELECT DISTINCT sigla_uf, nome_regiao FROM municipios) r
-             ON i.nome_municipio IS NULL AND r.sigla_uf = m.uf""",
+        """SELECT codigo, uf, uf IN ('SEM INFORMACAO', 'ESTRANGEIRO') AS especial,
+             CASE WHEN codigo IN (SELECT id_municipio_6d FROM municipios) THEN 'listado'
+                  WHEN codigo LIKE '53%' AND '530010' IN (SELECT id_municipio_6d FROM municipios) THEN 'distrito'
+                  ELSE 'outro' END AS classe
+           FROM (SELECT municipio_cobertura AS codigo, uf_cobertura AS uf FROM silver GROUP BY ALL) s""",
+    ),
+    "dim_municipio": (
+        ("membros", "municipios"),
+        """SELECT coalesce(codigo, uf) AS chave_municipio, codigo AS codigo_ibge, uf, nome_municipio,
+             nome_regiao, populacao, ano_populacao,
+             CASE uf WHEN 'SEM INFORMACAO' THEN 'Sem informação' WHEN 'ESTRANGEIRO' THEN 'Estrangeiro'
+               ELSE tipo END AS tipo_registro
+           FROM (
+             SELECT codigo, uf, nome_municipio, nome_regiao, populacao, ano_populacao, 'Município válido' AS tipo
+             FROM membros, municipios WHERE classe = 'listado' AND id_municipio_6d = codigo
+             UNION ALL
+             SELECT codigo, uf, nome_municipio, nome_regiao, populacao, ano_populacao,
+               'Região administrativa do DF (aprox. Brasília)'
+             FROM membros, municipios WHERE classe = 'distrito' AND id_municipio_6d = '530010'
+             UNION ALL
+             SELECT codigo, uf, NULL, CASE WHEN regiao IS NOT NULL THEN regiao WHEN especial THEN uf END, NULL, NULL,
+               CASE WHEN regiao IS NOT NULL AND codigo LIKE '%0000' THEN 'UF sem município específico'
+                    ELSE 'Município válido' END
+             FROM (SELECT *, (SELECT max(nome_regiao) FROM municipios WHERE sigla_uf = uf) AS regiao
+                   FROM membros WHERE classe = 'outro') o
+           ) c""",
     ),
     "dim_vacina": (
         ("silver",),
@@ -534,6 +550,34 @@ def _checks(kind: str) -> str:
     return _with(needs, f"SELECT *, failures = 0 AS passed FROM ({rows}) r")
 
 
+def _skipped() -> str:
+    """`q7_skipped`: the municipalities checked with one state's towns repeated, the rest as it is."""
+    needs = pipeline.dependencies(None)
+    pairs = [(m, p) for m, parents in needs.items() for p in (parents or (None,))]
+    checked = _checks(checks.UNIQUE)
+    return f"""WITH RECURSIVE
+      verificado AS ({checked}),
+      municipios AS ({_with(["municipios"], "SELECT * FROM municipios")}),
+      failed AS (
+        SELECT "table" AS tabela FROM verificado WHERE NOT passed AND severity = '{ERROR}'
+        UNION
+        SELECT '{checks.MUNICIPALITIES}' FROM (
+          SELECT id_municipio FROM (
+            SELECT id_municipio FROM municipios
+            UNION ALL SELECT id_municipio FROM municipios WHERE sigla_uf = 'SP') t
+          GROUP BY id_municipio HAVING count(*) > 1) d),
+      edges AS ({_values(pairs, "modelo, depende_de")}),
+      below(origem, modelo) AS (
+        SELECT tabela, tabela FROM failed
+        UNION SELECT b.origem, e.modelo FROM below b JOIN edges e ON e.depende_de = b.modelo),
+      reasons AS (
+        SELECT modelo, string_agg(DISTINCT origem, ', ' ORDER BY origem) AS motivo
+        FROM below WHERE origem <> modelo GROUP BY modelo)
+    SELECT m.modelo, CASE WHEN motivo IS NOT NULL THEN 'pulado' WHEN m.modelo IN (SELECT tabela FROM failed)
+             THEN 'falhou' ELSE 'construido' END AS situacao, motivo
+    FROM (SELECT DISTINCT modelo FROM edges) m LEFT JOIN reasons r ON r.modelo = m.modelo"""
+
+
 # --- profiles -----------------------------------------------------------------------------------
 
 
@@ -564,6 +608,35 @@ _DROP_FORMAT = """CASE WHEN mes_num % 2 = 1 THEN 'ISO-8859-1' ELSE 'utf-8-sig' E
                   {columns} AS colunas"""
 _SHIFTED = derived.shifted_month_sql()
 
+_COLUMNS = len(BRONZE_COLUMNS)
+_LAST = BRONZE_COLUMNS[-1]
+_FIELD = "CASE WHEN {0} IS NULL THEN 0 WHEN {0} = '' THEN 2 ELSE length({0}) END"
+_ROW_BYTES = " + ".join(_FIELD.format(c) for c in BRONZE_COLUMNS) + f" + {_COLUMNS}"
+_UNEVEN = f"(({derived.SHORT_SQL}) OR ({derived.LONG_SQL}))"
+
+# Every row of every load of `registry.Lake.reloads`, with the lines and bytes it takes up.
+_STEPS["entregas"] = (
+    ("bronze", "nomes_arquivo"),
+    f"""SELECT e.*, {_SHIFTED.replace('mes_referencia', 'e.mes_referencia')} AS mes,
+          'vacinacao_' || n.abrev || '_' || n.ano || '.csv' AS remessa,
+          CASE WHEN n.mes_num % 2 = 1 THEN 'ISO-8859-1' ELSE 'utf-8-sig' END AS encoding,
+          CASE WHEN n.mes_num % 2 = 1 THEN ';' ELSE ',' END AS delimitador,
+          versao = 2 AND e.mes_referencia IN ('{BROKEN_MONTH}', '{UNEVEN_MONTH}') AS falha,
+          CASE WHEN versao = 2 AND e.mes_referencia = '{BROKEN_MONTH}'
+               THEN length(ds_nome) - length(replace(ds_nome, ' ', '')) ELSE 0 END AS quebras,
+          versao = 2 AND e.mes_referencia = '{UNEVEN_MONTH}' AND {_UNEVEN} AS desigual
+        FROM (
+          SELECT 1 AS versao, * FROM bronze
+          UNION ALL SELECT 2, * FROM bronze
+            WHERE mes_referencia LIKE '{RELOADED_YEAR}-%' AND dt_deletado_rnds IS NULL
+          UNION ALL SELECT 3, * FROM bronze
+            WHERE mes_referencia IN ('{BROKEN_MONTH}', '{UNEVEN_MONTH}') AND dt_deletado_rnds IS NULL
+        ) e JOIN nomes_arquivo n ON n.mes_referencia = e.mes_referencia""",
+)
+_LINES = "CAST(count(*) + sum(coalesce(quebras, 0)) AS BIGINT)"
+_LOADED = "CAST(count(*) - sum(CAST(desigual AS INTEGER)) AS BIGINT)"
+
+
 _OTHERS = {
     "s1_csv_load": _with(
         ["bronze"], f"SELECT {_RAW}, {_SHIFTED} AS mes_referencia FROM bronze"
@@ -573,6 +646,21 @@ _OTHERS = {
         f"""SELECT {_RAW}, {_SHIFTED} AS mes_referencia
             FROM (SELECT * REPLACE (replace(ds_nome, ' ', chr(10) || '"') AS ds_nome) FROM bronze) b""",
     ),
+    "s1_quarantine": _with(
+        ["entregas"],
+        f"""SELECT mes AS mes_referencia, motivo, campos, CAST({_COLUMNS} AS BIGINT) AS colunas, count(*) AS linhas
+            FROM (SELECT mes, CASE WHEN {derived.SHORT_SQL} THEN 'colunas a menos' ELSE 'colunas a mais' END AS motivo,
+                    CAST(CASE WHEN {derived.SHORT_SQL} THEN {_COLUMNS - 1} ELSE {_COLUMNS + 1} END AS BIGINT) AS campos
+                  FROM entregas WHERE desigual) d
+            GROUP BY ALL""",
+    ),
+    "s2_manifest": _with(
+        ["entregas"],
+        f"""SELECT CAST(versao AS BIGINT) AS versao, remessa, mes AS mes_referencia, encoding, delimitador,
+              CAST({_COLUMNS} AS INTEGER) AS colunas, {_LINES} AS linhas_no_csv,
+              CAST(max(coalesce(quebras, 0)) > 0 AS INTEGER) AS quebra_em_aspas
+            FROM entregas GROUP BY ALL""",
+    ),
     "s3_sniff": _with(
         ["nomes_arquivo"],
         f"""SELECT {_DROP} AS remessa, ano || '-' || mm AS mes_referencia,
@@ -592,9 +680,16 @@ _OTHERS = {
            GROUP BY 1, 2""",
     ),
     "s7_hash": _with(
-        ["nomes_arquivo"],
-        f"""SELECT {_DROP} AS remessa, CAST(1 AS INTEGER) AS iguais, CAST(0 AS BIGINT) AS diferentes
-            FROM nomes_arquivo""",
+        ["bronze", "nomes_arquivo"],
+        f"""SELECT remessa, CAST(strlen(conteudo) AS BIGINT) AS bytes, sha256(conteudo) AS arquivo_sha256
+            FROM (SELECT {_DROP} AS remessa, 'co_documento;dt_vacina' || chr(10)
+                    || string_agg(co_documento || ';' || dt_vacina || chr(10), '' ORDER BY co_documento, dt_vacina)
+                    AS conteudo
+                  FROM bronze JOIN nomes_arquivo USING (mes_referencia) GROUP BY ALL) c""",
+    ),
+    "k6_view": _with(
+        ["silver"],
+        "SELECT uf_cobertura, sexo_cobertura, count(*) AS doses FROM silver GROUP BY ALL",
     ),
     "k8_publication": _with(
         ["fato"],
@@ -606,6 +701,50 @@ _OTHERS = {
         f"""SELECT count(*) AS diferencas FROM fato
             WHERE chave_faixa_etaria = 1 OR mes_vacina >= DATE '{D08_MONTH}'""",
     ),
+    "q9_digest": _with(
+        ["fato"],
+        f"""SELECT count(*) AS diferencas FROM fato
+            WHERE chave_faixa_etaria = 1 OR mes_vacina >= DATE '{D08_MONTH}'""",
+    ),
+    "q7_skipped": _skipped(),
+    "a8_sketch": _with(
+        ["silver"],
+        _union(
+            [
+                f"SELECT '{c}' AS coluna, uf_cobertura AS uf, count(DISTINCT {c}) AS distintos,"
+                f" CAST(1 AS INTEGER) AS proximo FROM silver GROUP BY uf_cobertura HAVING count({c}) > 0"
+                for c in ("codigo_documento", "municipio_cobertura")
+            ]
+        ),
+    ),
+    "a17_top_values": _with(
+        ["bronze"],
+        _union(
+            [
+                f"SELECT '{c}' AS coluna, {c} AS valor, count(*) AS linhas FROM bronze WHERE {c} IS NOT NULL"
+                f" GROUP BY {c} HAVING count(*) * 100 >= (SELECT count(*) FROM bronze)"
+                for c in BRONZE_COLUMNS
+            ]
+        ),
+    ),
+    "j6_seconds_bands": _with(
+        ["silver"],
+        f"""SELECT b.ordem AS faixa, count(*) AS linhas, count(entrada) AS com_entrada
+            FROM (SELECT CAST(epoch(data_entrada_rnds) AS BIGINT) AS entrada FROM silver) s
+            LEFT JOIN ({SECONDS_BANDS_SQL.format(numbers='CAST(co_vacina AS INT) % 40', source='silver')}) b
+              ON entrada BETWEEN b.inicio AND b.fim GROUP BY 1""",
+    ),
+    "w1_incremental": _with(
+        ["bronze"],
+        f"""SELECT co_documento, {', '.join(c for c in BRONZE_COLUMNS if c not in ('co_documento', 'dt_deletado_rnds'))}
+            FROM (
+              SELECT *, row_number() OVER (PARTITION BY co_documento
+                ORDER BY TRY_CAST(dt_entrada_rnds AS TIMESTAMP) DESC NULLS LAST, {_TIES}) AS posicao
+              FROM (SELECT * REPLACE (string_split(co_documento, '-')[1] AS co_documento) FROM bronze
+                    WHERE dt_deletado_rnds IS NULL
+                      AND NOT (mes_referencia LIKE '{RELOADED_YEAR}-%' AND co_dose_vacina = '1')) b
+            ) x WHERE posicao = 1""",
+    ),
     "s9_seed_bands": _with(
         ["faixa_etaria", "chaves"],
         """SELECT f.ordem, f.idade_min, f.idade_max, f.nome_faixa_etaria, d.doses
@@ -626,17 +765,40 @@ _OTHERS = {
             FROM bronze WHERE substr(mes_referencia, 1, 4) <> '1998' OR dt_deletado_rnds IS NULL
             GROUP BY mes_referencia""",
     ),
+    "k1_commit": _with(
+        ["bronze", "entregas"],
+        f"""SELECT h.*, l.linhas_recebidas, l.reconciliado
+            FROM (SELECT {_SHIFTED} AS mes_referencia, count(*) AS linhas, count(dt_deletado_rnds) AS excluidas
+                  FROM bronze
+                  WHERE mes_referencia NOT LIKE '{RELOADED_YEAR}-%' OR dt_deletado_rnds IS NULL
+                     OR mes_referencia IN ('{BROKEN_MONTH}', '{UNEVEN_MONTH}')
+                  GROUP BY mes_referencia) h
+            LEFT JOIN (SELECT mes, {_LOADED} AS linhas_recebidas, min(CASE WHEN falha THEN 0 ELSE 1 END) AS reconciliado
+                       FROM entregas WHERE versao = 2 GROUP BY mes) l ON l.mes = h.mes_referencia""",
+    ),
     "k2_load_log": _with(
-        ["nomes_arquivo"],
-        f"""SELECT ano || '-' || mm || '-01' AS mes_referencia,
-              {_DROP_FORMAT.format(columns=f'CAST({len(BRONZE_COLUMNS)} AS BIGINT)')},
-              linhas AS linhas_no_csv, linhas AS linhas_carregadas, 1 AS reconciliado
-            FROM nomes_arquivo""",
+        ["entregas"],
+        f"""SELECT CAST(versao AS BIGINT) AS versao, mes || '-01' AS mes_referencia, remessa, encoding, delimitador,
+              CAST({_COLUMNS} AS BIGINT) AS colunas, {_LINES} AS linhas_no_csv, {_LOADED} AS linhas_carregadas,
+              CAST(min(CASE WHEN falha THEN 0 ELSE 1 END) AS INTEGER) AS reconciliado,
+              CAST(sum({_ROW_BYTES} + CASE WHEN quebras > 0 THEN 2 ELSE 0 END
+                + CASE WHEN NOT desigual THEN 0 WHEN {derived.SHORT_SQL} THEN -1 - ({_FIELD.format(_LAST)}) ELSE 2 END)
+                AS BIGINT) AS bytes_das_linhas,
+              CAST(0 AS BIGINT) AS resumos_repetidos
+            FROM entregas GROUP BY versao, mes, remessa, encoding, delimitador""",
     ),
     "k3_reconcile": _with(
-        ["nomes_arquivo"],
-        f"""SELECT {_DROP} AS remessa, linhas AS linhas_no_csv, linhas AS linhas_carregadas,
-              1 AS reconciliado FROM nomes_arquivo""",
+        ["bronze", "entregas"],
+        f"""SELECT remessa, CAST(sum(linhas) AS BIGINT) AS linhas_no_csv,
+              CAST(sum(gravadas) AS BIGINT) AS linhas_carregadas,
+              CAST(min(CASE WHEN falha THEN 0 ELSE 1 END) AS INTEGER) AS reconciliado
+            FROM (SELECT remessa, falha, count(*) + sum(coalesce(quebras, 0)) AS linhas,
+                    count(CASE WHEN NOT falha THEN 1 END) AS gravadas
+                  FROM entregas WHERE versao = 2 GROUP BY remessa, falha
+                  UNION ALL
+                  SELECT remessa, true, 0, count(*) FROM entregas
+                  WHERE versao = 1 AND mes_referencia IN ('{BROKEN_MONTH}', '{UNEVEN_MONTH}') GROUP BY remessa) x
+            GROUP BY remessa""",
     ),
     "k5_schema_drift": _with(
         ["nomes_arquivo"],

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions import clean, names, place
-from .operators import load, profiling, quality, staging
+from .operators import digests, incremental, load, profiling, quality, sketches, snapshots, staging
 from .operators.bands import with_band
-from .plans import checks, dimensions, facts, measures, silver
+from .plans import checks, dimensions, facts, lineage, measures, pipeline, silver
 from .session import prepare, shared_folder
 from .sources import derived, drops, seeds
 from .sources.tables import BRONZE_COLUMNS
@@ -26,6 +27,24 @@ from .sources.tables import BRONZE_COLUMNS
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# The year that is loaded again, and its months that fail at first: one has line breaks
+# inside quotes, one has rows of the wrong width.
+RELOADED_YEAR = "1998"
+BROKEN_MONTH = "1998-06"
+UNEVEN_MONTH = "1998-03"
+
+
+@dataclass(frozen=True)
+class Reloads:
+    """A bronze table of several loads; ``then`` is what it held after the one with failures."""
+
+    table: str
+    log: str
+    second: str
+    failed: load.LoadReport
+    then: DataFrame
+
+
 class Lake:
     """The stored tables of one test folder, each built on first use."""
 
@@ -33,6 +52,8 @@ class Lake:
         self.spark = spark
         self.sf_dir = sf_dir
         self.base = shared_folder(spark)
+        self.sorted_drops = False
+        self._contenders: incremental.Contenders | None = None
 
     def _store(self, df: DataFrame, layer: str, name: str, by: str | None = None) -> DataFrame:
         return staging.as_table(df, self.base, layer, name, by)
@@ -110,6 +131,57 @@ class Lake:
         report = load.load(self.spark, self.csv_folder, table, f"{self.base}/csv/_carga_log")
         return table, report
 
+    def contenders(self, first: DataFrame, again: DataFrame) -> incremental.Contenders:
+        """The contenders of ``first``, of which ``again`` replaced some months; stored once."""
+        if self._contenders is None:
+            name = f"disputa_{self.base.rpartition('-')[2]}"
+            rest = [c for c in BRONZE_COLUMNS if c not in ("co_documento", "dt_deletado_rnds")]
+            made = incremental.Contenders(
+                self.spark, name, f"{self.base}/disputa", "co_documento", "mes_referencia", rest, buckets=8
+            )
+            entered = clean.to_timestamp(F.col("dt_entrada_rnds"))
+            made.create(first, entered)
+            made.replace(again, entered)
+            self._contenders = made
+        return self._contenders
+
+    @cached_property
+    def quoted(self) -> DataFrame:
+        """Bronze loaded from drops with a line break and a quote inside every vaccine name."""
+        base = f"{self.base}/aspas"
+        name = F.replace(F.col("ds_nome"), F.lit(" "), F.lit('\n"'))
+        derived.write_drops(self.bronze.withColumn("ds_nome", name), f"{base}/remessas")
+        table = f"{base}/doses_aplicadas_pni"
+        report = load.load(self.spark, f"{base}/remessas", table, f"{base}/_carga_log", gate=load.RECORDS)
+        report.raise_for_problems()
+        return load.bronze_table(self.spark, table)
+
+    @cached_property
+    def reloads(self) -> Reloads:
+        """Every month loaded; then one year again without its deleted rows, of which two months
+        fail; then those two."""
+        base = f"{self.base}/recarga"
+        table, log = f"{base}/doses_aplicadas_pni", f"{base}/_carga_log"
+        live = F.col("mes_referencia").startswith(RELOADED_YEAR) & F.col("dt_deletado_rnds").isNull()
+        corrected = self.bronze.filter(live)
+        month = F.col("mes_referencia")
+        broken = corrected.filter(month == BROKEN_MONTH)
+        derived.write_drops(
+            corrected.filter(~month.isin(BROKEN_MONTH, UNEVEN_MONTH)).unionByName(
+                broken.withColumn("ds_nome", F.replace(F.col("ds_nome"), F.lit(" "), F.lit("\n")))
+            ),
+            f"{base}/segunda",
+        )
+        derived.write_uneven_drops(corrected.filter(month == UNEVEN_MONTH), f"{base}/segunda")
+        derived.write_drops(corrected.filter(month.isin(BROKEN_MONTH, UNEVEN_MONTH)), f"{base}/terceira")
+
+        load.load(self.spark, self.csv_folder, table, log).raise_for_problems()
+        failed = load.load(self.spark, f"{base}/segunda", table, log, only_new=True)
+        then = load.bronze_table(self.spark, table, ["dt_deletado_rnds"])
+        load.load(self.spark, f"{base}/terceira", table, log, only_new=True).raise_for_problems()
+        load.load(self.spark, self.csv_folder, table, log, only_new=True).raise_for_problems()
+        return Reloads(table, log, f"{base}/segunda", failed, then)
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         star = self.star
@@ -148,14 +220,26 @@ def s1_csv_load(lake: Lake) -> DataFrame:
 
 
 def s1_quoted_newlines(lake: Lake) -> DataFrame:
-    """The drops with a line break and a quote inside every vaccine name, read in
-    blocks as a large file would be."""
-    base = shared_folder(lake.spark)
-    name = F.replace(F.col("ds_nome"), F.lit(" "), F.lit('\n"'))
-    derived.write_drops(lake.bronze.withColumn("ds_nome", name), f"{base}/remessas")
-    table = f"{base}/doses_aplicadas_pni"
-    load.load(lake.spark, f"{base}/remessas", table, f"{base}/_carga_log", one_task_bytes=0)
-    return load.bronze_table(lake.spark, table).drop(load.FILE_COLUMN)
+    """The drops with a line break and a quote inside every vaccine name."""
+    return lake.quoted.drop(load.FILE_COLUMN)
+
+
+def s1_quarantine(lake: Lake) -> DataFrame:
+    """Rows of the wrong width by month and reason; the other months of their load are in the table."""
+    rejected = load.quarantine(lake.spark, lake.reloads.table)
+    return rejected.groupBy("mes_referencia", "motivo", "campos", "colunas").agg(F.count("*").alias("linhas"))
+
+
+def s2_manifest(lake: Lake) -> DataFrame:
+    """What each load found out anew: a drop that was known is not there again."""
+    seen = load.manifest_table(lake.spark, lake.reloads.table)
+    loads = snapshots.versions(lake.spark, lake.reloads.table).select("carga", "versao")
+    return seen.join(loads, "carga").groupBy(
+        "versao", "remessa", "mes_referencia", "encoding", "delimitador", F.size("colunas").alias("colunas")
+    ).agg(
+        F.sum("linhas_no_csv").alias("linhas_no_csv"),
+        F.max(F.col("quebra_em_aspas").cast("int")).alias("quebra_em_aspas"),
+    )
 
 
 def s3_sniff(lake: Lake) -> DataFrame:
@@ -193,19 +277,13 @@ def s5_month_from_name(lake: Lake) -> DataFrame:
 
 
 def s7_hash(lake: Lake) -> DataFrame:
-    """The streamed digests against those of the whole contents, per drop."""
-    listed, _ = drops.listing(lake.spark, lake.csv_folder)
-    whole = (
-        lake.spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(lake.csv_folder)
-        .select(F.col("_metadata.file_path").alias("uri"), F.sha2("content", 256).alias("_whole"))
-    )
-    same = F.col("arquivo_sha256").eqNullSafe(F.col("_whole"))
-    both = listed.join(drops.hashes(listed), "uri", "left").join(whole, "uri", "left")
-    return both.groupBy("remessa").agg(
-        F.min(same.cast("int")).alias("iguais"), F.count_if(~same).alias("diferentes")
-    )
+    """Bytes and streamed digest of drops whose contents are known: documents and days in order."""
+    folder = f"{lake.base}/ordenadas"
+    if not lake.sorted_drops:
+        derived.write_sorted_drops(lake.bronze, folder)
+        lake.sorted_drops = True
+    listed, _ = drops.listing(lake.spark, folder)
+    return listed.join(drops.hashes(listed), "uri").select("remessa", "bytes", "arquivo_sha256")
 
 
 def s9_seed_bands(lake: Lake) -> DataFrame:
@@ -225,42 +303,57 @@ def s9_seed_uf(lake: Lake) -> DataFrame:
 
 # --- sinks and load control -----------------------------------------------------------------
 
-_REPLACED_YEAR = "1998"
-
-
 def k1_partition_replace(lake: Lake) -> DataFrame:
-    """Load every month, then reload one year without its deleted rows: those
-    months are replaced, the others stay."""
-    base = shared_folder(lake.spark)
-    table, log = f"{base}/doses_aplicadas_pni", f"{base}/_carga_log"
-    second = f"{base}/remessas"
-    corrected = lake.bronze.filter(
-        F.col("mes_referencia").startswith(_REPLACED_YEAR) & F.col("dt_deletado_rnds").isNull()
-    )
-    derived.write_drops(corrected, second)
-    load.load(lake.spark, lake.csv_folder, table, log).raise_for_problems()
-    load.load(lake.spark, second, table, log).raise_for_problems()
-    stored = load.bronze_table(lake.spark, table, ["dt_deletado_rnds"])
+    """Every month loaded, then one year again without its deleted rows: those months are
+    replaced, the others stay."""
+    stored = load.bronze_table(lake.spark, lake.reloads.table, ["dt_deletado_rnds"])
     return stored.groupBy("mes_referencia").agg(
         F.count("*").alias("linhas"), F.count("dt_deletado_rnds").alias("excluidas")
     )
 
 
+def k1_commit(lake: Lake) -> DataFrame:
+    """The table after a load of which two months failed, beside what its log says: those
+    months are the old ones."""
+    held = lake.reloads.then.groupBy("mes_referencia").agg(
+        F.count("*").alias("linhas"), F.count("dt_deletado_rnds").alias("excluidas")
+    )
+    month = F.date_format("mes_referencia", "yyyy-MM")
+    told = lake.reloads.failed.log.groupBy(month.alias("mes_referencia")).agg(
+        F.sum("linhas_carregadas").alias("linhas_recebidas"),
+        F.min(F.col("reconciliado").cast("int")).alias("reconciliado"),
+    )
+    return held.join(told, "mes_referencia", "left")
+
+
 def k2_load_log(lake: Lake) -> DataFrame:
-    """The load log, summed over the part files of each month."""
-    _, report = lake.loaded
-    return report.log.groupBy("mes_referencia", "encoding", "delimitador", "colunas").agg(
+    """The log of all loads, failed files included, summed over the part files of a month.
+
+    Bytes are those of the rows: a drop may have several files, each with its header.
+    """
+    log = load.load_log(lake.spark, lake.reloads.table, lake.reloads.log)
+    loads = snapshots.versions(lake.spark, lake.reloads.table).select("carga", "versao")
+    header = len(";".join(derived.display_header(c) for c in BRONZE_COLUMNS))
+    accents = sum(not c.isascii() for c in "".join(map(derived.display_header, BRONZE_COLUMNS)))
+    of_header = F.lit(header + 1) + F.when(F.col("encoding") == "ISO-8859-1", 0).otherwise(accents)
+    drop = F.regexp_extract("arquivo", r"^(.*\.csv)/", 1)
+    return log.join(loads, "carga").groupBy(
+        "versao", "mes_referencia", drop.alias("remessa"), "encoding", "delimitador", "colunas"
+    ).agg(
         F.sum("linhas_no_csv").alias("linhas_no_csv"),
         F.sum("linhas_carregadas").alias("linhas_carregadas"),
         F.min(F.col("reconciliado").cast("int")).alias("reconciliado"),
+        F.sum(F.col("arquivo_bytes") - of_header).alias("bytes_das_linhas"),
+        (F.count("*") - F.count_distinct("arquivo_sha256")).alias("resumos_repetidos"),
     )
 
 
 def k3_reconcile(lake: Lake) -> DataFrame:
-    table, _ = lake.loaded
-    stored = load.bronze_table(lake.spark, table, [])
-    lines = drops.line_counts(lake.spark, [lake.csv_folder])
-    result = load.reconcile(lines, load.rows_per_file(stored, load.FILE_COLUMN))
+    """The lines of the second delivery against the rows the table held after it."""
+    lines = drops.line_counts(lake.spark, [lake.reloads.second])
+    year = str(int(RELOADED_YEAR) + derived.YEAR_SHIFT)
+    held = lake.reloads.then.filter(F.col("mes_referencia").startswith(year))
+    result = load.reconcile(lines, load.rows_per_file(held, load.FILE_COLUMN))
     return result.groupBy(drops.drop_name(F.col("uri")).alias("remessa")).agg(
         F.sum("linhas_no_csv").alias("linhas_no_csv"),
         F.sum("linhas_carregadas").alias("linhas_carregadas"),
@@ -277,6 +370,12 @@ def k5_schema_drift(lake: Lake) -> DataFrame:
     return load.schema_drift(headers, target)
 
 
+def k6_view(lake: Lake) -> DataFrame:
+    """Silver read through a view over bronze, nothing stored in between."""
+    view = staging.as_view(silver.doses_aplicadas(lake.bronze, lake.uf_ibge), f"vw_{checks.DOSES}")
+    return view.groupBy("uf_cobertura", "sexo_cobertura").agg(F.count("*").alias("doses"))
+
+
 def k8_publication(lake: Lake) -> DataFrame:
     """Rows and columns of the published mart; its bytes depend on the writer."""
     columns = len(lake.mart.columns)  # stored on first use
@@ -327,6 +426,18 @@ def w1_latest_document(lake: Lake) -> DataFrame:
     return silver.live_documents(lake.bronze).select(*BRONZE_COLUMNS)
 
 
+def w1_incremental(lake: Lake) -> DataFrame:
+    """The newest line of every order, after one year was delivered again without first lines.
+
+    An order's lines fall into several months, so months compete, and a version that a
+    reload took away lets an older one surface.
+    """
+    order = lake.bronze.withColumn("co_documento", F.substring_index("co_documento", "-", 1))
+    live = order.filter(F.col("dt_deletado_rnds").isNull())
+    again = live.filter(F.col("mes_referencia").startswith(RELOADED_YEAR) & (F.col("co_dose_vacina") != "1"))
+    return lake.contenders(live, again).winners()
+
+
 def w2_latest_population(lake: Lake) -> DataFrame:
     return silver.latest_population(lake.population)
 
@@ -479,6 +590,31 @@ def q9_unreconciled_keys(lake: Lake) -> DataFrame:
     return found.agg(F.count("*").alias("diferencas"))
 
 
+def _altered(fact: DataFrame) -> DataFrame:
+    """Without one age band, and with a dose too many in every row from one month on."""
+    late = F.col("mes_vacina") >= F.lit(D08_MONTH).cast("date")
+    return fact.filter("chave_faixa_etaria <> 1").withColumn(
+        "qtd_doses", F.col("qtd_doses") + F.coalesce(late, F.lit(False)).cast("int")
+    )
+
+
+def q9_digest(lake: Lake) -> DataFrame:
+    """The differences that `q9_altered_fact` finds, by comparing digests and opening what differs."""
+    fact = lake.star.fato
+    keys = [c for c in fact.columns if c != "qtd_doses"]
+    found = digests.differences(fact, _altered(fact), keys, ["qtd_doses"])
+    return found.select(*keys).distinct().agg(F.count("*").alias("diferencas"))
+
+
+def q7_skipped(lake: Lake) -> DataFrame:
+    """What is built if the municipalities of one state are there twice, and why the rest is not."""
+    towns = lake.towns.unionByName(lake.towns.filter("sigla_uf = 'SP'"))
+    tables = {**lake.tables, checks.MUNICIPALITIES: towns}
+    failed = quality.run_checks(tables, checks.checks_by_kind(quality.UNIQUE))
+    failed = failed.filter(~F.col("passed") & (F.col("severity") == quality.ERROR)).select(F.col("table").alias("tabela"))
+    return lineage.outcomes(lineage.edges(lake.spark, pipeline.dependencies(lake.spark)), failed)
+
+
 def q10_missing_information(lake: Lake) -> DataFrame:
     """Records per path of the place rule, and those whose state is an empty text."""
     path = place.origin(F.col("co_pais_paciente"), F.col("co_municipio_paciente"))
@@ -521,14 +657,53 @@ def a19_source_lag(lake: Lake) -> DataFrame:
 
 
 def q9_altered_fact(lake: Lake) -> DataFrame:
-    """What the comparison finds in a fact that lacks one age band and has a dose too
-    many in every row from one month on."""
+    """What the comparison finds in an altered fact."""
     fact = lake.star.fato
-    late = F.col("mes_vacina") >= F.lit(D08_MONTH).cast("date")
-    altered = fact.filter("chave_faixa_etaria <> 1").withColumn(
-        "qtd_doses", F.col("qtd_doses") + F.coalesce(late, F.lit(False)).cast("int")
+    return checks.unreconciled_keys(fact, _altered(fact)).agg(F.count("*").alias("diferencas"))
+
+
+def a8_sketch(lake: Lake) -> DataFrame:
+    """Distinct documents and places by state, from monthly sketches merged over the months,
+    beside the exact count."""
+    doses = lake.silver.withColumn("mes", F.trunc("data_vacina", "MM"))
+    parts = []
+    for value in ("codigo_documento", "municipio_cobertura"):
+        monthly = sketches.sketches(doses, value, ["uf_cobertura", "mes"])
+        estimate = sketches.estimates(sketches.merged(monthly, ["uf_cobertura"]), "estimativa")
+        exact = doses.groupBy("uf_cobertura").agg(F.count_distinct(value).alias("distintos")).where("distintos > 0")
+        close = F.abs(F.col("estimativa") - F.col("distintos")) <= 0.02 * F.col("distintos") + 0.5
+        both = exact.withColumnRenamed("uf_cobertura", "uf").join(estimate, F.col("uf").eqNullSafe(F.col("uf_cobertura")))
+        parts.append(both.select(F.lit(value).alias("coluna"), "uf", "distintos", close.cast("int").alias("proximo")))
+    return parts[0].unionByName(parts[1])
+
+
+def a17_top_values(lake: Lake) -> DataFrame:
+    """Values that a hundredth of all rows hold, in any of the 19 columns."""
+    return profiling.heavy_values(lake.bronze, BRONZE_COLUMNS)
+
+
+# Bands of seconds since 1970: quarters from 1993 on, with a gap of a day before each, and
+# the whole of each second year across them.
+SECONDS_BANDS_SQL = """
+SELECT 100 + n AS ordem, CAST(start AS BIGINT) AS inicio, CAST(start + 91 * 86400 - 86401 AS BIGINT) AS fim
+FROM (SELECT n, 725846400 + n * 91 * 86400 AS start FROM (SELECT DISTINCT {numbers} AS n FROM {source}) q) s
+UNION ALL
+SELECT 200 + n, CAST(start AS BIGINT), CAST(start + 365 * 86400 - 1 AS BIGINT)
+FROM (SELECT n, 725846400 + n * 730 * 86400 AS start FROM (SELECT DISTINCT {numbers} % 5 AS n FROM {source}) q) s
+"""
+
+
+def j6_seconds_bands(lake: Lake) -> DataFrame:
+    """Registry entries by bands of seconds since 1970, with overlaps and gaps; looked up by
+    the sweep, as bands too many for an array are."""
+    seconds = F.unix_timestamp("data_entrada_rnds")
+    bands = lake.spark.sql(
+        SECONDS_BANDS_SQL.format(numbers="CAST(co_vacina AS INT) % 40", source="{doses}"), doses=lake.silver
+    )
+    banded = with_band(
+        lake.silver.select(seconds.alias("entrada")), F.col("entrada"), bands, low="inicio", high="fim", small=0, per_block=16
     )
-    return checks.unreconciled_keys(fact, altered).agg(F.count("*").alias("diferencas"))
+    return banded.groupBy("faixa").agg(F.count("*").alias("linhas"), F.count("entrada").alias("com_entrada"))
 
 
 _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
@@ -537,21 +712,26 @@ _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
         for f in (
             s1_csv_load,
             s1_quoted_newlines,
+            s1_quarantine,
+            s2_manifest,
             s3_sniff,
             s5_month_from_name,
             s7_hash,
             s9_seed_bands,
             s9_seed_uf,
             k1_partition_replace,
+            k1_commit,
             k2_load_log,
             k3_reconcile,
             k5_schema_drift,
+            k6_view,
             k8_publication,
             p2_safe_cast_profile,
             p4_geography_resolution,
             p6_uf_fallback,
             p8_sex_clamp,
             w1_latest_document,
+            w1_incremental,
             w2_latest_population,
             m1_silver,
             m2_municipalities,
@@ -561,6 +741,7 @@ _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
             m4_dim_strategy,
             m5_calendar,
             j6_age_band_counts,
+            j6_seconds_bands,
             m6_fact,
             m7_mart,
             m8_mart_summary,
@@ -580,10 +761,14 @@ _LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {
     "q9_layer_reconciliation": q9_layer_reconciliation,
     "q9_unreconciled_keys": q9_unreconciled_keys,
     "q9_altered_fact": q9_altered_fact,
+    "q9_digest": q9_digest,
+    "q7_skipped": q7_skipped,
     "q10_missing_information": q10_missing_information,
     "a16_functional_dependency": a16_functional_dependency,
     "a17_profile": a17_profile,
     "a17_value_frequency": a17_value_frequency,
+    "a17_top_values": a17_top_values,
+    "a8_sketch": a8_sketch,
     "a18_unmatched_keys": a18_unmatched_keys,
     "a19_source_lag": a19_source_lag,
 }
@@ -602,6 +787,8 @@ WHOLE_OR_NULL: dict[str, tuple[str, ...]] = {
     "m3_dim_municipality": _PLACE,
     "m5_calendar": ("doses",),
     "j6_age_band_counts": ("idade_paciente", "faixa"),
+    "j6_seconds_bands": ("faixa",),
+    "k1_commit": ("linhas_recebidas", "reconciliado"),
     "m7_mart": (*_PLACE, *_BANDS),
     "m8_mart_summary": (*_PLACE, *_BANDS),
     "d02": ("populacao_coberta",),

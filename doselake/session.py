@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -45,7 +47,7 @@ def local_session(cores: str = "8", app: str = "doselake", **conf: str) -> Spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, deleted when Python ends.
 
     On a cluster that setting names storage every executor can reach. Only a
     local master, which has one machine, may run without it.
@@ -54,6 +56,33 @@ def shared_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="doselake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/doselake-{uuid.uuid4().hex}"
+        base = _local_base()
+    folder = f"{base.rstrip('/')}/doselake-{uuid.uuid4().hex}"
+    _made.append((spark, folder))
+    return folder
+
+
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="doselake-")
+
+
+def hadoop_path(spark: SparkSession, uri: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(uri)
+
+
+def delete_folder(spark: SparkSession, uri: str) -> None:
+    path = hadoop_path(spark, uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, folder in _made:
+        try:
+            delete_folder(spark, folder)
+        except Exception:  # noqa: BLE001 - its session has ended; a later one cannot know the folder
+            return

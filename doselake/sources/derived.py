@@ -6,17 +6,19 @@ are checked against. See FIXTURES.md, part B.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import MONTH_ABBREVIATIONS
 from . import tables
+from .seeds import UF_ROWS
 
 CALENDAR_START = "1995-01-01"
 CALENDAR_END = "2001-12-01"
 
-_UF_CODES = "111213141516172122232425262728293132333541424350515253"
-_UF_NAMES = "ROACAMRRPAAPTOMAPICERNPBPEALSEBAMGESRJSPPRSCRSMSMTGODF"
+# The states in the order of their codes, two characters each.
+_UF_CODES = "".join(str(code) for code, _, _ in sorted(UF_ROWS))
+_UF_NAMES = "".join(name for _, name, _ in sorted(UF_ROWS))
 
 BRONZE_SQL = f"""
 WITH base AS (
@@ -139,16 +141,20 @@ def display_header(column: str) -> str:
     return column.replace("co_", "Có_", 1).replace("vacina", "Vacína").replace("_", " ")
 
 
+def _drop_of(month_text: Column) -> Column:
+    month = F.substring(month_text, 6, 2).cast("int")
+    year = F.substring(month_text, 1, 4).cast("int") + YEAR_SHIFT
+    abbreviation = F.element_at(F.array(*[F.lit(a) for a in MONTH_ABBREVIATIONS]), month)
+    return F.concat(F.lit("vacinacao_"), abbreviation, F.lit("_"), year.cast("string"), F.lit(".csv"))
+
+
 def write_drops(bronze_rows: DataFrame, folder: str) -> None:
     """One drop per month below ``folder``: odd months ``;`` in ISO-8859-1, even
     months ``,`` in UTF-8. A large month becomes several part files."""
     month = F.substring("mes_referencia", 6, 2).cast("int")
-    year = F.substring("mes_referencia", 1, 4).cast("int") + YEAR_SHIFT
-    abbreviation = F.element_at(F.array(*[F.lit(a) for a in MONTH_ABBREVIATIONS]), month)
-    name = F.concat(F.lit("vacinacao_"), abbreviation, F.lit("_"), year.cast("string"), F.lit(".csv"))
     headed = bronze_rows.select(
         *[F.col(c).alias(display_header(c)) for c in tables.BRONZE_COLUMNS],
-        name.alias("remessa"),
+        _drop_of(F.col("mes_referencia")).alias("remessa"),
         (month % 2).alias("_odd"),
     )
     for odd, sep, encoding in ((1, ";", "ISO-8859-1"), (0, ",", "UTF-8")):
@@ -166,3 +172,45 @@ def write_drops(bronze_rows: DataFrame, folder: str) -> None:
             .option("ignoreTrailingWhiteSpace", "false")
             .csv(folder)
         )
+
+
+# Which documents of a delivery lose their last column, and which get one too many.
+SHORT_SQL = "co_documento LIKE '%-1'"
+LONG_SQL = "co_documento LIKE '%-2'"
+
+
+def write_uneven_drops(bronze_rows: DataFrame, folder: str) -> None:
+    """Drops (``;``, ISO-8859-1) in which some rows have a column too few or too many."""
+    columns = tables.BRONZE_COLUMNS
+    options = {"sep": ";", "escape": '"', "emptyValue": '""', "nullValue": ""}
+    line = F.to_csv(F.struct(*columns), options)
+    uneven = (
+        F.when(F.expr(SHORT_SQL), F.regexp_replace(line, ";[^;]*$", ""))
+        .when(F.expr(LONG_SQL), F.concat(line, F.lit(";x")))
+        .otherwise(line)
+    )
+    lines = bronze_rows.select(
+        uneven.alias(";".join(display_header(c) for c in columns)), _drop_of(F.col("mes_referencia")).alias("remessa")
+    )
+    (
+        lines.write.mode("append")
+        .partitionBy("remessa")
+        .option("header", "true")
+        .option("sep", "\x01")  # and no quotes: the lines as they are
+        .option("quote", "\x00")
+        .option("encoding", "ISO-8859-1")
+        .csv(folder)
+    )
+
+
+def write_sorted_drops(bronze_rows: DataFrame, folder: str) -> None:
+    """One file a month with the documents and days of its doses in order, so that its bytes are known."""
+    rows = bronze_rows.select("co_documento", "dt_vacina", _drop_of(F.col("mes_referencia")).alias("remessa"))
+    (
+        rows.repartition("remessa")
+        .sortWithinPartitions("remessa", "co_documento", "dt_vacina")
+        .write.partitionBy("remessa")
+        .option("header", "true")
+        .option("sep", ";")
+        .csv(folder)
+    )

@@ -12,6 +12,7 @@ import csv
 import hashlib
 import io
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 from urllib.parse import quote
 
 import pandas as pd
@@ -21,7 +22,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import clean_names, month_of
-from .spanning import ends_inside, read_spanning_rows
 
 # --- fixed values: candidate formats in order of preference, and reading sizes ------
 ENCODINGS = ["utf-8-sig", "utf-8", "ISO-8859-1"]
@@ -29,20 +29,19 @@ DELIMITERS = [";", ",", "\t"]
 HASH_BLOCK = 1024 * 1024
 # --------------------------------------------------------------------------------------
 
-# How records relate to lines, see read_rows.
-BY_LINE = "linha"
-BY_FILE = "arquivo"
-SPANNING = "blocos"
-
 HEAD_BYTES = 256 * 1024  # read first; doubled until the header has ended
 HEADER_LIMIT = 64 * 1024 * 1024  # a longer header is reported, never cut
 _FORMAT_SCHEMA = (
     "uri string, encoding string, delimitador string, "
     "cabecalho array<string>, colunas array<string>, problema string"
 )
-_EMPTY_SCHEMA = "uri string, path string, bytes bigint, problema string"
+# What `read_rows` adds to the columns of a file.
+BAD_COLUMN = "_corrompida"
+BREAKS_COLUMN = "_quebras"
+LINE_BREAK = r"\r\n|\r|\n"
 EMPTY = "arquivo vazio"
 UNKNOWN_FORMAT = "formato desconhecido"
+UNNAMED = "mes nao identificado"
 
 
 class NoDrops(Exception):
@@ -58,10 +57,34 @@ def _files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
         .load(paths)
-        .select(F.col("_metadata.file_path").alias("uri"), "path", F.col("length").alias("bytes"))
     )
 
 
+def _with_empty(found: DataFrame) -> DataFrame:
+    """The files, those without bytes included.
+
+    A scan yields no row for a file without bytes; the file index names it.
+    """
+    spark = found.sparkSession
+    files = found.select(
+        F.col("_metadata.file_path").alias("uri"),
+        "path",
+        F.col("length").alias("bytes"),
+        F.col("modificationTime").alias("modificado"),
+    )
+    # The index spells "file:///x" what a row's metadata spells "file:/x", and names as
+    # URIs do, in which a plus sign is no blank.
+    names = [(uri.replace(":///", ":/", 1),) for uri in found.inputFiles()]
+    indexed = spark.createDataFrame(names, "uri string")
+    empty = indexed.join(files, "uri", "left_anti").select(
+        "uri",
+        F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))).alias("path"),
+        F.lit(0).cast("long").alias("bytes"),
+        F.lit(None).cast("timestamp").alias("modificado"),
+    )
+    return files.unionByName(empty)
+
+
 def drop_name(uri: Column) -> Column:
     """Name of the drop: the ``.csv`` folder a part file lies in, else the file."""
     folder = F.regexp_extract(uri, r"([^/=]+\.csv)/[^/]+$", 1)
@@ -72,7 +95,8 @@ def file_name(uri: Column) -> Column:
     return F.substring_index(uri, "/", -1)
 
 
-def _with_identity(files: DataFrame, mes: str | None) -> DataFrame:
+def _with_identity(found: DataFrame, mes: str | None) -> DataFrame:
+    files = _with_empty(found)
     # Names are taken from the path: the URI spells a blank "%20".
     path = F.col("path")
     return files.select(
@@ -82,6 +106,7 @@ def _with_identity(files: DataFrame, mes: str | None) -> DataFrame:
         file_name(path).alias("arquivo"),
         (F.lit(mes) if mes else month_of(drop_name(path))).alias("mes_referencia"),
         "bytes",
+        "modificado",
     )
 
 
@@ -229,6 +254,20 @@ def hashes(files: DataFrame) -> DataFrame:
     return files.select("uri", "path").mapInPandas(_digest, "uri string, arquivo_sha256 string")
 
 
+def ends_inside(line: Column, delimiter: str) -> Column:
+    """Whether a line that starts a record ends inside a quoted field.
+
+    A quote opens a field only where the field starts; after a closing quote all is text
+    up to the delimiter. Only ASCII counts, so it holds in every encoding that extends it.
+    """
+    sep = f"\\x{{{ord(delimiter):x}}}"
+    quoted = '[^"]*+(?:""[^"]*+)*+'  # up to the closing quote
+    rest = f"[^{sep}]*+"
+    fields = f'(?:(?:"{quoted}"{rest}|[^"{sep}]{rest})?+{sep})*+'
+    # Most lines hold no quote and need no pattern.
+    return F.when(F.contains(line, F.lit('"')), line.rlike(rf'\A{fields}"{quoted}\z')).otherwise(False)
+
+
 def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Physical lines without the header, per file (S6), whether some line ends inside
     quotes (``quebras``: for each delimiter), and whether all are UTF-8.
@@ -242,7 +281,7 @@ def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .text(list(paths))
         .select(
             F.col("_metadata.file_path").alias("uri"),
-            *(ends_inside(F.col("value"), d, False).alias(f"_open_{k}") for k, d in enumerate(DELIMITERS)),
+            *(ends_inside(F.col("value"), d).alias(f"_open_{k}") for k, d in enumerate(DELIMITERS)),
             F.is_valid_utf8("value").alias("_utf8"),
         )
     )
@@ -256,11 +295,24 @@ def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def manifest(spark: SparkSession, files: DataFrame, with_hash: bool = True) -> DataFrame:
     """Everything known about the files without loading them (K4)."""
-    # Names only, one per file: what a scan of these files is given.
-    listed = files.select("uri", "path").collect()
-    table = files.join(formats(files), "uri", "left").join(
-        line_counts(spark, [f["path"] for f in listed]), "uri", "left"
-    )
+    return judged(facts(spark, files, with_hash))
+
+
+def facts(spark: SparkSession, files: DataFrame, with_hash: bool = True) -> DataFrame:
+    """What the bytes of the files tell: format, header, counts, digest, problems.
+
+    The scan of lines is given the names of the files, which the driver's file index
+    holds anyway; what is found out about them stays in the table.
+    """
+    names = [r["path"] for r in files.where("bytes > 0").select("path").collect()]
+    filled = files.where("bytes > 0")
+    table = files.join(formats(filled), "uri", "left")
+    if names:
+        table = table.join(line_counts(spark, names), "uri", "left")
+    else:
+        nothing = F.lit(None)
+        kinds = {"linhas_no_csv": "long", "quebras": "map<string,boolean>", "utf8": "boolean"}
+        table = table.withColumns({c: nothing.cast(kind) for c, kind in kinds.items()})
     # A byte that is no UTF-8 anywhere in the file rules UTF-8 out.
     other = F.col("encoding").startswith("utf-8") & ~F.col("utf8")
     encoding = F.when(other, ENCODINGS[-1]).otherwise(F.col("encoding"))
@@ -268,28 +320,22 @@ def manifest(spark: SparkSession, files: DataFrame, with_hash: bool = True) -> D
     broken = F.try_element_at("quebras", F.col("delimitador"))
     table = table.withColumn("quebra_em_aspas", broken).drop("quebras")
     if with_hash:
-        table = table.join(hashes(files), "uri", "left")
-    # The file index spells "file:///x" what a row's metadata spells "file:/x".
-    indexed = {uri.replace(":///", ":/", 1) for uri in files.inputFiles()}
-    empty = sorted(indexed - {f["uri"] for f in listed})
-    if empty:
-        # A scan yields no row for a file without bytes; the file index names it.
-        rows = spark.createDataFrame([(u, u, 0, EMPTY) for u in empty], _EMPTY_SCHEMA)
-        # The index spells names as URIs do, in which a plus sign is no blank.
-        decoded = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
-        rows = rows.withColumn("path", decoded)
-        named = _with_identity(rows, None).join(rows.select("uri", "problema"), "uri")
-        table = table.unionByName(named, allowMissingColumns=True)
-    unnamed = F.when(F.col("mes_referencia").isNull(), "mes nao identificado")
+        table = table.join(hashes(filled), "uri", "left")
     return table.withColumns(
         {
             "linhas_no_csv": F.coalesce("linhas_no_csv", F.lit(0)),
             "quebra_em_aspas": F.coalesce("quebra_em_aspas", F.lit(False)),
-            "problema": F.coalesce(unnamed, F.col("problema")),
+            "problema": F.when(F.col("bytes") == 0, EMPTY).otherwise(F.col("problema")),
         }
     )
 
 
+def judged(files: DataFrame) -> DataFrame:
+    """The files with ``problema`` also where their name holds no month."""
+    unnamed = F.when(F.col("mes_referencia").isNull(), UNNAMED)
+    return files.withColumn("problema", F.coalesce("problema", unnamed))
+
+
 # --- rows ------------------------------------------------------------------------------------
 
 
@@ -299,33 +345,38 @@ def read_rows(
     columns: Sequence[str],
     encoding: str,
     delimiter: str,
-    reading: str = BY_LINE,
+    spanning: bool = False,
 ) -> DataFrame:
-    """Rows of files of one format, every column text, no bad row tolerated.
+    """Rows of files of one format, every column text, with ``uri``.
 
-    An unquoted empty field is null, a quoted one an empty text. ``reading`` says how
-    records relate to lines: one line each, spanning lines in files small enough for one
-    task each, or spanning lines in files of any size.
+    An unquoted empty field is null, a quoted one an empty text. A row that does not fit
+    the header has its text in `BAD_COLUMN`, which is null in all others. ``spanning`` is
+    for files with line breaks inside quotes: each is then one task, and `BREAKS_COLUMN`
+    counts those of a row.
     """
     charset = "ISO-8859-1" if encoding == "ISO-8859-1" else "UTF-8"
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    options = {
-        "header": "true",
-        "sep": delimiter,
-        "encoding": charset,
-        "quote": '"',
-        "escape": '"',
-        "multiLine": str(reading != BY_LINE).lower(),
-        "mode": "FAILFAST",
-        "nullValue": "\\N",
-        "columnPruning": "false",
-    }
-    if reading == SPANNING:
-        return read_spanning_rows(spark, paths, schema, charset, options)
+    schema = ", ".join(f"`{c}` string" for c in (*columns, BAD_COLUMN))
     rows = (
         spark.read.schema(schema)
-        .options(**options)
-        .option("recursiveFileLookup", "true")
+        .options(
+            header="true",
+            sep=delimiter,
+            encoding=charset,
+            quote='"',
+            escape='"',
+            multiLine=str(spanning).lower(),
+            mode="PERMISSIVE",
+            columnNameOfCorruptRecord=BAD_COLUMN,
+            nullValue="\\N",
+            columnPruning="false",
+            recursiveFileLookup="true",
+        )
         .csv(list(paths))
     )
-    return rows.select("*", F.col("_metadata.file_path").alias("uri"))
+    breaks = F.lit(0)
+    if spanning:
+        each = [F.coalesce(F.regexp_count(F.col(c), F.lit(LINE_BREAK)), F.lit(0)) for c in columns]
+        breaks = reduce(Column.__add__, each)
+    return rows.select(
+        "*", breaks.cast("long").alias(BREAKS_COLUMN), F.col("_metadata.file_path").alias("uri")
+    )

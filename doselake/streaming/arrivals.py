@@ -46,8 +46,7 @@ def follow(
 
     ``options`` are those of :func:`doselake.operators.load.load`. A file with
     problems does not stop the stream: the others are loaded and logged, the problems
-    are stored, and :func:`problems` lists them. Only a row that does not fit its header
-    fails the batch.
+    are stored, and :func:`problems` lists them.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
