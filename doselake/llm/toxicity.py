@@ -2,7 +2,9 @@
 
 A word's input is its own embedding plus the mean embedding of its character n-grams
 (both hashed; only what at least `LEAST_TEXTS` fitted texts have is embedded), so words
-never seen are read by their characters. A gated recurrent network reads each window of
+never seen are read by their characters. An embedding starts from how much commoner its word
+or n-gram is among toxic texts than chance explains, and in training half of the words are
+read by their characters alone; both keep small samples from being learned by heart. A gated recurrent network reads each window of
 `WINDOW` words both ways, attention pools its states, and a text's score is that of its
 most toxic window. Windows overlap by half and cover all of a text, so
 `WINDOW` - `STRIDE` + 1 words running lie whole in one of them wherever they stand.
@@ -34,7 +36,12 @@ ATTENTION = 8
 TOXIC_ROWS = 1000
 OTHER_ROWS = 2000
 FIT_BYTES = 4000
-EPOCHS = 8
+STEPS = 120  # however many texts there are
+CHANCE = 2.0  # standard errors of a word's odds that mean nothing
+CERTAIN = 4.0  # further ones that mean all a word can say
+EVIDENCE = 4.0  # how far from zero that puts its embedding
+FEW = 250  # toxic texts; with fewer, embeddings are learned more slowly, in proportion
+DROPPED = 0.5  # share of words whose own embedding is left out at a step
 TEXTS_PER_STEP = 64
 RATE = 0.01
 THRESHOLD = 0.3
@@ -76,20 +83,36 @@ class Words:
         which = np.append(self.which, none)
         return which[np.where(known, at, len(self.which))], row
 
-    def vocabulary(self) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers from 1 of the buckets that enough texts have, 0 for the others."""
+    def vocabulary(self, toxic: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """For words and n-grams: numbers from 1 of the buckets that enough texts have, 0 for
+        the others, and by number how much commoner toxic texts make them (`_evidence`)."""
         row = np.repeat(np.arange(len(self.rows) - 1), np.diff(self.rows))
-        pairs = np.unique(self.which * len(self.rows) + row)
-        word, count = np.divmod(pairs, len(self.rows))[0], len(self.word)
-        texts = np.bincount(word, minlength=count)
-        out = []
-        for buckets, size in ((self.word, WORDS), (self.gram, GRAMS)):
-            weights = texts if size == WORDS else texts[self.gram_of]
-            often = np.flatnonzero(np.bincount(buckets, weights, minlength=size) >= LEAST_TEXTS)
-            numbers = np.zeros(size, np.int32)
-            numbers[often] = np.arange(1, len(often) + 1)
-            out.append(numbers)
-        return out[0], out[1]
+        numbers, evidence = [], []
+        for of_word, buckets, size in ((np.arange(len(self.word)), self.word, WORDS), (self.gram_of, self.gram, GRAMS)):
+            # Texts by bucket, each once: all places of a word have the buckets of that word.
+            pairs = np.unique(self.which * len(self.rows) + row)
+            word, text_of = np.divmod(pairs, len(self.rows))
+            order = np.argsort(of_word, kind="stable")
+            many = np.bincount(of_word, minlength=len(self.word))
+            begins = np.cumsum(many) - many
+            own = order[np.repeat(begins[word] - np.cumsum(many[word]) + many[word], many[word]) + np.arange(many[word].sum())]
+            seen = np.unique(buckets[own] * len(self.rows) + np.repeat(text_of, many[word]))
+            bucket, text_of = np.divmod(seen, len(self.rows))
+            texts = np.bincount(bucket, minlength=size)
+            bad = np.bincount(bucket, toxic[text_of], minlength=size)
+            often = np.flatnonzero(texts >= LEAST_TEXTS)
+            found = np.zeros(size, np.int32)
+            found[often] = np.arange(1, len(often) + 1)
+            numbers.append(found)
+            evidence.append(_evidence(bad[often], texts[often] - bad[often], toxic.sum(), (1 - toxic).sum()))
+        return numbers, evidence
+
+
+def _evidence(bad: np.ndarray, others: np.ndarray, all_bad: float, all_others: float) -> np.ndarray:
+    """Logarithms of odds in units of their error, as far as they go beyond chance, times `EVIDENCE`."""
+    odds = np.log((bad + 0.5) / (all_bad + 1)) - np.log((others + 0.5) / (all_others + 1))
+    units = odds / np.sqrt(1 / (bad + 0.5) + 1 / (others + 0.5))
+    return (np.sign(units) * np.clip(np.abs(units) - CHANCE, 0, CERTAIN) * EVIDENCE / CERTAIN).astype(np.float32)
 
 
 def _inputs(params: Params, word: np.ndarray, gram: np.ndarray, gram_of: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -136,7 +159,7 @@ def fresh(words: int, grams: int, seed: int = 0) -> Params:
 
     return {
         "word": np.zeros((words + 1, INPUT), np.float32),
-        "gram": np.concatenate([np.zeros((1, INPUT), np.float32), normal(grams, INPUT, scale=0.3)]),
+        "gram": np.concatenate([np.zeros((1, INPUT), np.float32), normal(grams, INPUT, scale=0.05)]),
         "enter": normal(INPUT, 6 * HIDDEN, scale=0.4),
         "enter_bias": np.zeros(6 * HIDDEN, np.float32),
         "stay": normal(2, HIDDEN, 3 * HIDDEN, scale=0.3),
@@ -207,25 +230,30 @@ def backward(params: Params, keep: list, slope: np.ndarray) -> tuple[Params, np.
     return grads, np.concatenate([to_entered[0], to_entered[1, :, ::-1]], axis=2)
 
 
-def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int = 0) -> Params:
+def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 0) -> Params:
     """A model of which texts are toxic. A toxic text needs one toxic window, others none."""
     words = Words(pa.array(texts, pa.string()))
-    word_of_bucket, gram_of_bucket = words.vocabulary()
-    params = fresh(int(word_of_bucket.max()), int(gram_of_bucket.max()), seed)
+    labels = np.asarray(toxic, np.float32)
+    (word_of_bucket, gram_of_bucket), evidence = words.vocabulary(labels)
+    params = fresh(len(evidence[0]), len(evidence[1]), seed)
+    # What a word or an n-gram says by itself is where its embedding starts.
+    params["word"][1:, 0], params["gram"][1:, 1] = evidence
     known = {"word_of_bucket": word_of_bucket, "gram_of_bucket": gram_of_bucket}
     word, gram, gram_of = words.embedded(known)
     by_word = np.argsort(gram_of, kind="stable")
     gram, counts = gram[by_word], np.bincount(gram_of, minlength=len(word))
     begins = np.cumsum(counts) - counts
     windows, row = words.windows(WINDOW)
-    labels = np.asarray(toxic, np.float32)
     by_row = np.split(np.arange(len(row)), np.flatnonzero(np.diff(row)) + 1) if len(row) else []
     draw = np.random.default_rng(seed)
+    slower = min(1.0, float(labels.sum()) / FEW)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in params.items()}
     step = 0
-    for _ in range(epochs):
+    while step < steps and by_row:
         order = draw.permutation(len(by_row))
         for first in range(0, len(order), TEXTS_PER_STEP):
+            if step == steps:
+                break
             chosen = [by_row[i] for i in order[first : first + TEXTS_PER_STEP]]
             at = np.concatenate(chosen)
             here, inside = np.unique(windows[at], return_inverse=True)
@@ -235,7 +263,9 @@ def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int =
             own_of = np.repeat(np.arange(len(here)), many)
             own = gram[np.arange(many.sum()) + np.repeat(begins[here] - (np.cumsum(many) - many), many)]
             each = np.maximum(words.grams[here], 1).astype(np.float32)
-            inputs = _inputs(params, word[here], own, own_of, each)
+            # Some words are read by their characters alone, as words never seen will be.
+            named = np.where(draw.random(len(here)) < DROPPED, 0, word[here])
+            inputs = _inputs(params, named, own, own_of, each)
             entered = (inputs @ params["enter"] + params["enter_bias"])[inside]
             keep: list = []
             logits = forward(params, entered, inside < len(here), keep)
@@ -245,11 +275,11 @@ def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS, seed: int =
             grads["enter"] = inputs[inside.ravel()].T @ flat
             grads["enter_bias"] = flat.sum(axis=0)
             to_words = _sum_by(flat @ params["enter"].T, inside.ravel(), len(here) + 1)[:-1]
-            grads["word"] = _sum_by(to_words, word[here], len(params["word"]))
+            grads["word"] = _sum_by(to_words, named, len(params["word"]))
             grads["gram"] = _sum_by((to_words / each[:, None])[own_of], own, len(params["gram"]))
             grads["word"][0] = grads["gram"][0] = 0
             step += 1
-            _adam(params, grads, moments, step)
+            _adam(params, grads, moments, step, {"word": slower, "gram": slower})
     params |= known
     return params
 
@@ -270,12 +300,12 @@ def _slopes(logits: np.ndarray, labels: np.ndarray, sizes: list[int]) -> np.ndar
     return slope.astype(np.float32)
 
 
-def _adam(params: Params, grads: Params, moments: dict, step: int) -> None:
+def _adam(params: Params, grads: Params, moments: dict, step: int, slower: dict[str, float]) -> None:
     for name, grad in grads.items():
         mean, square = moments[name]
         mean += 0.1 * (grad - mean)
         square += 0.001 * (grad * grad - square)
-        rate = RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        rate = slower.get(name, 1.0) * RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         params[name] -= (rate * mean / (np.sqrt(square) + 1e-8)).astype(np.float32)
 
 
