@@ -193,7 +193,5 @@ def _block_matches(rows: DataFrame, block: list[tuple], error_rate: float) -> Da
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
-    """``docs`` without those that hold a benchmark item; rows without an id stay."""
-    (name,) = scratch.unused(docs, "_found")
-    found = matches(docs, benchmark, error_rate).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(found, F.col("doc_id") == F.col(name), "left_anti")
+    """``docs`` without the rows whose text holds a benchmark item, with or without an id."""
+    return scratch.without(docs, matches(scratch.keyed(docs), benchmark, error_rate))

@@ -208,7 +208,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     )
     taken = docs.join(once.where(f"{copies} > 0"), same)
     # Rows alike in id, source and size share their copies out among themselves.
-    alike = Window.partitionBy(own, origin, size).orderBy(*docs.columns)
+    alike = Window.partitionBy(own, origin, size).orderBy(F.xxhash64("text"))
     taken = taken.withColumn(nth, F.when(F.col(rows) > 1, F.row_number().over(alike)).otherwise(1))
     each = F.expr(f"array_repeat(0, int({copies} div {rows}) + if({nth} <= {copies} % {rows}, 1, 0))")
-    return taken.select(*docs.columns, F.explode(each).alias(copy)).drop(copy)
+    return taken.select(*scratch.columns(docs), F.explode(each).alias(copy)).drop(copy)

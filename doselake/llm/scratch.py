@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import atexit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
@@ -37,6 +38,29 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def row_key(doc_id: str = "doc_id", column: str = "text") -> Column:
+    """A number for an id and its text, so that rows without an id, and rows that share one,
+    are told apart; two different ones are equal once in 10**19 pairs."""
+    return F.xxhash64(F.col(doc_id), F.md5(F.col(column)))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text), the id being `row_key`: for stages that judge row by row."""
+    return docs.select(row_key().alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose `row_key` is a ``doc_id`` of ``found``."""
+    (name,) = unused(docs, "_found")
+    gone = found.select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, row_key() == F.col(name), "left_anti")
+
+
 def drop() -> None:
     """Delete every intermediate table made so far; frames over them stop working."""
     while _MADE:

@@ -8,7 +8,7 @@ The ring is walked over a bounded summary. Groups above a thousandth of a shard
 1,000 a shard) go one by one, heaviest first; the light rest is summed in `CELLS` arcs of
 the ring, which go in ring order. Both tables are of proven size, so they are collected
 for the walk and broadcast back. A group that alone outweighs a shard cannot stay whole
-and is dealt by document instead.
+and is dealt row by row instead, whether its rows have ids, share them or have none.
 """
 
 from __future__ import annotations
@@ -68,7 +68,8 @@ def shard(
     ``size`` is the text's UTF-8 bytes plus 1. The law is ``bytes``: shards are near equal
     in size, up to the heaviest group. ``slot`` numbers a shard's rows from 0 without gaps.
     ``grown_shard`` is null, as loads decide besides keys. A null text has no bytes and
-    the checksum of an empty one, but is a group apart. Repeated rows share a shard.
+    the checksum of an empty one, but is a group apart. Repeated rows share a shard, unless
+    they outweigh one: then which row of such a group goes where follows its place in the table.
     Null ids are ids like others. Other columns are ignored.
     """
     text = F.col(column)
@@ -78,6 +79,7 @@ def shard(
             (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
             F.xxhash64(F.md5(text)).alias("group"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
     total, count = rows.agg(F.sum("size"), F.count("*")).first()
@@ -85,7 +87,7 @@ def shard(
     oversized = _heavier(rows.groupBy("group").agg(F.sum("size").alias("size")), fair)
     units = rows.withColumn(
         "unit",
-        F.when(F.col("group").isin([g for g, _ in oversized]), F.xxhash64("group", "doc_id")).otherwise(F.col("group")),
+        F.when(F.col("group").isin([g for g, _ in oversized]), F.xxhash64("group", "row")).otherwise(F.col("group")),
     )
     placed = _placed(units, shards, fair, fair * (1 + slack))
     position = F.xxhash64("doc_id", "unit")
