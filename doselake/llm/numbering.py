@@ -55,25 +55,20 @@ def running(
 def first_by(rows: DataFrame, key: str, ties: list[Column], count: int, buckets: int) -> DataFrame:
     """``rows`` with ``first``: whether a row is among the ``count`` smallest by ``key``.
 
-    Only the bucket in which the count is reached is put in order; the others are taken or
-    left whole. ``key`` is a double; nulls come last.
+    Rows are counted by buckets of the key. Those of lower buckets than the one in which
+    the count is reached are taken, those of higher ones left, without being moved; only
+    that bucket is put in order. ``key`` is a double; nulls come last.
     """
     # Grows like the key near zero and like its logarithm far from it.
     rows = rows.withColumn("_bucket", F.floor(F.asinh(F.coalesce(F.col(key), F.lit(1e300))) * buckets))
     totals = rows.groupBy("_bucket").agg(F.count("*").alias("_total"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col("_bucket").alias("_of"),
-        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"),
-        "_total",
-    )
-    crossing = F.expr(f"_before < {count} and _before + _total > {count}")
-    spread = F.when(crossing, F.lit(-1)).otherwise(F.pmod(F.xxhash64(*ties), F.lit(4 * buckets)))
-    inside = Window.partitionBy("_bucket", "_spread").orderBy(F.col(key).asc_nulls_last(), *ties)
-    return (
-        rows.join(offsets, F.col("_bucket") == F.col("_of"))
-        .withColumn("_spread", spread)
-        .withColumn("_nth", F.row_number().over(inside))
-        .withColumn("first", F.when(crossing, F.expr(f"_before + _nth <= {count}")).otherwise(F.expr(f"_before < {count}")))
-        .drop("_bucket", "_of", "_before", "_total", "_spread", "_nth")
-    )
+    offsets = totals.withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0)))
+    crossed = offsets.where(f"_before < {count} and _before + _total > {count}").collect()  # one row, or none
+    if not crossed:
+        last = offsets.where(f"_before + _total <= {count}").agg(F.max("_bucket")).first()[0]
+        return rows.withColumn("first", F.lit(False) if last is None else F.col("_bucket") <= last).drop("_bucket")
+    (bucket, _, taken), here = crossed[0], F.col("_bucket")
+    nth = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(key).asc_nulls_last(), *ties))
+    ordered = rows.where(here == bucket).withColumn("first", nth <= count - taken)
+    return rows.where(here != bucket).withColumn("first", here < bucket).unionByName(ordered).drop("_bucket")

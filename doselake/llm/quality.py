@@ -8,8 +8,10 @@ labelled good), one of the raw text (all documents). A document's importance wei
 likelihood ratio, target over raw.
 
 Documents are sampled without replacement by Gumbel top-k: log weight plus Gumbel noise,
-largest first. How many are taken, and from which mean log ratio on an n-gram speaks for
-the target, is set on the labelled sample.
+largest first, which takes a document before another in proportion to their weights. How
+many are taken is a parameter; left out, it is the number of target documents that the
+weights lead to expect. Log weights are centred by a ratio per word (the models count what
+they never saw like what is rare), which is set on the labelled sample.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from .numbering import bucket_count, first_by
 BUCKETS = 1 << 14
 FAMILIES = 4
 LABELLED_ROWS = 20_000  # the classifier is fitted on at most so many labelled rows
-TEMPERATURE = 0.1  # of the Gumbel noise; 1 samples in proportion to the weights
+TEMPERATURE = 1.0  # of the Gumbel noise; 1 samples in proportion to the weights
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -139,22 +141,35 @@ def _best_cut(means: np.ndarray, good: np.ndarray) -> float:
     return float((means[at - 1] + means[at]) / 2)
 
 
+def resample(weighed: DataFrame, take: int, temperature: float = TEMPERATURE, seed: int = 0) -> DataFrame:
+    """Adds noisy and kept to stored rows (doc_id, words, margin): ``take`` of them by Gumbel top-k."""
+    uniform = (F.abs(F.xxhash64(F.lit(seed), "doc_id") % (1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    noise = -F.log(-F.log(uniform))
+    ranked = weighed.withColumn("noisy", F.col("margin") + F.lit(temperature) * noise).withColumn("_key", -F.col("noisy"))
+    count = bucket_count(weighed.count())
+    first = first_by(ranked, "_key", [F.col("doc_id"), F.col("words")], take, count)
+    return first.drop("_key").withColumnRenamed("first", "kept")
+
+
 def classify(
     docs: DataFrame,
     labels: DataFrame,
     labelled_rows: int = LABELLED_ROWS,
     temperature: float = TEMPERATURE,
     seed: int = 0,
+    take: int | None = None,
 ) -> DataFrame:
     """A row per row of ``docs``: doc_id, words, log_weight, margin, noisy, kept.
 
-    ``margin`` is the log weight less the cut times the words; as many rows are kept as
-    have a margin of 0 or more, by largest ``noisy``, the margin with Gumbel noise.
+    ``margin`` is the log weight less the centre times the words, the logarithm of the odds
+    that a document is of the target. ``take`` documents are kept, by largest ``noisy``, the
+    margin with Gumbel noise; without ``take``, as many as the odds lead to expect.
 
-    The target and the cut come from the ``labelled_rows`` labelled documents of smallest
-    hash; labels that are null count for nothing. With no good or no bad labels nothing
-    is rejected. Null and blank texts have no n-grams, margin 0, and stay. Repeated rows
-    weigh the same; ties go by id. Other columns are ignored.
+    The target and the centre come from the ``labelled_rows`` labelled documents of smallest
+    hash; labels that are null count for nothing. With no good or no bad labels nothing is
+    rejected unless ``take`` says so. Null and blank texts have no n-grams and margin 0; they
+    are certain to be taken where ``take`` is left out. Repeated rows weigh the same and
+    share their noise; ties go by id. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sample = (
@@ -170,22 +185,28 @@ def classify(
         F.broadcast(sample), F.col("doc_id") == F.col("_labelled")
     )
     fitted = fitted.select((F.col("log_weight") / F.col("words")).alias("mean"), F.expr("quality = 1").alias("good")).toArrow()
-    cut = _best_cut(fitted["mean"].to_numpy(), fitted["good"].to_numpy().astype(bool))
+    centre = _best_cut(fitted["mean"].to_numpy(), fitted["good"].to_numpy().astype(bool))
+    if np.isinf(centre):
+        margin, chance = F.lit(0.0), F.lit(1.0)
+    else:
+        margin = F.col("log_weight") - F.lit(centre) * F.col("words")
+        chance = F.when(F.col("words") > 0, F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))))
+    weighed = scratch.store(weigh(rows, ratios).withColumn("margin", margin))
+    if take is not None:
+        return _columns(resample(weighed, take, temperature, seed))
+    some = weighed.where("words > 0")
+    expected = some.agg(F.sum(chance)).first()[0]
+    blank = weighed.where("words = 0").withColumns({"noisy": F.lit(float("inf")), "kept": F.lit(True)})
+    return _columns(resample(some, round(expected or 0.0), temperature, seed).unionByName(blank))
 
-    margin = F.lit(0.0) if np.isinf(cut) else F.col("log_weight") - F.lit(cut) * F.col("words")
-    uniform = (F.abs(F.xxhash64(F.lit(seed), "doc_id") % (1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
-    noise = -F.log(-F.log(uniform))
-    weighed = scratch.store(
-        weigh(rows, ratios).withColumn("margin", margin).withColumn("noisy", F.col("margin") + F.lit(temperature) * noise)
-    )
-    count, accepted = weighed.agg(F.count("*"), F.count(F.when(F.col("margin") >= 0, 1))).first()
-    ranked = weighed.withColumn("_key", -F.col("noisy"))
-    ranked = first_by(ranked, "_key", [F.col("doc_id"), F.col("words")], accepted, bucket_count(count))
-    return ranked.select("doc_id", "words", "log_weight", "margin", "noisy", F.col("first").alias("kept"))
+
+def _columns(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "words", "log_weight", "margin", "noisy", "kept")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """``docs`` less what the classifier rejects; rows without an id stay."""
-    (name,) = scratch.unused(docs, "_rejected")
-    rejected = classify(docs, labels, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(rejected, F.col("doc_id") == F.col(name), "left_anti")
+    """``docs`` less what the classifier rejects, row by row: rows without an id, and those
+    that share one, are judged by their own texts."""
+    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), scratch.row_key().alias("_key"))
+    labels = labelled.join(labels.select("doc_id", "quality"), "doc_id").select(F.col("_key").alias("doc_id"), "quality")
+    return scratch.without(docs, classify(scratch.keyed(docs), labels, **options).where("not kept"))
