@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -102,7 +103,7 @@ def test_odd_near_duplicates(odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
     kept = neardup.keep_one(odd, words=4)
     assert kept.columns == odd.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 3, 4, 5, 6, 8, 10, -5, None, None, None])
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 3, 4, 5, 6, 8, 10, -5, None, None])
     assert neardup.keep_one(empty).count() == 0
 
 
@@ -155,6 +156,16 @@ def test_mix_follows_preferences(ready):
     assert 0.6 < liked / 500 < 0.9
 
 
+def test_maps_and_dotted_names_pass(ready):
+    rows = [(1, "a b c d e f", "s", {"k": 1}, 2), (1, "a b c d e f", "s", {"k": 1}, 2), (None, "a b c d e f", "t", None, 3)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string, source string, m map<string,int>, `a.b` int")
+    assert neardup.keep_one(docs, words=2).columns == docs.columns
+    assert [r.doc_id for r in neardup.keep_one(docs, words=2).collect()] == [1]
+    assert mixing.mixed(docs).columns == docs.columns and mixing.mixed(docs).count() >= 2
+    bench = ready.createDataFrame([(1, "b c d e")], "item_id long, text string")
+    assert decontaminate.clean(docs, bench).count() == 0
+
+
 def test_odd_mix(odd, empty):
     got = mixing.mix(odd).collect()
     assert len(got) == odd.count()
@@ -216,6 +227,34 @@ def test_a_group_above_a_shard_is_split(ready):
     assert max(loads.values()) / min(loads.values()) < 1.01
 
 
+def test_a_heavy_group_without_ids_is_split(ready):
+    rows = [(None, "same text in many places")] * 2000 + [(i, f"text {i}") for i in range(2000, 4000)]
+    got = sharding.shard(ready.createDataFrame(rows, "doc_id long, text string"), shards=4).collect()
+    _check_shards(got, 4)
+    loads = Counter()
+    for r in got:
+        loads[r.shard] += r["size"]
+    assert max(loads.values()) / min(loads.values()) < 1.01
+
+
+def test_ring_by_plain_walk():
+    """Every place against a walk over all virtual nodes in order."""
+    draw = random.Random(9)
+    for shards, slack in ((3, 0.01), (8, 0.3), (5, 10.0)):
+        sizes = [draw.choice([1, 1, 1, 5, 40]) for _ in range(600)]
+        capacity = sum(sizes) / shards * (1 + slack)
+        ring, loads = sharding.Ring(shards, capacity, 16), [0] * shards
+        for size in sizes:
+            place = draw.randrange(-(1 << 63), 1 << 63)
+            walk = sorted(ring.nodes, key=lambda node: ((node[0] - place) % (1 << 64), node[1]))
+            home = next((s for _, s in walk if loads[s] + size <= capacity), None)
+            if home is None:
+                home = min(range(shards), key=lambda s: (loads[s], s))
+            loads[home] += size
+            assert ring.put(place, size) == home
+        assert ring.load == loads
+
+
 def test_a_new_shard_moves_little():
     places = [int.from_bytes(hashlib.md5(str(i).encode()).digest()[:8], "big", signed=True) for i in range(4000)]
     before, after = (sharding.Ring(n, 1.05 * len(places) / n) for n in (8, 9))
@@ -287,7 +326,7 @@ def test_odd_leaks(ready, odd, empty):
     got = decontaminate.matches(odd, bench).collect()
     assert Counter((r.doc_id, r.item_id) for r in got) == Counter([(1, 1), (1, 1), (2, 1), (None, 1), (9, None)])
     kept = decontaminate.clean(odd, bench)
-    assert kept.columns == odd.columns and kept.count() == odd.count() - 4
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 5
     assert decontaminate.matches(empty, bench).count() == 0
     assert decontaminate.clean(odd, bench.limit(0)).count() == odd.count()
 
@@ -316,6 +355,69 @@ def test_quality_learns_from_part_of_the_labels(ready):
     assert sum(r.kept == (r.quality == 1) for r in got) >= 0.97 * len(got)
 
 
+def _gumbel_shares(margins, take, rounds=400):
+    """How often each class of margins is taken, drawn one after the other in proportion to weights."""
+    draw = np.random.default_rng(5)
+    weights = np.exp(margins - margins.max())
+    hits = np.zeros(len(margins))
+    for _ in range(rounds):
+        hits[draw.choice(len(margins), take, replace=False, p=weights / weights.sum())] += 1
+    return hits / rounds
+
+
+def test_resampling_takes_in_proportion_to_weights(ready):
+    classes = np.array([-2.0, 0.0, 1.0, 3.0])
+    rows = ready.range(8000).selectExpr("id AS doc_id", "5L AS words", "element_at(array(-2D, 0D, 1D, 3D), int(id % 4) + 1) AS margin")
+    want = _gumbel_shares(np.repeat(classes, 20), 30).reshape(4, 20).mean(axis=1)
+    taken = []
+    for seed in (1, 2):
+        got = quality.resample(rows, 3000, seed=seed).where("kept").collect()
+        assert len(got) == 3000
+        shares = [sum(r.margin == c for r in got) / 2000 for c in classes]
+        assert np.allclose(shares, want, atol=0.03), (shares, want)
+        taken.append({r.doc_id for r in got})
+    assert 0.2 < len(taken[0] & taken[1]) / 3000 < 0.95  # the noise decides
+    cold = quality.resample(rows, 3000, temperature=0.0).where("kept").collect()
+    assert sum(r.margin == 3.0 for r in cold) == 2000
+
+
+def test_as_many_are_taken_as_asked_for(ready, documents):
+    labels = ready.read.parquet(f"{SF_DIR}/labels.parquet")
+    got = quality.classify(documents, labels, take=50).collect()
+    kept = sorted((r.noisy for r in got if r.kept), reverse=True)
+    assert len(kept) == 50 and kept[-1] >= max(r.noisy for r in got if not r.kept)
+
+
+def test_weights_by_brute_force(ready, documents):
+    """Sums, ratios and odds by plain counting of the n-grams of one text at a time."""
+    import pyarrow as pa
+
+    labels = {r.doc_id: r.quality for r in ready.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    grams = {d: quality._ngrams(pa.record_batch({"text": pa.array([t], pa.string())}))[0] for d, t in texts.items()}
+    raw, target = ([Counter() for _ in range(quality.FAMILIES)] for _ in range(2))
+    for d, own in grams.items():
+        for family in range(quality.FAMILIES):
+            raw[family].update(own[family].tolist())
+            if labels.get(d) == 1:
+                target[family].update(own[family].tolist())
+    ratio = []
+    for t, r in zip(target, raw, strict=True):
+        ts, rs = sum(t.values()) + quality.BUCKETS, sum(r.values()) + quality.BUCKETS
+        ratio.append([math.log((t[b] + 1) / ts) - math.log((r[b] + 1) / rs) for b in range(quality.BUCKETS)])
+    weight = {d: sum(ratio[f][b] for f in range(quality.FAMILIES) for b in own[f].tolist()) for d, own in grams.items()}
+    got = quality.classify(documents, ready.read.parquet(f"{SF_DIR}/labels.parquet")).collect()
+    for r in got:
+        assert r.words == len(_words(texts[r.doc_id]))
+        assert r.log_weight == pytest.approx(weight[r.doc_id], abs=1e-6)
+    filled = [r for r in got if r.words]
+    centres = {round((r.log_weight - r.margin) / r.words, 9) for r in filled}
+    assert len(centres) == 1
+    expected = round(sum(1 / (1 + math.exp(-max(r.margin, -700))) for r in filled))
+    best = sorted(filled, key=lambda r: -r.noisy)[:expected]
+    assert {r.doc_id for r in filled if r.kept} == {r.doc_id for r in best}
+
+
 def test_ngram_counts_are_sums(ready, documents):
     whole = quality.ngram_counts(documents.coalesce(1))
     assert (whole == quality.ngram_counts(documents.repartition(5))).all()
