@@ -21,7 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as dataset
 import pyarrow.fs as pafs
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from .numbering import bucket_count, running
 LENGTH = 256
 PER_SHARD = 8192
 ROUNDS = 4
+PARTS_PER_BAND = 64  # parts of the table whose numbers lie in one file
 _HEAD = "<qii"
 _HEAD_BYTES = struct.calcsize(_HEAD)
 _NO_ID = -(1 << 63)
@@ -96,52 +99,95 @@ def _shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def _sequences(ids: bytes, length: int) -> list[bytes]:
+def _sequences(ids: np.ndarray, length: int) -> list[bytes]:
     """The ids of each sequence; a text without ids has none."""
-    if not ids:
+    if not len(ids):
         return []
-    ids += tokens.END_OF_TEXT.to_bytes(2, "little")
-    return [ids[at : at + 2 * length] for at in range(0, len(ids), 2 * length)]
+    ended = np.append(ids, tokens.END_OF_TEXT).astype("<u2")
+    return [ended[at : at + length].tobytes() for at in range(0, len(ended), length)]
 
 
-def _encoded(rows: DataFrame, vocabulary: str) -> DataFrame:
+_COUNTED = "doc_id long, key long, part long, row long, each long"
+
+
+def _counted(rows: DataFrame, vocabulary: Broadcast, length: int) -> DataFrame:
+    """Rows of texts with ids: their part of the table, their number in it, and their sequences."""
+
     def run(batches: Batches) -> Batches:
-        encoder = tokens.Encoder(vocabulary)
-        for batch in text.slices(batches):
-            ids = [encoder.encode(t) for t in batch.column("text").to_pylist()]
+        encoder = tokens.Encoder(vocabulary.value)
+        part, row = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            ids = [encoder.count(t) for t in batch.column("text").to_pylist()]
+            each = [-(-(n + 1) // length) if n else 0 for n in ids]
+            numbers = np.arange(row, row + len(each))
+            row += len(each)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(ids, pa.binary())],
-                names=["doc_id", "key", "ids"],
+                [
+                    batch.column("doc_id"), batch.column("key"), pa.array(np.full(len(each), part)),
+                    pa.array(numbers), pa.array(each, pa.int64()),
+                ],
+                names=["doc_id", "key", "part", "row", "each"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, key long, ids binary")
+    return rows.mapInArrow(run, _COUNTED)
 
 
-_RECORD = "slot long, shard long, doc_id long, seq_no int, n_tokens int, record binary"
+_RECORD = "slot long, shard long, doc_id long, seq_no int, ids binary"
 _WRITTEN = "doc_id long, seq_no int, slot long, shard long, byte_offset long, n_tokens int, record_crc32 long"
 
 
-def _records(rows: DataFrame, count: int, length: int, key: int, per_shard: int) -> DataFrame:
+class Changed(Exception):
+    """The documents were not the same when they were read again."""
+
+
+def _numbers_of(folder: str, part: int) -> pa.Table:
+    """The narrow rows of one part: row, key, first."""
+    files, root = _filesystem(f"{folder}/band={part // PARTS_PER_BAND}")
+    if files.get_file_info(root).type == pafs.FileType.NotFound:
+        return pa.table({"row": [], "key": [], "first": []}, pa.schema([(c, pa.int64()) for c in ("row", "key", "first")]))
+    held = dataset.dataset(root, format="parquet", filesystem=files)
+    found = held.to_table(["row", "key", "first"], filter=dataset.field("part") == part)
+    return found.sort_by("row")
+
+
+def _records(
+    rows: DataFrame, numbers: str, vocabulary: Broadcast, count: int, length: int, key: int, per_shard: int
+) -> DataFrame:
+    """The sequences of all rows with their slots.
+
+    Texts are read and encoded again where they lie, and their numbers, a few bytes a row,
+    are fetched by part: no text and no id moves before it has its slot.
+    """
+
     def run(batches: Batches) -> Batches:
-        permutation, size = Permutation(count, key), stride(length)
-        for batch in text.slices(batches, "ids", limit=1 << 19):
-            docs, numbers, used, records, base = [], [], [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "first", "ids"))
-            for doc, first, encoded in zip(*columns, strict=True):
-                for number, ids in enumerate(_sequences(encoded, length)):
-                    head = _head(doc, number, len(ids) // 2)
+        permutation, encoder, row = Permutation(count, key), tokens.Encoder(vocabulary.value), 0
+        own = _numbers_of(numbers, TaskContext.get().partitionId())
+        at, keys, firsts = (own.column(c).to_numpy() for c in ("row", "key", "first"))
+        for batch in text.slices(batches, limit=1 << 19):
+            here = np.arange(row, row + batch.num_rows)
+            place = np.minimum(np.searchsorted(at, here), max(len(at) - 1, 0))
+            known = at[place] == here if len(at) else np.zeros(len(here), bool)
+            if (keys[place[known]] != batch.column("key").to_numpy()[known]).any():
+                raise Changed("documents must be the same each time they are read, as tables are")
+            row += batch.num_rows
+            docs, slots, used, content = [], [], [], []
+            texts = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), known, place, strict=True)
+            for doc, value, numbered, nth in texts:
+                parts = _sequences(encoder.ids(value), length)
+                if bool(parts) != bool(numbered):
+                    raise Changed("documents must be the same each time they are read, as tables are")
+                for number, ids in enumerate(parts):
                     docs.append(doc)
-                    numbers.append(number)
-                    used.append(len(ids) // 2)
-                    base.append(first + number)
-                    records.append((head + ids).ljust(size, b"\0"))
-            slots = permutation.slot(np.array(base, np.int64))
+                    slots.append(firsts[nth] + number)
+                    used.append(number)
+                    content.append(ids)
+            slots = permutation.slot(np.array(slots, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(slots), pa.array(slots // per_shard), pa.array(docs, pa.int64()),
-                    pa.array(numbers, pa.int32()), pa.array(used, pa.int32()), pa.array(records, pa.binary()),
+                    pa.array(used, pa.int32()), pa.array(content, pa.binary()),
                 ],
-                names=["slot", "shard", "doc_id", "seq_no", "n_tokens", "record"],
+                names=["slot", "shard", "doc_id", "seq_no", "ids"],
             )
 
     return rows.mapInArrow(run, _RECORD)
@@ -161,19 +207,24 @@ def _written(records: DataFrame, folder: str, length: int, per_shard: int) -> Da
                 files.move(name, f"{root}/{_shard_name(shard)}")
 
         for batch in batches:
-            shards, slots, content = (batch.column(c).to_pylist() for c in ("shard", "slot", "record"))
-            for at, record in zip(shards, content, strict=True):
+            shards, slots, docs, numbers, content = (
+                batch.column(c).to_pylist() for c in ("shard", "slot", "doc_id", "seq_no", "ids")
+            )
+            used, checks = [], []
+            for at, doc, number, ids in zip(shards, docs, numbers, content, strict=True):
                 if at != shard:
                     close()
                     shard, name = at, f"{root}/.{_shard_name(at)}.{uuid.uuid4().hex}"
                     out = files.open_output_stream(name)
+                record = (_head(doc, number, len(ids) // 2) + ids).ljust(size, b"\0")
                 out.write(record)
+                used.append(len(ids) // 2)
+                checks.append(zlib.crc32(record))
             places = [(slot % per_shard) * size for slot in slots]
-            checks = [zlib.crc32(record) for record in content]
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("doc_id", "seq_no", "slot", "shard")),
-                    pa.array(places, pa.int64()), batch.column("n_tokens"), pa.array(checks, pa.int64()),
+                    pa.array(places, pa.int64()), pa.array(used, pa.int32()), pa.array(checks, pa.int64()),
                 ],
                 names=[c.split()[0] for c in _WRITTEN.split(", ")],
             )
@@ -183,7 +234,7 @@ def _written(records: DataFrame, folder: str, length: int, per_shard: int) -> Da
 
 
 def _first_numbers(counted: DataFrame, buckets: int) -> DataFrame:
-    """(row, first): the number of each row's first sequence.
+    """(part, row, key, first): the number of each row's first sequence.
 
     Repeated rows follow one another; they are counted by the parts of the table first, so
     no task holds more of them than a part does.
@@ -202,7 +253,7 @@ def _first_numbers(counted: DataFrame, buckets: int) -> DataFrame:
     return (
         counted.withColumn("nth", nth)
         .join(parts, same & (F.col("part") == F.col("_part")))
-        .select("row", F.expr("start + nth * each").alias("first"))
+        .select("part", "row", "key", F.expr("start + nth * each").alias("first"))
     )
 
 
@@ -220,21 +271,21 @@ def materialise(
     Numbers follow a hash of id and text, so the same table gives the same slots however it
     is partitioned; repeated rows are told apart by a number only. Null and empty texts
     have no sequences. A null id is stored as the least 64-bit number. Empty tables write
-    a layout and no shard. Other columns are ignored.
+    a layout and no shard. Other columns are ignored. The documents are read twice and must
+    be the same both times, in the same parts, as stored tables are; else `Changed` is raised.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.where("text <> ''").withColumn("key", F.xxhash64("text"))
-    encoded = _encoded(rows, vocabulary).where("length(ids) > 0")
-    encoded = scratch.store(encoded.withColumn("row", F.monotonically_increasing_id()))
-    # Two bytes an id, and the end.
-    sequences = F.expr(f"cast(ceil((length(ids) div 2 + 1) / {length}) as long)")
-    counted = encoded.select("doc_id", "key", "row", F.expr("shiftright(row, 33)").alias("part"), sequences.alias("each"))
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    shared = tokens.shared(spark, vocabulary)
+    counted = scratch.store(_counted(rows, shared, length)).where("each > 0")
     total, documents = counted.agg(F.sum("each"), F.count("*")).first()
     total = total or 0
-    numbers = scratch.store(_first_numbers(counted, bucket_count(documents)))
-    placed = encoded.join(numbers, "row").select("doc_id", "first", "ids")
-    records = _records(placed, max(total, 1), length, key, per_shard)
+    numbers = _first_numbers(counted, bucket_count(documents))
+    numbers = numbers.withColumn("band", F.expr(f"part div {PARTS_PER_BAND}"))
+    held = scratch.fresh(spark)
+    numbers.repartition("band").sortWithinPartitions("band", "part", "row").write.partitionBy("band").parquet(held)
+    records = _records(rows, held, shared, max(total, 1), length, key, per_shard)
     in_order = records.repartition("shard").sortWithinPartitions("shard", "slot")
 
     files, root = _filesystem(folder)
