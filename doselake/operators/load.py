@@ -386,6 +386,12 @@ def _written(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def _with_month(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """``rows`` where they lie, with the month of their file: the manifest, a row per file
+    like the driver's file index, goes to them."""
+    return rows.join(F.broadcast(kept.select("uri", MONTH_COLUMN)), "uri")
+
+
 def _staged(spark: SparkSession, formats: list[Row], kept: DataFrame, table: str, load: str) -> DataFrame:
     """The rows of the kept files in folders by month.
 
@@ -394,7 +400,7 @@ def _staged(spark: SparkSession, formats: list[Row], kept: DataFrame, table: str
     shuffle and its files are as large as the splits. The month is a fact of the file,
     looked up in the manifest and not parsed from the name per row.
     """
-    rows = _read(spark, [f for f in formats if f["fica"]]).join(kept.select("uri", MONTH_COLUMN), "uri")
+    rows = _with_month(_read(spark, [f for f in formats if f["fica"]]), kept)
     rows = rows.withColumnRenamed("uri", FILE_COLUMN)
     folder = snapshots.rows_folder(table, load)
     rows.write.partitionBy(MONTH_COLUMN).parquet(folder)

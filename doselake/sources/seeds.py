@@ -1,8 +1,8 @@
 """Fixed reference tables (S9): federative units, age bands, official targets.
 
-Their size is a constant of the code, so they are the only tables this library
-broadcasts by hint; everything derived from data is left to Catalyst and AQE,
-which broadcast by measured size.
+Their size is a constant of the code, so this library broadcasts them by hint, as it
+does small tables of counted size and the months of files; everything else derived
+from data is left to Catalyst and AQE, which broadcast by measured size.
 """
 
 from __future__ import annotations

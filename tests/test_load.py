@@ -3,6 +3,7 @@
 import hashlib
 
 import pytest
+from conftest import plan_of
 
 from doselake.functions.names import clean_names, month_of
 from doselake.operators import load, snapshots
@@ -274,6 +275,18 @@ def test_drop_without_rows_empties_its_month(spark, place):
     assert place.rows(spark, "a") == [("2026-02", "5")]
 
 
+def test_rows_get_their_month_where_they_lie(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "uri string, x int")
+        kept = spark.createDataFrame([("a", "1996-02"), ("b", "1996-03")], "uri string, mes_referencia string")
+        found = load._with_month(rows, kept)
+        assert sorted(tuple(r) for r in found.collect()) == [("a", 1, "1996-02"), ("b", 2, "1996-03")]
+        assert "hashpartitioning" not in plan_of(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_drift_is_a_warning(spark, place):
     place.put("d_2026_01.csv", "a;b\n1;x\n")
     assert place.load(spark).drift is None
