@@ -55,8 +55,8 @@ class Lake:
         self.sorted_drops = False
         self._contenders: incremental.Contenders | None = None
 
-    def _store(self, df: DataFrame, layer: str, name: str, by: str | None = None) -> DataFrame:
-        return staging.as_table(df, self.base, layer, name, by)
+    def _store(self, df: DataFrame, layer: str, name: str) -> DataFrame:
+        return staging.as_table(df, self.base, layer, name)
 
     @cached_property
     def uf_ibge(self) -> DataFrame:
@@ -69,7 +69,7 @@ class Lake:
     @cached_property
     def bronze(self) -> DataFrame:
         rows = derived.bronze(self.spark, self.sf_dir)
-        return self._store(rows, "bronze", "doses_aplicadas_pni", "mes_referencia")
+        return staging.as_table(rows, self.base, "bronze", "doses_aplicadas_pni", "mes_referencia", dealt=True)
 
     @cached_property
     def directory(self) -> DataFrame:

@@ -20,13 +20,13 @@ CALENDAR_END = "2001-12-01"
 _UF_CODES = "".join(str(code) for code, _, _ in sorted(UF_ROWS))
 _UF_NAMES = "".join(name for _, name, _ in sorted(UF_ROWS))
 
-BRONZE_SQL = f"""
-WITH base AS (
+_BASE_SQL = """
   SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,
          CAST(CAST(l.l_shipdate AS DATE) AS STRING) AS dia,
          o.o_custkey, o.o_custkey % 27 AS pk, l.l_suppkey % 27 AS ek
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-), geo AS (
+"""
+_DOSES_SQL = f"""geo AS (
   SELECT b.*,
     substr('{_UF_CODES}', CAST(pk*2+1 AS INT), 2) AS p_uf_cod,
     substr('{_UF_NAMES}', CAST(pk*2+1 AS INT), 2) AS p_uf,
@@ -70,6 +70,8 @@ SELECT
   substr(dia, 1, 7) AS mes_referencia
 FROM geo
 """
+BRONZE_SQL = f"""
+WITH base AS ({_BASE_SQL}), {_DOSES_SQL}"""
 
 DIRECTORY_SQL = f"""
 WITH k AS (
@@ -111,9 +113,16 @@ def _run(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The doses, those of a month together, as a table by month is written.
+
+    They are dealt by month as the few numbers they derive from: the texts, several times
+    as wide, are made behind the exchange.
+    """
     lineitem = tables.scan(spark, f"{sf_dir}/lineitem.parquet")
     orders = tables.scan(spark, f"{sf_dir}/orders.parquet")
-    return _run(spark, BRONZE_SQL, lineitem=lineitem, orders=orders)
+    base = _run(spark, _BASE_SQL, lineitem=lineitem, orders=orders)
+    dealt = base.withColumn("_month", F.substring("dia", 1, 7)).hint("rebalance", "_month")
+    return _run(spark, f"WITH {_DOSES_SQL}", base=dealt)
 
 
 def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +159,10 @@ def _drop_of(month_text: Column) -> Column:
 
 def write_drops(bronze_rows: DataFrame, folder: str) -> None:
     """One drop per month below ``folder``: odd months ``;`` in ISO-8859-1, even
-    months ``,`` in UTF-8. A large month becomes several part files."""
+    months ``,`` in UTF-8. A large month becomes several part files.
+
+    Rows read from a table by month lie by month already, so no exchange comes first.
+    """
     month = F.substring("mes_referencia", 6, 2).cast("int")
     headed = bronze_rows.select(
         *[F.col(c).alias(display_header(c)) for c in tables.BRONZE_COLUMNS],
@@ -161,7 +173,6 @@ def write_drops(bronze_rows: DataFrame, folder: str) -> None:
         (
             headed.filter(F.col("_odd") == odd)
             .drop("_odd")
-            .hint("rebalance", "remessa")
             .write.mode("append")
             .partitionBy("remessa")
             .option("header", "true")

@@ -1,6 +1,9 @@
 """Views, stored tables, publication size, table scans, shared folder."""
 
+import pyarrow.parquet as pq
 import pytest
+from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 from doselake.operators import staging
 from doselake.session import shared_folder
@@ -24,6 +27,29 @@ def test_month_partition_stays_text(spark, tmp_path):
     assert sorted(r["mes_referencia"] for r in stored.collect()) == ["1996-02", "1996-03"]
 
 
+@pytest.mark.parametrize("dealt", [False, True])
+def test_files_hold_few_rows(spark, tmp_path, monkeypatch, dealt):
+    monkeypatch.setattr(staging, "ROWS_PER_FILE", 10)
+    rows = spark.range(0, 95, 1, 2).select("id", F.lit("1996-02").alias("m"))
+    stored = staging.as_table(rows, f"file://{tmp_path}", "bronze", "t", "m", dealt=dealt)
+    files = [pq.read_metadata(p).num_rows for p in tmp_path.rglob("*.parquet")]
+    assert max(files) == 10 and sum(files) == 95 and stored.distinct().count() == 95
+
+
+def test_doses_are_dealt_before_their_texts_are_made(spark):
+    plan = derived.bronze(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    above, found, below = plan.partition("RebalancePartitions")
+    assert found and "co_documento" in above and "co_documento" not in below
+
+
+def test_drops_are_written_from_where_rows_lie(spark, tmp_path):
+    texts = [F.col("id").cast("string").alias(c) for c in tables.BRONZE_COLUMNS]
+    rows = spark.range(0, 4, 1, 4).select(*texts, F.lit("1996-02").alias("mes_referencia"))
+    derived.write_drops(rows, f"file://{tmp_path}/d")
+    files = list(tmp_path.rglob("*.csv/*.csv")) or [p for p in tmp_path.rglob("part-*.csv")]
+    assert len(files) == 4 and sum(len(p.read_text().splitlines()) - 1 for p in files) == 4
+
+
 def test_scan_by_path_or_name(spark, tmp_path):
     spark.range(3).write.parquet(f"file://{tmp_path}/p")
     spark.range(4).createOrReplaceTempView("t_quatro")
