@@ -5,6 +5,7 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
+from doselake import registry
 from doselake.operators import staging
 from doselake.session import shared_folder
 from doselake.sources import derived, seeds, tables
@@ -36,6 +37,12 @@ def test_files_hold_few_rows(spark, tmp_path, monkeypatch, dealt):
     assert max(files) == 10 and sum(files) == 95 and stored.distinct().count() == 95
 
 
+def test_splits_of_the_lake_are_small(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    registry.lake_of(spark, SF_DIR)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == registry.SPLIT
+
+
 def test_doses_are_dealt_before_their_texts_are_made(spark):
     plan = derived.bronze(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     above, found, below = plan.partition("RebalancePartitions")
