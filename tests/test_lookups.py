@@ -129,6 +129,22 @@ def test_contenders_follow_reloaded_months(spark, tmp_path):
     spark.sql("DROP TABLE disputa_teste")
 
 
+def test_contenders_get_more_buckets_for_more_rows(spark, tmp_path):
+    rows = spark.range(100).selectExpr("cast(id % 50 as string) AS k", "cast(id div 50 as string) AS m", "id AS t", "'x' AS x")
+    folder = f"file://{tmp_path}/c"
+    table = incremental.Contenders(spark, "disputa_maior", folder, "k", "m", ["x"], buckets=2, per_bucket=30)
+    table.create(rows, F.col("t"))
+
+    def buckets():
+        about = spark.sql("DESCRIBE TABLE EXTENDED disputa_maior").where("col_name = 'Num Buckets'")
+        return int(about.first()["data_type"])
+
+    assert buckets() == 4
+    table.replace(rows.where("m = '1' AND t < 60").withColumn("x", F.lit("y")), F.col("t"))
+    assert buckets() == 4 and table.winners().groupBy("x").count().orderBy("x").collect() == [("x", 40), ("y", 10)]
+    spark.sql("DROP TABLE disputa_maior")
+
+
 # --- lineage ------------------------------------------------------------------------------------
 
 
