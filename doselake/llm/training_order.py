@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as dataset
 import pyarrow.fs as pafs
 from pyspark import Broadcast, TaskContext
@@ -33,6 +34,7 @@ from .numbering import bucket_count, running
 LENGTH = 256
 PER_SHARD = 8192
 ROUNDS = 4
+TEXT_BYTES = 8 << 20  # of text encoded at once
 PARTS_PER_BAND = 64  # parts of the table whose numbers lie in one file
 _HEAD = "<qii"
 _HEAD_BYTES = struct.calcsize(_HEAD)
@@ -75,8 +77,8 @@ class Permutation:
         return self._walk(slots, back=True)
 
 
-def _head(doc: int | None, number: int, used: int) -> bytes:
-    return struct.pack(_HEAD, _NO_ID if doc is None else doc, number, used)
+def _record(length: int) -> np.dtype:
+    return np.dtype([("doc", "<i8"), ("number", "<i4"), ("used", "<i4"), ("ids", "<u2", (length,))])
 
 
 def stride(length: int) -> int:
@@ -99,12 +101,31 @@ def _shard_name(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
 
-def _sequences(ids: np.ndarray, length: int) -> list[bytes]:
-    """The ids of each sequence; a text without ids has none."""
-    if not len(ids):
-        return []
-    ended = np.append(ids, tokens.END_OF_TEXT).astype("<u2")
-    return [ended[at : at + length].tobytes() for at in range(0, len(ended), length)]
+def _gathered(batches: Batches) -> Batches:
+    """The same rows in batches of at least `TEXT_BYTES` of text: a batch's repeated words are encoded once."""
+    held, size = [], 0
+    for batch in text.slices(batches):
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= TEXT_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _sequences(ids: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The text each sequence comes from, its number there, and its ids; a text without ids has none."""
+    sizes = np.diff(bounds)
+    ended = np.insert(ids.astype("<u2"), bounds[1:][sizes > 0], tokens.END_OF_TEXT)
+    sizes = sizes + (sizes > 0)
+    each = -(-sizes // length)
+    source = np.repeat(np.arange(len(sizes)), each)
+    number = np.arange(len(source)) - (np.cumsum(each) - each)[source]
+    starts = (np.cumsum(sizes) - sizes)[source] + number * length
+    offsets = (2 * np.append(starts, len(ended))).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(ended)]
+    return source, number, pa.Array.from_buffers(pa.binary(), len(source), buffers)
 
 
 _COUNTED = "doc_id long, key long, part long, row long, each long"
@@ -114,11 +135,11 @@ def _counted(rows: DataFrame, vocabulary: Broadcast, length: int) -> DataFrame:
     """Rows of texts with ids: their part of the table, their number in it, and their sequences."""
 
     def run(batches: Batches) -> Batches:
-        encoder = tokens.Encoder(vocabulary.value)
+        encoder = tokens.ColumnEncoder(vocabulary.value)
         part, row = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids = [encoder.count(t) for t in batch.column("text").to_pylist()]
-            each = [-(-(n + 1) // length) if n else 0 for n in ids]
+        for batch in _gathered(batches):
+            sizes = np.diff(encoder.column(batch.column("text"))[1])
+            each = -(-(sizes + (sizes > 0)) // length)
             numbers = np.arange(row, row + len(each))
             row += len(each)
             yield pa.RecordBatch.from_arrays(
@@ -132,7 +153,7 @@ def _counted(rows: DataFrame, vocabulary: Broadcast, length: int) -> DataFrame:
     return rows.mapInArrow(run, _COUNTED)
 
 
-_RECORD = "slot long, shard long, doc_id long, seq_no int, ids binary"
+_PLACED = "slot long, shard long, doc_id long, seq_no int, ids binary"
 _WRITTEN = "doc_id long, seq_no int, slot long, shard long, byte_offset long, n_tokens int, record_crc32 long"
 
 
@@ -160,37 +181,29 @@ def _records(
     """
 
     def run(batches: Batches) -> Batches:
-        permutation, encoder, row = Permutation(count, key), tokens.Encoder(vocabulary.value), 0
+        permutation, encoder, row = Permutation(count, key), tokens.ColumnEncoder(vocabulary.value), 0
         own = _numbers_of(numbers, TaskContext.get().partitionId())
         at, keys, firsts = (own.column(c).to_numpy() for c in ("row", "key", "first"))
-        for batch in text.slices(batches, limit=1 << 19):
+        for batch in _gathered(batches):
             here = np.arange(row, row + batch.num_rows)
             place = np.minimum(np.searchsorted(at, here), max(len(at) - 1, 0))
             known = at[place] == here if len(at) else np.zeros(len(here), bool)
             if (keys[place[known]] != batch.column("key").to_numpy()[known]).any():
                 raise Changed("documents must be the same each time they are read, as tables are")
             row += batch.num_rows
-            docs, slots, used, content = [], [], [], []
-            texts = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), known, place, strict=True)
-            for doc, value, numbered, nth in texts:
-                parts = _sequences(encoder.ids(value), length)
-                if bool(parts) != bool(numbered):
-                    raise Changed("documents must be the same each time they are read, as tables are")
-                for number, ids in enumerate(parts):
-                    docs.append(doc)
-                    slots.append(firsts[nth] + number)
-                    used.append(number)
-                    content.append(ids)
-            slots = permutation.slot(np.array(slots, np.int64))
+            source, number, content = _sequences(*encoder.column(batch.column("text")), length)
+            if (np.isin(np.arange(len(here)), source) != known).any():
+                raise Changed("documents must be the same each time they are read, as tables are")
+            slots = permutation.slot(firsts[place[source]] + number)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(slots), pa.array(slots // per_shard), pa.array(docs, pa.int64()),
-                    pa.array(used, pa.int32()), pa.array(content, pa.binary()),
+                    pa.array(slots), pa.array(slots // per_shard), batch.column("doc_id").take(pa.array(source)),
+                    pa.array(number, pa.int32()), content,
                 ],
                 names=["slot", "shard", "doc_id", "seq_no", "ids"],
             )
 
-    return rows.mapInArrow(run, _RECORD)
+    return rows.mapInArrow(run, _PLACED)
 
 
 def _written(records: DataFrame, folder: str, length: int, per_shard: int) -> DataFrame:
@@ -207,24 +220,28 @@ def _written(records: DataFrame, folder: str, length: int, per_shard: int) -> Da
                 files.move(name, f"{root}/{_shard_name(shard)}")
 
         for batch in batches:
-            shards, slots, docs, numbers, content = (
-                batch.column(c).to_pylist() for c in ("shard", "slot", "doc_id", "seq_no", "ids")
-            )
-            used, checks = [], []
-            for at, doc, number, ids in zip(shards, docs, numbers, content, strict=True):
-                if at != shard:
+            data, ends = text.flat(batch.column("ids"))
+            used = np.diff(ends) // 2
+            made = np.zeros(batch.num_rows, _record(length))
+            made["doc"] = pc.fill_null(batch.column("doc_id"), _NO_ID).to_numpy()
+            made["number"], made["used"] = batch.column("seq_no").to_numpy(), used
+            made["ids"][np.arange(length) < used[:, None]] = data.view("<u2")
+            made = made.view(np.uint8).reshape(-1, size)
+            shards = batch.column("shard").to_numpy()
+            for part in np.split(np.arange(len(shards)), np.flatnonzero(np.diff(shards)) + 1):
+                if len(part) and shards[part[0]] != shard:
                     close()
-                    shard, name = at, f"{root}/.{_shard_name(at)}.{uuid.uuid4().hex}"
+                    shard = int(shards[part[0]])
+                    name = f"{root}/.{_shard_name(shard)}.{uuid.uuid4().hex}"
                     out = files.open_output_stream(name)
-                record = (_head(doc, number, len(ids) // 2) + ids).ljust(size, b"\0")
-                out.write(record)
-                used.append(len(ids) // 2)
-                checks.append(zlib.crc32(record))
-            places = [(slot % per_shard) * size for slot in slots]
+                if len(part):
+                    out.write(made[part[0] : part[-1] + 1])
+            places = batch.column("slot").to_numpy() % per_shard * size
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("doc_id", "seq_no", "slot", "shard")),
-                    pa.array(places, pa.int64()), pa.array(used, pa.int32()), pa.array(checks, pa.int64()),
+                    pa.array(places, pa.int64()), pa.array(used, pa.int32()),
+                    pa.array([zlib.crc32(record) for record in made], pa.int64()),
                 ],
                 names=[c.split()[0] for c in _WRITTEN.split(", ")],
             )

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 import random
+import struct
+import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -30,6 +33,48 @@ def test_ids_are_those_of_the_tokenizers_library():
             assert encoder.count(value) == len(encoder.ids(value))
 
 
+def test_columns_of_texts_get_the_ids_of_the_tokenizers_library():
+    own = Tokenizer.from_file(tokens.JSON_VOCABULARY)
+    own.encode_special_tokens = True
+    draw = random.Random(4)
+    blanks = [" ", " ", "\n", "\t", "\r", "\x0b", "\x0c", "\x85", "\u00a0", "\u1680", "\u2000", "\u200a", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000"]
+    words = ["a", "It's", "'ll", "é", "日本", "12", "!?", "\x1c", "\u200b", "\u180e", "word", "<|endoftext|>"]
+    texts = ["", " ", "  ", "a  b", "a   b", "a \n", "a\n\nb", "a\n\n b", "a  "]
+    for _ in range(4000):
+        parts = [draw.choice(words) + "".join(draw.choices(blanks, k=draw.choice([0, 1, 1, 2, 3]))) for _ in range(draw.randint(0, 5))]
+        texts.append("".join(draw.choices(blanks, k=draw.randint(0, 2)) + parts))
+    want = [own.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = tokens.ColumnEncoder(tokens.read(tokens.VOCABULARY))
+    for kind in (pa.string(), pa.large_string()):
+        for size in (1, 7, len(texts)):
+            for at in range(0, min(60 * size, len(texts)), size):
+                ids, bounds = encoder.column(pa.array(texts, kind).slice(at, size))
+                found = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                assert found == want[at : at + size]
+
+
+def test_words_of_a_column_are_encoded_once():
+    encoder = tokens.ColumnEncoder(tokens.read(tokens.VOCABULARY))
+    met = []
+
+    class Noted:
+        def __init__(self, under):
+            self.under = under
+
+        def encode_ordinary(self, value):
+            met.append(value)
+            return self.under.encode_ordinary(value)
+
+    encoder.encoding, encoder.plain = Noted(encoder.encoding), Noted(encoder.plain)
+    texts = ["Some words, it's said.\n\nMore  words\n " + "unlikely repeated words " * 500 + "end"] * 50
+    ids, bounds = encoder.column(pa.array(texts))
+    assert ids.tolist() == _plain(texts[0]) * 50 and len(bounds) == 51
+    assert sum(map(len, met)) < len(texts[0]) / 10
+    runs = "code  \n   indented " * 40
+    ids, _ = encoder.column(pa.array([runs, "x"]))
+    assert ids.tolist() == _plain(runs) + _plain("x") and runs in met
+
+
 @pytest.mark.parametrize("count", [1, 2, 3, 17, 256, 1000, 4097])
 def test_permutation_is_a_bijection(count):
     p = Permutation(count, key=9)
@@ -83,6 +128,26 @@ def test_odd_sequences(ready, odd, empty, tmp_path):
     assert list(training_order.read(f"file://{tmp_path}/none", 0, 5)) == []
 
 
+def test_records_are_laid_out_as_described(ready, odd, tmp_path):
+    rows = training_order.materialise(odd, f"file://{tmp_path}/odd", length=32, per_shard=50).collect()
+    assert len({r.shard for r in rows}) > 3
+    ids = {}
+    for doc, text in odd.select("doc_id", "text").collect():
+        ids.setdefault(doc, []).append(_plain(text) + [tokens.END_OF_TEXT] if text else [])
+    size = training_order.stride(32)
+    shards = {s: (tmp_path / "odd" / f"shard-{s:08d}.bin").read_bytes() for s in {r.shard for r in rows}}
+    assert sum(map(len, shards.values())) == size * len(rows)
+    for r in rows:
+        assert (r.shard, r.byte_offset) == (r.slot // 50, r.slot % 50 * size)
+        record = shards[r.shard][r.byte_offset : r.byte_offset + size]
+        assert zlib.crc32(record) == r.record_crc32
+        doc, number, used = struct.unpack_from("<qii", record)
+        assert (doc, number, used) == (-(1 << 63) if r.doc_id is None else r.doc_id, r.seq_no, r.n_tokens)
+        assert not any(record[16 + 2 * used :])
+        found = list(struct.unpack_from(f"<{used}H", record, 16))
+        assert found in [own[32 * number : 32 * number + 32] for own in ids[r.doc_id]]
+
+
 def _edited(text, edits):
     text = text or ""
     for _, start, length, insert in sorted(edits):
