@@ -124,11 +124,14 @@ class ColumnEncoder(Encoder):
         runs = pc.match_substring_regex(texts, _RUNS)
         split = pc.split_pattern(pc.if_else(runs, pa.scalar("", texts.type), texts), " ")
         bounds = np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))
-        words, firsts = split.flatten(), pa.array(bounds[:-1])
-        whole = self._alone(pc.if_else(runs, texts, words.take(firsts)).to_pylist())
-        words = words.dictionary_encode()
-        which = words.indices.to_numpy().astype(np.int64)
-        which[bounds[:-1]] = len(words.dictionary) + np.arange(len(texts))
+        words, firsts = split.flatten(), bounds[:-1]
+        whole = self._alone(pc.if_else(runs, texts, words.take(pa.array(firsts))).to_pylist())
+        later = np.ones(len(words), bool)
+        later[firsts] = False
+        words = words.filter(pa.array(later)).dictionary_encode()
+        which = np.empty(len(later), np.int64)
+        which[later] = words.indices.to_numpy()
+        which[firsts] = len(words.dictionary) + np.arange(len(texts))
         found = pa.concat_arrays([self._words(words.dictionary), whole]).take(pa.array(which))
         data, offsets = text.flat(found)
         return data.view(np.uint32), offsets[bounds] // 4

@@ -73,6 +73,9 @@ def test_words_of_a_column_are_encoded_once():
     runs = "code  \n   indented " * 40
     ids, _ = encoder.column(pa.array([runs, "x"]))
     assert ids.tolist() == _plain(runs) + _plain("x") and runs in met
+    met.clear()
+    encoder.column(pa.array(["日本語" * 50, "", "one", "b c"]))
+    assert sum(map(len, met)) == 150 + 3 + 1 + 2  # a first word is not encoded again
 
 
 @pytest.mark.parametrize("count", [1, 2, 3, 17, 256, 1000, 4097])
