@@ -17,36 +17,30 @@ def components(edges: DataFrame) -> DataFrame:
     Minima are combined map-side, so a node with many neighbours sends one row a task.
     Nulls and loops are no edges; repeated edges count once; no edges give no rows.
     """
-    edges = (
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct()
+    edges = scratch.store(
+        edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     )
-    edges = scratch.store(edges)
-    seen = _state(edges)
-    while seen[0]:
+    while not _stars(edges):
         edges = scratch.store(_to_smallest_below(_to_smallest_around(edges)))
-        now = _state(edges)
-        if now == seen:
-            break
-        seen = now
-    return (
-        edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        .union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")))
-        .distinct()
-    )
+    ends = edges.union(edges.select("b", "b")).toDF("node", "component")
+    return ends.groupBy("node").agg(F.first("component").alias("component"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    mixed = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count("*"), mixed).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one smaller end, which is no larger end itself."""
+    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("below")).union(
+        edges.select("b", F.lit(None).cast("long"))
+    )
+    seen = ends.groupBy("node").agg(
+        F.min("below").alias("least"), F.max("below").alias("most"), F.expr("bool_or(below is null)").alias("under")
+    )
+    return seen.where("least < most or (under and least is not null)").count() == 0
 
 
 def _to_smallest_around(edges: DataFrame) -> DataFrame:
     around = edges.union(edges.select("b", "a"))
     least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    linked = around.where("b > a").join(least, "a")
-    return linked.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("least").alias("b"))
 
 
 def _to_smallest_below(edges: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ The work stays linear where many documents are alike:
 * equal sets are one node;
 * every node is compared with one leader, the best connected node of the list it meets
   most often, and what that confirms is contracted. Then other leaders are tried, drawn
-  from the lists that still hold several components, until a round joins next to nothing;
+  from the lists that still hold several components, `DRAWS` at once, until a round joins
+  next to nothing; a round contracts the components it joined, not all links anew;
 * afterwards only pairs across components count (skip merging): lists inside one component
   vanish, and in the others only nodes outside the commonest component (strangers) are
   compared with the rest;
@@ -48,6 +49,7 @@ COORDINATES = 32
 MATCHES = 14
 CELL = 4096  # nodes of a list that are compared with as many at once
 BINS = 256
+DRAWS = 4  # other leaders that a node is compared with in a round
 WORTH = 100  # pairs that a round may try for each link, or it is the last
 DEVIATIONS = 5  # below its mean that a linked pair's equal bins may lie
 FILTER_WORDS = 1 << 20  # of 64 bits, 8 MB at most
@@ -88,13 +90,13 @@ def _signature(members: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32).view(np.int32)
 
 
-def _least_of_bins(members: np.ndarray) -> bytes:
-    """A byte of the least member of each range of hashes, 0 where it has none."""
+def _least_of_bins(members: np.ndarray) -> np.ndarray:
+    """A byte of the least member of each range of hashes, 0 where it has none; eight to a number."""
     edges = np.arange(BINS, dtype=np.uint64) << np.uint64(56)
     at = np.searchsorted(members, edges)
     ends = np.append(at[1:], len(members))
     least = members[np.minimum(at, len(members) - 1)] % np.uint64(255) + np.uint64(1)
-    return np.where(at < ends, least, 0).astype(np.uint8).tobytes()
+    return np.where(at < ends, least, 0).astype(np.uint8).view(np.int64)
 
 
 def _alike(left: np.ndarray, right: np.ndarray, similarity: int) -> np.ndarray:
@@ -105,9 +107,19 @@ def _alike(left: np.ndarray, right: np.ndarray, similarity: int) -> np.ndarray:
     return equal >= share * filled - DEVIATIONS * np.sqrt(share * (1 - share) * filled)
 
 
-def _bins(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
-    return np.concatenate([text.flat(chunk)[0] for chunk in chunks]).reshape(-1, BINS)
+def _may_be_alike(left: str, right: str, similarity: int):
+    """`_alike` of two columns of bins: bins that differ, and filled ones, are bytes that are not 0."""
+    share = similarity / 100
+    filled, apart = _nonzero_bytes(left, right, "|"), _nonzero_bytes(left, right, "^")
+    return filled - apart >= share * filled - DEVIATIONS * F.sqrt(share * (1 - share) * filled)
+
+
+def _nonzero_bytes(left: str, right: str, operator: str):
+    """How many bytes are not 0 in two columns of longs put together."""
+    numbers = f"zip_with({left}, {right}, (l, r) -> l {operator} r)"
+    for shift in (4, 2, 1):  # the bits of a byte are gathered in its lowest
+        numbers = f"transform({numbers}, v -> v | shiftrightunsigned(v, {shift}))"
+    return F.expr(f"aggregate({numbers}, 0, (s, v) -> s + bit_count(v & {0x0101010101010101}L))")
 
 
 def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", column: str = "text") -> DataFrame:
@@ -130,14 +142,14 @@ def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", column: str
                     pa.array(count, pa.int64()),
                     pa.array(digest, pa.binary()),
                     pa.array(sig, pa.list_(pa.int32())),
-                    pa.array(bins, pa.binary()),
+                    pa.array(bins, pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "class", "sig", "bins"],
             )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(column).alias("text"))
     return rows.mapInArrow(
-        run, "doc_id long, n_shingles long, class binary, sig array<int>, bins binary"
+        run, "doc_id long, n_shingles long, class binary, sig array<int>, bins array<long>"
     )
 
 
@@ -152,25 +164,18 @@ def _enough_matches(left: str, right: str):
 
 
 def _match(pairs: DataFrame, nodes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) whose sizes and whole signatures allow the similarity."""
-    for side in ("a", "b"):
+    """Pairs (a, b) whose sizes and whole signatures allow the similarity; they lie by b."""
+    for side in ("b", "a"):
         own = nodes.select(
             F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "sig", "bins")]
         )
         pairs = pairs.join(own, side)
     close = _similar_sizes("n_a", "n_b", similarity) & _enough_matches("sig_a", "sig_b")
-
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            if batch.num_rows:
-                alike = _alike(_bins(batch.column("bins_a")), _bins(batch.column("bins_b")), similarity)
-                yield batch.select(["a", "b"]).filter(pa.array(alike))
-
-    return pairs.where(close).select("a", "b", "bins_a", "bins_b").mapInArrow(run, "a long, b long")
+    return pairs.where(close & _may_be_alike("bins_a", "bins_b", similarity)).select("a", "b")
 
 
 def _having(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` less most rows whose id is not in ``ids`` (column ``node``).
+    """``docs`` less most rows whose id is not in ``ids`` (column ``node``, stored, may repeat).
 
     A bit table of at most `FILTER_WORDS` words is broadcast, so texts that no pair needs
     are dropped before the shuffle; beyond millions of ids it lets more and more through.
@@ -198,12 +203,12 @@ def _blocks(labels: DataFrame) -> DataFrame:
 def confirm(dealt: DataFrame, wanted: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
     """Links (a, b) among ``dealt`` (key, a, partners): sets that are similar enough.
 
-    ``wanted`` are the distinct (key, node) whose texts the pairs of a key need; a task
-    holds the sets of one key. Pairs that other links of a key already join are skipped.
+    ``wanted`` are the (key, node) whose texts the pairs of a key need; a task holds the
+    sets of one key. Pairs that other links of a key already join are skipped.
     """
-    texts = _having(docs, wanted.select("node").distinct()).select(F.col("doc_id").alias("node"), "text")
+    texts = _having(docs, wanted.select("node")).select(F.col("doc_id").alias("node"), "text")
     none = F.lit(None).cast("array<long>")
-    rows = wanted.join(texts, "node").select(
+    rows = wanted.distinct().join(texts, "node").select(
         "key", F.lit(0).alias("role"), F.col("node").alias("a"), none.alias("partners"), "text"
     )
     rows = rows.union(dealt.select("key", F.lit(1), "a", "partners", F.lit(None).cast("string")))
@@ -260,10 +265,10 @@ def _linked(
     return list(dict.fromkeys(b for b, yes in zip(owners, found, strict=True) if yes))
 
 
-def links(docs: DataFrame, found: DataFrame, words: int, similarity: int) -> DataFrame:
-    """Confirmed links (a, b) that connect all similar documents; ``found`` are `signatures`.
+def groups(docs: DataFrame, found: DataFrame, words: int, similarity: int) -> DataFrame:
+    """(node, component) of the documents that confirmed links connect; ``found`` are `signatures`.
 
-    Copies are represented by the smallest id of their class. Not every pair is listed:
+    Copies are represented by the smallest id of their class. Not every pair is tried:
     pairs whose ends other links already join are skipped.
     """
     nodes = scratch.store(
@@ -276,26 +281,38 @@ def links(docs: DataFrame, found: DataFrame, words: int, similarity: int) -> Dat
     members = scratch.store(_members(nodes))
     pairs = scratch.store(_match(_leaders(members), nodes, similarity))
     labels = scratch.store(
-        members.select("node", "n").distinct().join(pairs.select(F.col("b").alias("node"), "a"), "node", "left")
+        members.groupBy("node").agg(F.first("n").alias("n")).join(pairs.select(F.col("b").alias("node"), "a"), "node", "left")
         .select("node", "n", F.coalesce("a", "node").alias("label"))
     )
     blocks = scratch.store(_blocks(labels))
-    linked = scratch.store(_confirmed(pairs, blocks, docs, words, similarity))
-    members = scratch.store(_apart(members, components(linked)))
-    for draw in itertools.count(1):
-        tried = scratch.store(_match(_other_leaders(members, draw), nodes, similarity))
+    homes = components(scratch.store(_confirmed(pairs, blocks, docs, words, similarity)))
+    members = scratch.store(_apart(members, homes))
+    for draw in itertools.count(1, DRAWS):
+        leaders = _other_leaders(members, range(draw, draw + DRAWS))
+        tried = scratch.store(_match(leaders, nodes, similarity))
         joined = scratch.store(_confirmed(tried, blocks, docs, words, similarity))
         found = joined.count()
         if not found:
             break
-        linked = linked.union(joined)
-        members = scratch.store(_apart(members.drop("home"), components(linked)))
+        homes = _merged(homes, joined)
+        members = scratch.store(_apart(members.drop("home"), homes))
         if found * WORTH < tried.count():
             break
     across = scratch.store(_across(members, nodes, blocks, similarity))
-    wanted = across.where("partners is null").select("key", F.col("a").alias("node")).distinct()
+    wanted = across.where("partners is null").select("key", F.col("a").alias("node"))
     dealt = across.where("partners is not null")
-    return linked.union(confirm(dealt, wanted, docs, words, similarity))
+    return _merged(homes, scratch.store(confirm(dealt, wanted, docs, words, similarity)))
+
+
+def _merged(homes: DataFrame, joined: DataFrame) -> DataFrame:
+    """``homes`` (node, component) after more links (a, b): only their components are joined anew."""
+    for side in ("a", "b"):
+        own = homes.select(F.col("node").alias(side), F.col("component").alias("home"))
+        joined = joined.join(own, side, "left").withColumn(side, F.coalesce("home", side)).drop("home")
+    moved = components(joined)
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    rest = homes.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return scratch.store(rest.union(moved).groupBy("node").agg(F.first("component").alias("component")))
 
 
 def _confirmed(pairs: DataFrame, blocks: DataFrame, docs: DataFrame, words: int, similarity: int) -> DataFrame:
@@ -303,29 +320,40 @@ def _confirmed(pairs: DataFrame, blocks: DataFrame, docs: DataFrame, words: int,
     own = blocks.select(F.col("node").alias("b"), F.col("block").alias("key"))
     dealt = scratch.store(pairs.join(own, "b").select("key", "a", F.array("b").alias("partners")))
     wanted = dealt.select("key", F.col("a").alias("node")).union(dealt.select("key", F.col("partners")[0]))
-    return confirm(dealt, wanted.distinct(), docs, words, similarity)
+    return confirm(dealt, wanted, docs, words, similarity)
 
 
-def _other_leaders(rows: DataFrame, draw: int) -> DataFrame:
-    """For nodes (b) of lists with several components, a node (a) of another one.
+def _other_leaders(rows: DataFrame, draws: range) -> DataFrame:
+    """For nodes (b) of lists with several components, nodes (a) of other ones, one a draw.
 
-    Each list draws a node, and one outside the first one's component for that
-    component's members; a node takes the one it meets most often.
+    Each list draws a node, and for the members of its component one of another component;
+    a node takes the one it meets most often. Of the components with the greatest and the
+    least hash one is another, so that a list is one aggregate.
     """
-    picked = F.struct(F.xxhash64("node", F.lit(draw)).alias("lot"), F.col("node").alias("a"))
-    by_home = rows.groupBy("key", "home").agg(F.max(picked).alias("drawn"))
-    first = by_home.groupBy("key").agg(F.max(F.struct("drawn.lot", "drawn.a", "home")).alias("first"))
-    second = (
-        by_home.join(first, "key").where("home <> first.home")
-        .groupBy("key").agg(F.max("drawn").alias("second"))
+    drawn = []
+    for draw in draws:
+        one = F.struct(F.xxhash64("node", F.lit(draw)).alias("lot"), F.col("node").alias("a"), "home")
+        of_home = F.struct(F.xxhash64("home", F.lit(draw)).alias("hash"), one.alias("drawn"))
+        drawn.append(
+            F.struct(
+                F.lit(draw).alias("draw"), F.max(one).alias("first"), F.max(of_home).alias("most"), F.min(of_home).alias("least")
+            )
+        )
+    lists = rows.groupBy("key").agg(F.array(*drawn).alias("draws")).select("key", F.expr("inline(draws)"))
+    both = lists.select(
+        "key", "draw", "first", F.expr("if(most.drawn.home <> first.home, most, least).drawn").alias("second")
     )
-    both = first.join(second, "key").select("key", "first", "second")
-    met = rows.join(both, "key").select(
-        F.col("node").alias("b"), F.expr("if(home = first.home, second.a, first.a)").alias("a")
+    met = rows.join(both.where("first.home <> second.home"), "key").select(
+        F.col("node").alias("b"), "draw", F.expr("if(home = first.home, second.a, first.a)").alias("a")
     )
+    return _most_met(met, "draw").distinct()
+
+
+def _most_met(met: DataFrame, *each: str) -> DataFrame:
+    """For each b of the rows (a, b) the commonest a; a node has few rows, so one shuffle does."""
     return (
-        met.groupBy("b", "a").agg(F.count("*").alias("collisions"))
-        .groupBy("b").agg(F.max(F.struct("collisions", "a")).alias("best"))
+        met.repartition("b").groupBy("b", *each, "a").agg(F.count("*").alias("collisions"))
+        .groupBy("b", *each).agg(F.max(F.struct("collisions", "a")).alias("best"))
         .select("best.a", "b")
     )
 
@@ -365,15 +393,9 @@ def _leaders(members: DataFrame) -> DataFrame:
         .where("length > 1")
         .select("key", "leader")
     )
-    return (
-        members.join(leaders, "key")
-        .where("node <> -leader.least")
-        .groupBy("node", "leader")
-        .agg(F.count("*").alias("collisions"))
-        .groupBy("node")
-        .agg(F.max(F.struct("collisions", "leader")).alias("best"))
-        .select((-F.col("best.leader.least")).alias("a"), F.col("node").alias("b"))
-    )
+    met = members.join(leaders, "key").where("node <> -leader.least")
+    most = _most_met(met.select(F.col("node").alias("b"), F.col("leader").alias("a")))
+    return most.select((-F.col("a.least")).alias("a"), "b")
 
 
 def _across(members: DataFrame, nodes: DataFrame, blocks: DataFrame, similarity: int) -> DataFrame:
@@ -445,7 +467,7 @@ def _qualified(cell: pa.Table, similarity: int) -> Iterator[tuple[int, int, list
         cell.column(c).to_numpy() for c in ("node", "n", "home", "block", "stranger", "posted")
     )
     sig = pa.concat_arrays(cell.column("sig").chunks).flatten().to_numpy().reshape(-1, COORDINATES)
-    bins = _bins(cell.column("bins"))
+    bins = pa.concat_arrays(cell.column("bins").chunks).flatten().to_numpy().view(np.uint8).reshape(-1, BINS)
     here = cell.column("coordinate")[0].as_py()
     right = np.flatnonzero(~searching)
     needed = set()
@@ -502,7 +524,7 @@ def near_duplicates(
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(column).alias("text"))
     found = scratch.store(signatures(rows, words))
-    joined = components(links(rows, found, words, similarity))
+    joined = groups(rows, found, words, similarity)
     classes = (
         found.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("node"))
         .join(joined, "node", "left")

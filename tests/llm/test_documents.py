@@ -127,6 +127,56 @@ def test_components(ready):
     assert components.components(frame.limit(0)).count() == 0
 
 
+def test_components_store_each_round_once(ready, monkeypatch):
+    """A star needs its edges and one round, and no further round to see that it is done."""
+    stored = []
+    store = components.scratch.store
+    monkeypatch.setattr(components.scratch, "store", lambda df: stored.append(df) or store(df))
+    star = ready.createDataFrame([(50, i) for i in range(30, 70)], "a long, b long")
+    got = components.components(star).collect()
+    assert {r.node: r.component for r in got} == dict.fromkeys(range(30, 70), 30)
+    assert len(stored) == 2
+    assert components.components(ready.createDataFrame([(9, 2), (2, 7), (9, 2)], "a long, b long")).count() == 3
+    assert len(stored) == 3  # these are stars as they are
+
+
+def test_merged_components(ready):
+    homes = ready.createDataFrame([(1, 1), (2, 1), (5, 4), (4, 4), (9, 8), (8, 8)], "node long, component long")
+    more = ready.createDataFrame([(5, 9), (20, 2), (30, 31), (9, 4)], "a long, b long")
+    got = neardup._merged(homes, more).collect()
+    assert {r.node: r.component for r in got} == {1: 1, 2: 1, 20: 1, 4: 4, 5: 4, 8: 4, 9: 4, 30: 30, 31: 30}
+    assert len(got) == 9
+
+
+def test_other_leaders_are_of_other_components(ready):
+    """One shuffle for the lists, one for their rows, one by node and one to drop repeats."""
+    homes = {n: n // 10 for n in range(60)} | {n: n for n in range(60, 80)}
+    rows = ready.createDataFrame(
+        [(key, n, home) for n, home in homes.items() for key in {n % 7, 100 + n % 3}], "key long, node long, home long"
+    )
+    tried = neardup._other_leaders(rows, range(1, 4))
+    plan = tried._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 4
+    pairs = [(r.a, r.b) for r in tried.collect()]
+    assert len(pairs) == len(set(pairs)) and {b for _, b in pairs} == set(homes)
+    assert all(homes[a] != homes[b] for a, b in pairs)
+    assert all({a % 7} & {b % 7} or {a % 3} & {b % 3} for a, b in pairs)
+    assert len(pairs) > len(homes)  # more than one leader a node
+
+
+def test_bins_in_columns_as_in_arrays(ready):
+    rng = np.random.default_rng(5)
+    left = rng.integers(0, 256, (60, neardup.BINS), dtype=np.uint8)
+    right = np.where(rng.random(left.shape) < rng.random((60, 1)), rng.integers(0, 256, left.shape), left)
+    empty = rng.random(left.shape) < rng.random((60, 1))
+    left, right = np.where(empty, 0, left).astype(np.uint8), np.where(empty, 0, right).astype(np.uint8)
+    want = neardup._alike(left, right, 80).tolist()
+    rows = [(i, a.view(np.int64).tolist(), b.view(np.int64).tolist()) for i, (a, b) in enumerate(zip(left, right, strict=True))]
+    frame = ready.createDataFrame(rows, "i long, l array<long>, r array<long>")
+    got = frame.select("i", neardup._may_be_alike("l", "r", 80).alias("alike")).sort("i").collect()
+    assert [r.alike for r in got] == want and 0 < sum(want) < 60
+
+
 def test_mix_by_definition(ready):
     draw = random.Random(4)
     rows = [(i, draw.choice("abcde") if i % 9 else None, " w" * draw.choice([1, 3, 50])) for i in range(900)]
